@@ -361,17 +361,20 @@ def experiment_results(assignments: DataFrame, orders: DataFrame, items: DataFra
         F.coalesce("revenue_30d", F.lit(0)).cast("decimal(18,2)").alias("revenue_30d"),
     )
     res = res.withColumn("conversion_rate_30d", F.col("conversions_30d") / F.col("exposed_users")).withColumn(
-        "avg_revenue_per_user", (F.col("revenue_30d") / F.col("exposed_users")).cast("decimal(18,4)")
+        "avg_revenue_per_user", F.col("revenue_30d").cast("double") / F.col("exposed_users")
     )
     w = Window.partitionBy("experiment_name")
     ctl_n = F.max(F.when(F.col("variant") == "control", F.col("exposed_users"))).over(w)
     ctl_x = F.max(F.when(F.col("variant") == "control", F.col("conversions_30d"))).over(w)
-    p1 = F.col("conversion_rate_30d")
-    p0 = ctl_x / ctl_n
-    pooled = (F.col("conversions_30d") + ctl_x) / (F.col("exposed_users") + ctl_n)
-    se = F.sqrt(pooled * (1 - pooled) * (F.lit(1.0) / F.col("exposed_users") + F.lit(1.0) / ctl_n))
-    z = F.when((F.col("variant") != "control") & (se > 0), (p1 - p0) / se)
-    return res.withColumn("z_score", z).withColumn(
+    res = res.withColumn("_cn", ctl_n).withColumn("_cx", ctl_x)
+    pooled = (F.col("conversions_30d") + F.col("_cx")) / (F.col("exposed_users") + F.col("_cn"))
+    res = res.withColumn("_pooled", pooled)
+    se = F.sqrt(F.col("_pooled") * (1 - F.col("_pooled"))
+                * (F.lit(1.0) / F.col("exposed_users") + F.lit(1.0) / F.col("_cn")))
+    res = res.withColumn("_se", se)
+    z = F.when((F.col("variant") != "control") & (F.col("_se") > 0),
+               (F.col("conversion_rate_30d") - F.col("_cx") / F.col("_cn")) / F.col("_se"))
+    return res.withColumn("z_score", z).drop("_cn", "_cx", "_pooled", "_se").withColumn(
         "statistical_significance",
         F.when(F.col("z_score").isNull(), F.lit(None).cast("string"))
         .when(F.abs(F.col("z_score")) > 1.96, "significant").otherwise("not_significant"),
@@ -382,3 +385,52 @@ def window_dates(window: ExperimentWindow) -> list[date]:
     s = date.fromisoformat(window.experiment_start)
     e = date.fromisoformat(window.experiment_end)
     return [s + timedelta(days=i) for i in range((e - s).days + 1)]
+
+
+# ---------------------------------------------------------------------------
+# Extracts and the fixed-size user sample
+# ---------------------------------------------------------------------------
+
+def users_extract(users: DataFrame) -> DataFrame:
+    return users.orderBy("registration_date", "user_id")
+
+
+def completed_orders(orders: DataFrame) -> DataFrame:
+    return (
+        orders.filter(F.col("status") == "Complete")
+        .select("order_id", "user_id", "status", F.col("created_at").alias("order_date"),
+                "shipped_at", "delivered_at", "num_of_item")
+        .orderBy("order_date", "order_id")
+    )
+
+
+def sample_users(users: DataFrame, sample_pct: float, seed: int = 42) -> DataFrame:
+    """Exactly int(N * pct / 100) users in hash order (one scalar count)."""
+    n = int(users.count() * sample_pct / 100)
+    return hash_top_n(users, n, sample_order_hex(F.col("user_id"), seed), ["user_id"])
+
+
+def sample_users_orders(users: DataFrame, orders: DataFrame, sample_pct: float, seed: int = 42) -> DataFrame:
+    """Orders restricted to the sampled users (semi join)."""
+    su = sample_users(users.select("user_id"), sample_pct, seed)
+    return orders.join(su, "user_id", "left_semi")
+
+
+def cohort_cap_summary(assignments: DataFrame, cfg: ExperimentConfig) -> DataFrame:
+    """Available treatment users, design cap, users kept (one keyed join of
+    the treatment arm to its capped cohort, then a single aggregate)."""
+    treated = assignments.filter(F.col("variant_description") == cfg.treatment_name).select(
+        F.col("object_identifier").cast("bigint").alias("user_id")
+    )
+    kept = treatment_cohort(assignments, cfg).select("user_id", F.lit(1).alias("_kept"))
+    return treated.join(kept, "user_id", "left").agg(
+        F.count(F.lit(1)).alias("available_users"),
+        F.count("_kept").alias("cohort_users"),
+    ).select(
+        F.lit(cfg.name).alias("experiment_name"),
+        "available_users",
+        F.lit(cfg.cohort_cap).cast("bigint").alias("cohort_cap"),
+        "cohort_users",
+        F.lit(cfg.target_rate).alias("target_rate"),
+        F.lit(cfg.additional_orders_per_user).alias("additional_orders_per_user"),
+    )
