@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortix.plans import q_experiments  # noqa: F401
+from cohortix.plans import q_experiments, q_transactions  # noqa: F401
 from cohortix.plans.registry import ORACLE, QUERIES
 
 
