@@ -249,3 +249,12 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("updated_at"),
     )
     return first.unionByName(retry)
+
+
+def sse_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event-stream text as landed: per record an ``event:`` line and a
+    ``data:`` line; records of error events arrive cut short (malformed)."""
+    ev = load(spark, sf_dir, "events")
+    j = txn_json(ev)
+    data = F.when(F.col("event_type") == "error", F.substring(j, 1, 40)).otherwise(j)
+    return ev.select(F.explode(F.array(F.lit("event: transaction"), F.concat(F.lit("data: "), data))).alias("value"))
