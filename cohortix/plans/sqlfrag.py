@@ -87,7 +87,7 @@ SRC_ITEMS = f"""
 src_items AS (
   SELECT l_orderkey AS order_id, l_linenumber AS line_number, o_custkey AS user_id,
          l_partkey AS product_id, p_type AS category, p_brand AS brand,
-         CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,2)) AS sale_price,
+         CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,2)) AS sale_price,
          {STATUS_CASE} AS status, o_orderdate AS created_at
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
   LEFT JOIN part ON l_partkey = p_partkey)"""

@@ -84,6 +84,15 @@ def orders(spark: SparkSession, sf_dir: str, with_items: bool = True) -> DataFra
     )
 
 
+def net_price(extended, discount, tax=None) -> F.Column:
+    """Line money in exact decimal arithmetic (inputs carry two decimals),
+    rounded half-up to cents once at the end."""
+    v = extended.cast("decimal(18,2)") * (F.lit(1) - discount.cast("decimal(4,2)"))
+    if tax is not None:
+        v = v * (F.lit(1) + tax.cast("decimal(4,2)"))
+    return v.cast("decimal(18,2)")
+
+
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """order items: lineitem + order header + part attributes."""
     li = load(spark, sf_dir, "lineitem")
@@ -99,7 +108,7 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("l_partkey").alias("product_id"),
             F.col("p_type").alias("category"),
             F.col("p_brand").alias("brand"),
-            (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,2)").alias("sale_price"),
+            net_price(F.col("l_extendedprice"), F.col("l_discount")).alias("sale_price"),
             _status(F.col("o_orderstatus")).alias("status"),
             F.col("o_orderdate").alias("created_at"),
         )
