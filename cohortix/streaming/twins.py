@@ -85,8 +85,14 @@ def stream_route(spark: SparkSession, log_dir: str, preds_out: str, tx_out: str,
 # ---------------------------------------------------------------------------
 
 def stream_dedupe(spark: SparkSession, log_dir: str, out: str, ckpt: str, ttl_days: int = CACHE_TTL_DAYS,
-                  max_files: int = 1, available_now: bool = True) -> StreamingQuery:
-    src = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(log_dir)
+                  max_files: int | None = None, available_now: bool = True) -> StreamingQuery:
+    """Writes arriving more than ``ttl_days`` behind the watermark of earlier
+    micro-batches are late and dropped (landing must be roughly time-ordered
+    across micro-batches for the batch twin to agree)."""
+    reader = spark.readStream.schema(LOG_SCHEMA)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    src = reader.parquet(log_dir)
     src = src.withColumn("written_at", F.col("written_at").cast("timestamp"))  # event time must be TIMESTAMP
     dd = src.withWatermark("written_at", f"{ttl_days} days").dropDuplicatesWithinWatermark(["record_key"])
     q = _writer(dd, ckpt, available_now).format("parquet").outputMode("append").start(out)
