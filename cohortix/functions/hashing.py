@@ -108,10 +108,21 @@ def choice_sql(b: str, values: Sequence, weights: Sequence[float] | None = None)
 
 
 def count_below(b: Column, cuts: Sequence[int]) -> Column:
-    """Number of cut points strictly below b: the index of the first cut point
-    with b <= cut (inverse-CDF sampling)."""
-    arr = F.array(*[F.lit(int(t)) for t in cuts])
-    return F.size(F.filter(arr, lambda t: t < b)).cast("int")
+    """Number of (non-decreasing) cut points strictly below b, i.e. the index
+    of the first cut with b <= cut (inverse-CDF sampling).
+
+    A balanced CASE tree: log2(len(cuts)) comparisons per row, and ``b``
+    stays a plain common subexpression (inside a higher-order-function
+    lambda the hash would be recomputed for every array element)."""
+    cuts = [int(t) for t in cuts]
+
+    def build(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(b <= F.lit(cuts[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
+
+    return build(0, len(cuts)).cast("int")
 
 
 def count_below_sql(b: str, cuts: Sequence[int]) -> str:

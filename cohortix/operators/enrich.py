@@ -75,9 +75,9 @@ def package_type(n_items: F.Column, b: F.Column) -> F.Column:
     )
 
 
-def tracking_number(key: F.Column, seed: int = 42, pattern: str = TRACKING_PATTERN) -> F.Column:
-    """'#' -> digit, '?' -> ASCII letter, both taken from an md5 of the key."""
-    h = F.md5(F.concat(F.lit(f"{seed}_tracking_"), key.cast("string")))
+def tracking_number(h: F.Column, pattern: str = TRACKING_PATTERN) -> F.Column:
+    """'#' -> digit, '?' -> ASCII letter, taken from the md5 hex ``h`` of the
+    key (pass a column so the hash is computed once per row)."""
     parts, li = [], 0
     for i, ch in enumerate(pattern):
         if ch == "#":
@@ -91,21 +91,38 @@ def tracking_number(key: F.Column, seed: int = 42, pattern: str = TRACKING_PATTE
     return F.concat(*parts)
 
 
+LOGISTICS_SALTS = ("warehouse", "carrier", "package", "cost_jitter", "processing", "transit", "insurance",
+                   "expedite", "instructions")
+
+
+def with_draws(df: DataFrame, key: F.Column, salts, seed: int = 42) -> DataFrame:
+    """One projection computing every draw of a row once (``_b_<salt>``);
+    later expressions read the columns instead of re-hashing."""
+    return df.select("*", *[draw(key, s, seed).alias(f"_b_{s}") for s in salts])
+
+
 def order_logistics(spark: SparkSession, orders: DataFrame, seed: int = 42) -> DataFrame:
     """One logistics row per order."""
     k = F.col("order_id")
-    base = orders.select(
+    d = with_draws(orders.select("order_id", "user_id", "num_of_item"), k, LOGISTICS_SALTS, seed).withColumn(
+        "_th", F.md5(F.concat(F.lit(f"{seed}_tracking_"), k.cast("string")))
+    )
+
+    def b(s):
+        return F.col(f"_b_{s}")
+
+    base = d.select(
         "order_id", "user_id",
-        choice(draw(k, "warehouse", seed), [w[0] for w in WAREHOUSES]).alias("warehouse_id"),
-        choice(draw(k, "carrier", seed), list(CARRIERS)).alias("shipping_carrier"),
-        package_type(F.col("num_of_item"), draw(k, "package", seed)).alias("package_type"),
-        uniform_decimal(draw(k, "cost_jitter", seed), "-2", "2").alias("_jitter"),
-        randint(draw(k, "processing", seed), 1, 3).alias("processing_days"),
-        randint(draw(k, "transit", seed), 1, 7).alias("transit_days"),
-        tracking_number(k, seed).alias("tracking_number"),
-        F.bround(uniform_decimal(draw(k, "insurance", seed), "0", "5"), 2).cast("decimal(10,2)").alias("insurance_cost"),
-        (draw(k, "expedite", seed) < 150_000).alias("is_expedited"),
-        choice(draw(k, "instructions", seed), list(DELIVERY_INSTRUCTIONS)).alias("delivery_instructions"),
+        choice(b("warehouse"), [w[0] for w in WAREHOUSES]).alias("warehouse_id"),
+        choice(b("carrier"), list(CARRIERS)).alias("shipping_carrier"),
+        package_type(F.col("num_of_item"), b("package")).alias("package_type"),
+        uniform_decimal(b("cost_jitter"), "-2", "2").alias("_jitter"),
+        randint(b("processing"), 1, 3).alias("processing_days"),
+        randint(b("transit"), 1, 7).alias("transit_days"),
+        tracking_number(F.col("_th")).alias("tracking_number"),
+        F.bround(uniform_decimal(b("insurance"), "0", "5"), 2).cast("decimal(10,2)").alias("insurance_cost"),
+        (b("expedite") < 150_000).alias("is_expedited"),
+        choice(b("instructions"), list(DELIVERY_INSTRUCTIONS)).alias("delivery_instructions"),
     )
     j = (
         base.join(F.broadcast(warehouse_dim(spark)), "warehouse_id")
@@ -162,29 +179,36 @@ def _dim(spark, rows, schema):
     return F.broadcast(spark.createDataFrame(rows, schema))
 
 
+TICKET_SALTS = ("created", "category", "status", "agent", "channel", "escalated", "follow_up", "description",
+                "resolution", "response", "satisfaction", "priority")
+
+
 def support_tickets(spark: SparkSession, users: DataFrame, orders: DataFrame, as_of: str, seed: int = 42) -> DataFrame:
     fan = ticket_fanout(users, seed)
     tk = F.concat_ws("_", F.col("user_id").cast("string"), F.col("ticket_num").cast("string"))
+    fan = with_draws(fan.withColumn("_tk", tk), F.col("_tk"), TICKET_SALTS, seed)
+
+    def b(s):
+        return F.col(f"_b_{s}")
+
     span = F.datediff(F.to_date(F.lit(as_of)), F.col("registration_date"))
     t = fan.select(
-        "user_id", "ticket_num", tk.alias("_tk"),
-        F.concat(F.lit("TICK_"), F.upper(F.substring(F.md5(F.concat(F.lit(f"{seed}_ticket_"), tk)), 1, 12)))
+        "user_id", "ticket_num",
+        F.concat(F.lit("TICK_"), F.upper(F.substring(F.md5(F.concat(F.lit(f"{seed}_ticket_"), F.col("_tk"))), 1, 12)))
         .alias("ticket_id"),
-        F.date_add("registration_date", (draw(tk, "created", seed) % (F.greatest(span, F.lit(0)) + 1)).cast("int"))
+        F.date_add("registration_date", (b("created") % (F.greatest(span, F.lit(0)) + 1)).cast("int"))
         .alias("created_date"),
-        choice(draw(tk, "category", seed), [c for c, _ in ISSUE_CATEGORIES], [w for _, w in ISSUE_CATEGORIES])
-        .alias("issue_category"),
-        choice(draw(tk, "status", seed), [s for s, _ in TICKET_STATUSES], [w for _, w in TICKET_STATUSES])
-        .alias("status"),
-        choice(draw(tk, "agent", seed), list(AGENTS)).alias("assigned_agent"),
-        choice(draw(tk, "channel", seed), [c for c, _ in CHANNELS], [w for _, w in CHANNELS]).alias("contact_channel"),
-        (draw(tk, "escalated", seed) < 150_000).alias("is_escalated"),
-        (draw(tk, "follow_up", seed) < 250_000).alias("follow_up_required"),
-        (draw(tk, "description", seed) % 4).cast("int").alias("_desc_idx"),
-        uniform_decimal(draw(tk, "resolution", seed), "0.7", "1.3").alias("_u_res"),
-        uniform_decimal(draw(tk, "response", seed), "0.5", "1.5").alias("_u_resp"),
-        draw(tk, "satisfaction", seed).alias("_b_sat"),
-        draw(tk, "priority", seed).alias("_b_pri"),
+        choice(b("category"), [c for c, _ in ISSUE_CATEGORIES], [w for _, w in ISSUE_CATEGORIES]).alias("issue_category"),
+        choice(b("status"), [s for s, _ in TICKET_STATUSES], [w for _, w in TICKET_STATUSES]).alias("status"),
+        choice(b("agent"), list(AGENTS)).alias("assigned_agent"),
+        choice(b("channel"), [c for c, _ in CHANNELS], [w for _, w in CHANNELS]).alias("contact_channel"),
+        (b("escalated") < 150_000).alias("is_escalated"),
+        (b("follow_up") < 250_000).alias("follow_up_required"),
+        (b("description") % 4).cast("int").alias("_desc_idx"),
+        uniform_decimal(b("resolution"), "0.7", "1.3").alias("_u_res"),
+        uniform_decimal(b("response"), "0.5", "1.5").alias("_u_resp"),
+        b("satisfaction").alias("_b_sat"),
+        b("priority").alias("_b_pri"),
     )
     t = t.withColumn("priority", _conditional_choice(F.col("issue_category"), F.col("_b_pri"), PRIORITY_BY_CATEGORY,
                                                      PRIORITIES))

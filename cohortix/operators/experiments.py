@@ -135,8 +135,13 @@ def multi_experiment_assign(users: DataFrame, experiments=LEGACY_EXPERIMENTS) ->
         F.explode(F.filter(prog, lambda e: reg <= F.to_date(e["start"]))).alias("e"),
     )
     b = assignment_bucket(F.col("user_id"), F.col("e.experiment_name"))
-    idx = F.size(F.filter(F.col("e.cuts"), lambda t: t < b))
-    variant = F.when(idx < F.size("e.arms"), F.element_at("e.arms", idx + 1)).otherwise(F.element_at("e.arms", 1))
+    max_arms = max(len(x[1]) for x in experiments)
+    variant = None
+    for i in range(max_arms):
+        cut = F.try_element_at(F.col("e.cuts"), F.lit(i + 1))
+        arm = F.try_element_at(F.col("e.arms"), F.lit(i + 1))
+        variant = F.when(b <= cut, arm) if variant is None else variant.when(b <= cut, arm)
+    variant = variant.otherwise(F.element_at("e.arms", 1))
     return exploded.select(
         "user_id",
         F.col("e.experiment_name").alias("experiment_name"),
@@ -246,15 +251,19 @@ def uplift_overlay(cohort: DataFrame, cfg: ExperimentConfig, source_schema: T.St
     dcuts = day_cuts(cfg.duration_days)
     seed = cfg.seed
     uid = F.col("user_id")
-    n_orders = count_below(bucket(F.lit(f"{seed}_poisson_"), uid), pcuts)
-    per_user = cohort.select("user_id", n_orders.alias("_n")).filter(F.col("_n") > 0)
+    # Each draw is projected into its own column before the inverse-CDF
+    # lookup, so the lookup tree references a column, not the hash.
+    per_user = cohort.select("user_id", bucket(F.lit(f"{seed}_poisson_"), uid).alias("_bp")).select(
+        "user_id", count_below(F.col("_bp"), pcuts).alias("_n")
+    ).filter(F.col("_n") > 0)
     exploded = per_user.select("user_id", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_i"))
     okey = F.concat_ws("_", uid.cast("string"), F.col("_i").cast("string"))
 
     def draw(salt):
         return bucket(F.lit(f"{seed}_{salt}_"), okey)
 
-    day_idx = count_below(draw("day"), dcuts)
+    exploded = exploded.withColumn("_bd", draw("day"))
+    day_idx = count_below(F.col("_bd"), dcuts)
     order_ts = F.to_timestamp_ntz(F.date_add(F.to_date(F.lit(cfg.window.experiment_start)), day_idx))
     order_id = hash60(md5_hex(F.lit(f"{seed}_order_{cfg.name}_"), okey)).alias("order_id")
     fills = _fill_rules(source_schema, order_ts, uid, draw)

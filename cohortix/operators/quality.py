@@ -72,6 +72,12 @@ def key_preservation(source: DataFrame, output: DataFrame, key: str) -> DataFram
     return lost.unionByName(extra)
 
 
+def required_columns(df: DataFrame, columns) -> list[str]:
+    """Columns missing from a DataFrame's schema (plan-time, reads no data)."""
+    have = set(df.columns)
+    return [c for c in columns if c not in have]
+
+
 def summarize(checks: list[Check]) -> DataFrame:
     """One row per check: failures, severity, pass/fail.  Each count is its
     own aggregate; the union has one row per check."""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortix.functions.dates import calendar_days, ts_lit
-from cohortix.functions.jsonx import discover_keys, flatten_columns, json_scalar
+from cohortix.functions.jsonx import PARSED, discovered_paths, json_scalar, parse_once, typed_fields
 
 TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -30,15 +30,22 @@ def unique_txn_id(json_column: str = "json_body", ts_column: str = "_timestamp")
 
 def stg_transactions(raw: DataFrame, paths: list[str] | None = None, run_at: str | None = None) -> DataFrame:
     """Staged transactions: repaired key, typed fields (discovered when
-    ``paths`` is None), lineage, raw body kept."""
+    ``paths`` is None), lineage, raw body kept.  The JSON body is parsed once
+    per row; the repaired key reads its parts from the same parse."""
     if paths is None:
-        paths = sorted(
-            r["json_path"] for r in discover_keys(raw).filter(~F.col("data_type").isin("object", "array"))
-            .select("json_path").collect()
-        )
-    return raw.select(
-        unique_txn_id().alias("unique_transaction_id"),
-        *flatten_columns(paths),
+        paths = discovered_paths(raw)
+    parsed = parse_once(raw, paths)
+
+    def part(k):
+        if k in paths:
+            v = F.col(PARSED)[k]
+            return F.when(F.ltrim(v).startswith("{") | F.ltrim(v).startswith("["), F.lit(None)).otherwise(v)
+        return json_scalar("json_body", k)
+
+    uid = F.md5(F.concat(part("transaction_id"), part("customer_id"), ts_text(F.col("_timestamp"))))
+    return parsed.select(
+        uid.alias("unique_transaction_id"),
+        *typed_fields(paths),
         F.col("_timestamp").alias("transaction_timestamp"),
         "_ingestion_timestamp",
         "json_body",
@@ -56,17 +63,18 @@ def unique_customer_id() -> F.Column:
 
 
 def first_transaction(staged: DataFrame) -> DataFrame:
-    """Per customer: first timestamp and the tenure at it (ties broken by the
-    repaired key).  A partial/final hash aggregate: skew-safe."""
-    return (
-        staged.filter(F.col("customer_tenure_days").isNotNull())
-        .groupBy("customer_id")
-        .agg(
-            F.min("transaction_timestamp").alias("first_customer_transaction_date"),
-            F.min_by("customer_tenure_days", F.struct("transaction_timestamp", "unique_transaction_id"))
-            .alias("first_customer_tenure"),
-        )
+    """Per customer: first timestamp and the tenure at it, over rows with a
+    tenure (ties broken by the repaired key).  Conditional aggregates instead
+    of a pre-filter: the predicate would otherwise be pushed beneath the JSON
+    parse and evaluated on the raw text.  Partial/final hash aggregate:
+    skew-safe."""
+    has = F.col("customer_tenure_days").isNotNull()
+    agg = staged.groupBy("customer_id").agg(
+        F.min(F.when(has, F.col("transaction_timestamp"))).alias("first_customer_transaction_date"),
+        F.min_by("customer_tenure_days", F.when(has, F.struct("transaction_timestamp", "unique_transaction_id")))
+        .alias("first_customer_tenure"),
     )
+    return agg.filter(F.col("first_customer_transaction_date").isNotNull())
 
 
 def tenure_adjusted(staged: DataFrame) -> DataFrame:

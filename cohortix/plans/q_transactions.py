@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortix.functions.jsonx import discover_keys, flatten_columns
+from cohortix.functions.jsonx import discover_keys, flatten
 from cohortix.operators import transactions as B
 from cohortix.params import BOOLEAN_FIELDS, DOUBLE_FIELDS, RUN_AT
 from cohortix.plans import sqlfrag as Q
@@ -110,7 +110,7 @@ def json_schema_discovery(spark, sf_dir):
 @query("json_flatten", RAW + f"\nSELECT {UID_SQL} AS unique_transaction_id,\n  {FIELDS_SQL}\nFROM src_raw")
 def json_flatten(spark, sf_dir):
     raw = _raw(spark, sf_dir)
-    return raw.select(B.unique_txn_id().alias("unique_transaction_id"), *flatten_columns(PATHS))
+    return flatten(raw, PATHS, keep=[B.unique_txn_id().alias("unique_transaction_id")])
 
 
 @query("stg_transactions", STG + "\nSELECT * FROM stg")

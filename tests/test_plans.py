@@ -12,7 +12,7 @@ def plan(df) -> str:
 
 def test_window_filter_pushes_to_scan(spark):
     p = plan(E.queries()["window_filter"](spark, SF))
-    assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in p
+    assert "GreaterThanOrEqual(o_orderdate" in p.split("PushedFilters")[1].split("]")[0]
 
 
 def test_projection_is_pruned(spark):

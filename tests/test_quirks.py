@@ -136,3 +136,16 @@ def test_empty_and_single_user_assignment(spark):
     one = spark.createDataFrame([(42,)], "user_id long")
     r = experiment_assignments(one, cfg).first()
     assert r.object_identifier == "42" and r.variant in ("control", "treatment")
+
+
+def test_required_columns_and_layers(spark, tmp_path):
+    from cohortix.operators.quality import required_columns
+    from cohortix.plans.layers import materialize, schema_name
+
+    df = spark.createDataFrame([(1, "a")], "order_id long, status string")
+    assert required_columns(df, ["order_id", "status", "created_at"]) == ["created_at"]
+    assert schema_name(None, "tgt") == "tgt" and schema_name(" marts ", "tgt") == "analytics_marts"
+    v = materialize(spark, df, "stg_demo", "staging")
+    assert v.count() == 1
+    t = materialize(spark, df, "mart_demo", "marts", location=str(tmp_path / "mart_demo"))
+    assert t.count() == 1
