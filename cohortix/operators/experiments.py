@@ -262,9 +262,18 @@ def uplift_overlay(cohort: DataFrame, cfg: ExperimentConfig, source_schema: T.St
     def draw(salt):
         return bucket(F.lit(f"{seed}_{salt}_"), okey)
 
-    exploded = exploded.withColumn("_bd", draw("day"))
-    day_idx = count_below(F.col("_bd"), dcuts)
-    order_ts = F.to_timestamp_ntz(F.date_add(F.to_date(F.lit(cfg.window.experiment_start)), day_idx))
+    exploded = exploded.withColumn("_bd", draw("day")).withColumn("_day", count_below(F.col("_bd"), dcuts))
+    # Order dates come from a calendar of the experiment's days (one row per
+    # day, a broadcast equi-join): filters on created_at then stop at the
+    # join instead of being rewritten into the hash lookup.
+    spark = cohort.sparkSession
+    cal = spark.range(cfg.duration_days).select(
+        F.col("id").cast("int").alias("_day"),
+        F.to_timestamp_ntz(F.date_add(F.to_date(F.lit(cfg.window.experiment_start)), F.col("id").cast("int")))
+        .alias("_order_ts"),
+    )
+    exploded = exploded.join(F.broadcast(cal), "_day")
+    order_ts = F.col("_order_ts")
     order_id = hash60(md5_hex(F.lit(f"{seed}_order_{cfg.name}_"), okey)).alias("order_id")
     fills = _fill_rules(source_schema, order_ts, uid, draw)
     return exploded.select(
@@ -275,7 +284,8 @@ def uplift_overlay(cohort: DataFrame, cfg: ExperimentConfig, source_schema: T.St
 
 def overlay_for(orders: DataFrame, cfg: ExperimentConfig, run_at: str | None = None) -> DataFrame:
     """A4 -> X2b -> X5 -> X6 as one lazy plan."""
-    parts = experiment_participants(orders, cfg.window.experiment_start, cfg.window.experiment_end)
+    headers = orders.select("user_id", "created_at")
+    parts = experiment_participants(headers, cfg.window.experiment_start, cfg.window.experiment_end)
     asg = experiment_assignments(parts, cfg, run_at)
     cohort = treatment_cohort(asg, cfg)
     return uplift_overlay(cohort, cfg, orders.schema)

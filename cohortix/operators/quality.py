@@ -32,6 +32,44 @@ def not_null(df: DataFrame, id_col: str, columns) -> DataFrame:
     return df.select(id_col, F.explode(F.filter(arr, lambda x: x.isNotNull())).alias("failed_column"))
 
 
+def rule_violations(df: DataFrame, id_col: str, rules) -> DataFrame:
+    """Several row-level rules in one pass: ``rules`` is a list of
+    (column_name, bad_condition, reported_value); one output row per
+    (row, failed rule).  A union of per-rule filters would recompute the
+    input once per rule."""
+    arr = F.array(*[
+        F.when(F.coalesce(bad, F.lit(False)), F.struct(F.lit(name).alias("column_name"), value.alias("value")))
+        for name, bad, value in rules
+    ])
+    return df.select(id_col, F.explode(F.filter(arr, lambda x: x.isNotNull())).alias("_v")).select(
+        id_col, "_v.column_name", "_v.value"
+    )
+
+
+def accepted_values_rule(column: str, values):
+    c = F.col(column)
+    return (column, c.isNotNull() & ~c.isin(list(values)), c.cast("string"))
+
+
+def range_rule(column: str, min_value=None, max_value=None):
+    c = F.col(column)
+    bad = F.lit(False)
+    if min_value is not None:
+        bad = bad | (c < F.lit(min_value))
+    if max_value is not None:
+        bad = bad | (c > F.lit(max_value))
+    return (column, c.isNotNull() & bad, c.cast("double"))
+
+
+def count_rule_failures(df: DataFrame, rules) -> DataFrame:
+    """Failure count per row-level rule in a single aggregate (one scan)."""
+    aggs = [F.count_if(F.coalesce(bad, F.lit(False))).alias(name) for name, bad in rules]
+    wide = df.agg(*aggs)
+    return wide.select(F.explode(F.array(*[
+        F.struct(F.lit(name).alias("check_name"), F.col(name).alias("n_failures")) for name, _ in rules
+    ])).alias("_r")).select("_r.check_name", "_r.n_failures")
+
+
 def accepted_values(df: DataFrame, id_col: str, column: str, values) -> DataFrame:
     return df.filter(F.col(column).isNotNull() & ~F.col(column).isin(list(values))).select(
         id_col, F.lit(column).alias("column_name"), F.col(column).cast("string").alias("value")

@@ -18,7 +18,8 @@ W = CFG.window
 
 def _flow(spark, sf_dir, upto="mart"):
     orders = fx.orders(spark, sf_dir)
-    parts = X.experiment_participants(orders, W.experiment_start, W.experiment_end)
+    # participants need order headers only (no line-item aggregate)
+    parts = X.experiment_participants(fx.orders(spark, sf_dir, with_items=False), W.experiment_start, W.experiment_end)
     asg = X.experiment_assignments(parts, CFG, RUN_AT)
     if upto == "assignments":
         return asg

@@ -44,11 +44,11 @@ UNION ALL SELECT order_id, 'time_period', time_period FROM mart WHERE time_perio
 UNION ALL SELECT order_id, 'gender', gender FROM mart WHERE gender IS NOT NULL AND gender NOT IN ('M', 'F')""")
 def dq_accepted_values(spark, sf_dir):
     m = QX._flow(spark, sf_dir, "mart")
-    return (
-        D.accepted_values(m, "order_id", "status", ORDER_STATUSES)
-        .unionByName(D.accepted_values(m, "order_id", "time_period", TIME_PERIODS))
-        .unionByName(D.accepted_values(m, "order_id", "gender", ("M", "F")))
-    )
+    return D.rule_violations(m, "order_id", [
+        D.accepted_values_rule("status", ORDER_STATUSES),
+        D.accepted_values_rule("time_period", TIME_PERIODS),
+        D.accepted_values_rule("gender", ("M", "F")),
+    ])
 
 
 @query("dq_range", QT.STG + """
@@ -57,9 +57,9 @@ UNION ALL SELECT unique_transaction_id, 'risk_score', CAST(risk_score AS DOUBLE)
 WHERE risk_score IS NOT NULL AND (risk_score < 0.0 OR risk_score > 1.0)""")
 def dq_range(spark, sf_dir):
     s = QT._stg(spark, sf_dir)
-    return D.accepted_range(s, "unique_transaction_id", "amount", 0).unionByName(
-        D.accepted_range(s, "unique_transaction_id", "risk_score", 0.0, 1.0)
-    )
+    return D.rule_violations(s, "unique_transaction_id", [
+        D.range_rule("amount", 0), D.range_rule("risk_score", 0.0, 1.0),
+    ])
 
 
 TENURE_BOUNDS = (("first_customer_tenure", 0, 10000), ("days_from_first_transaction", 0, 365),
@@ -71,11 +71,7 @@ TENURE_BOUNDS = (("first_customer_tenure", 0, 10000), ("days_from_first_transact
     f"WHERE {c} IS NOT NULL AND ({c} < {lo} OR {c} > {hi})" for c, lo, hi in TENURE_BOUNDS))
 def dq_between(spark, sf_dir):
     t = B.tenure_adjusted(QT._stg(spark, sf_dir))
-    out = None
-    for c, lo, hi in TENURE_BOUNDS:
-        v = D.between(t, "unique_transaction_id", c, lo, hi)
-        out = v if out is None else out.unionByName(v)
-    return out
+    return D.rule_violations(t, "unique_transaction_id", [D.range_rule(c, lo, hi) for c, lo, hi in TENURE_BOUNDS])
 
 
 @query("dq_conditional", QX.FLOW_MART + """
@@ -114,12 +110,51 @@ _SUMMARY_PARTS = [
 ]
 
 
+def _txn_summary(s):
+    """Row-level rules in one aggregate, key uniqueness as group-bys."""
+    def in_set(c, values):
+        return F.col(c).isNotNull() & ~F.col(c).isin(list(values))
+
+    def rng(c, lo=None, hi=None):
+        bad = F.lit(False)
+        if lo is not None:
+            bad = bad | (F.col(c) < lo)
+        if hi is not None:
+            bad = bad | (F.col(c) > hi)
+        return F.col(c).isNotNull() & bad
+
+    nulls = F.lit(0)
+    for c in STG_REQUIRED:
+        nulls = nulls + F.col(c).isNull().cast("int")
+    rows = D.count_rule_failures(s.withColumn("_nulls", nulls), [
+        ("currency_accepted", in_set("currency", ("USD",))),
+        ("status_accepted", in_set("status", TXN_STATUSES)),
+        ("risk_level_accepted", in_set("risk_level", RISK_LEVELS)),
+        ("risk_score_range", rng("risk_score", 0.0, 1.0)),
+        ("amount_range", rng("amount", 0)),
+    ])
+    null_count = s.select(nulls.alias("_n")).agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n_failures")) \
+        .select(F.lit("required_not_null").alias("check_name"), "n_failures")
+    uniq = [
+        D.unique(s, "unique_transaction_id").agg(F.count(F.lit(1)).alias("n_failures"))
+        .select(F.lit("unique_transaction_id_unique").alias("check_name"), "n_failures"),
+        D.unique(s, "transaction_id").agg(F.count(F.lit(1)).alias("n_failures"))
+        .select(F.lit("transaction_id_unique").alias("check_name"), "n_failures"),
+    ]
+    out = rows.unionByName(null_count)
+    for u in uniq:
+        out = out.unionByName(u)
+    sev = F.when(F.col("check_name") == "unique_transaction_id_unique", "error").otherwise("warn")
+    return out.select("check_name", "n_failures", sev.alias("severity")).withColumn(
+        "status", F.when(F.col("n_failures") == 0, "pass").otherwise("fail"))
+
+
 @query("dq_summary", QT.STG + ",\nsumm AS (" + " UNION ALL ".join(
     f"SELECT '{n}' AS check_name, (SELECT count(*) FROM ({q}) x) AS n_failures, '{sev}' AS severity"
     for n, sev, q in _SUMMARY_PARTS) + """)
 SELECT *, CASE WHEN n_failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM summ""")
 def dq_summary(spark, sf_dir):
-    return D.summarize(_txn_checks(QT._stg(spark, sf_dir)))
+    return _txn_summary(QT._stg(spark, sf_dir))
 
 
 @query("dq_row_rule", QE.LOGISTICS + """
