@@ -146,3 +146,41 @@ def flatten(df: DataFrame, paths: list[str] | None = None, json_column: str = "j
         paths = discovered_paths(df, json_column)
     keep = list(df.columns) if keep is None else keep
     return parse_once(df, paths, json_column).select(*keep, *typed_fields(paths))
+
+
+# ---------------------------------------------------------------------------
+# Regex discovery (the source system's text-pattern method), over all rows.
+# Fixed patterns of the source system:
+#   key names:   "([a-zA-Z_][a-zA-Z0-9_]*)"\s*:
+#   value text:  "<key>":([^,}]+)
+#   number:      ^-?\d+(\.\d+)?$      boolean: ^(true|false)$
+# ---------------------------------------------------------------------------
+
+KEY_PATTERN = r'"([a-zA-Z_][a-zA-Z0-9_]*)"\s*:'
+NUMBER_PATTERN = r"^-?\d+(\.\d+)?$"
+BOOLEAN_PATTERN = r"^(true|false)$"
+
+
+def regex_extract_or_null(text: Column, pattern: Column, idx: int = 1) -> Column:
+    """REGEXP_EXTRACT with NULL (not '') when nothing matches; the pattern
+    may be a column (built per key)."""
+    return F.nullif(F.regexp_extract_all(text, pattern, F.lit(idx)).getItem(0), F.lit(""))
+
+
+def regex_discovery(df: DataFrame, json_column: str = "json_body") -> DataFrame:
+    """Key names by pattern (nested keys match too), each value's text typed
+    by pattern; per key the merged kind over all rows (conflicts -> string)."""
+    body = F.col(json_column)
+    keys = df.select(body.alias("_b"), F.explode(F.regexp_extract_all(body, F.lit(KEY_PATTERN), 1)).alias("json_path"))
+    keys = keys.filter(F.col("json_path").isNotNull() & (F.col("json_path") != "") & F.col("json_path").rlike(_IDENT))
+    pat = F.concat(F.lit('"'), F.col("json_path"), F.lit('":([^,}]+)'))
+    value = regex_extract_or_null(F.col("_b"), pat)
+    kind = (F.when(value.rlike(NUMBER_PATTERN), "number").when(value.rlike(BOOLEAN_PATTERN), "boolean")
+            .otherwise("string"))
+    per_kind = keys.select("json_path", kind.alias("kind")).groupBy("json_path", "kind").agg(
+        F.count(F.lit(1)).alias("n"))
+    per = per_kind.groupBy("json_path").agg(F.sum("n").alias("n_records"), F.count(F.lit(1)).alias("n_kinds"),
+                                            F.max("kind").alias("any_kind"))
+    data_type = F.when(F.col("n_kinds") == 1, F.col("any_kind")).otherwise("string")
+    wh = F.when(data_type == "number", "NUMERIC").when(data_type == "boolean", "BOOLEAN").otherwise("STRING")
+    return per.select("json_path", data_type.alias("data_type"), wh.alias("warehouse_type"), "n_records")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortix.functions.jsonx import discover_keys, flatten
+from cohortix.functions.jsonx import discover_keys, flatten, regex_discovery
 from cohortix.operators import transactions as B
 from cohortix.params import BOOLEAN_FIELDS, DOUBLE_FIELDS, RUN_AT
 from cohortix.plans import sqlfrag as Q
@@ -179,3 +179,21 @@ SELECT *, lowest_count * 100.0 / base_daily_volume AS lowest_pct, highest_count
 FROM a""")
 def volume_profile(spark, sf_dir):
     return B.volume_profile(_raw(spark, sf_dir))
+
+
+@query("json_regex_discovery", RAW + """,
+kk AS (SELECT json_body, k AS json_path
+       FROM src_raw, unnest(regexp_extract_all(json_body, '"([a-zA-Z_][a-zA-Z0-9_]*)"\\s*:', 1)) t(k)
+       WHERE k IS NOT NULL AND k <> '' AND regexp_full_match(k, '^[a-zA-Z_][a-zA-Z0-9_]*$')),
+kv AS (SELECT json_path, nullif(regexp_extract(json_body, '"' || json_path || '":([^,}]+)', 1), '') AS v FROM kk),
+kinds AS (SELECT json_path, CASE WHEN regexp_matches(v, '^-?\\d+(\\.\\d+)?$') THEN 'number'
+                                 WHEN regexp_matches(v, '^(true|false)$') THEN 'boolean' ELSE 'string' END AS kind FROM kv),
+per AS (SELECT json_path, sum(n) AS n_records, count(*) AS n_kinds, max(kind) AS any_kind
+        FROM (SELECT json_path, kind, count(*) AS n FROM kinds GROUP BY ALL) GROUP BY json_path)
+SELECT json_path, CASE WHEN n_kinds = 1 THEN any_kind ELSE 'string' END AS data_type,
+       CASE WHEN n_kinds = 1 AND any_kind = 'number' THEN 'NUMERIC'
+            WHEN n_kinds = 1 AND any_kind = 'boolean' THEN 'BOOLEAN' ELSE 'STRING' END AS warehouse_type,
+       CAST(n_records AS BIGINT) AS n_records
+FROM per""")
+def json_regex_discovery(spark, sf_dir):
+    return regex_discovery(_raw(spark, sf_dir))
