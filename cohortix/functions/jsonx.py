@@ -167,14 +167,25 @@ def regex_extract_or_null(text: Column, pattern: Column, idx: int = 1) -> Column
     return F.nullif(F.regexp_extract_all(text, pattern, F.lit(idx)).getItem(0), F.lit(""))
 
 
+PAIR_PATTERN = r'"([a-zA-Z_][a-zA-Z0-9_]*)":([^,}]+)'
+
+
 def regex_discovery(df: DataFrame, json_column: str = "json_body") -> DataFrame:
     """Key names by pattern (nested keys match too), each value's text typed
-    by pattern; per key the merged kind over all rows (conflicts -> string)."""
+    by pattern; per key the merged kind over all rows (conflicts -> string).
+
+    Values come from one fixed pair pattern per row (first pair of a key
+    wins) rather than a per-key pattern, which would be compiled per row."""
     body = F.col(json_column)
-    keys = df.select(body.alias("_b"), F.explode(F.regexp_extract_all(body, F.lit(KEY_PATTERN), 1)).alias("json_path"))
+    per_row = df.select(
+        F.regexp_extract_all(body, F.lit(PAIR_PATTERN), 1).alias("_pk"),
+        F.regexp_extract_all(body, F.lit(PAIR_PATTERN), 2).alias("_pv"),
+        F.regexp_extract_all(body, F.lit(KEY_PATTERN), 1).alias("_keys"),
+    )
+    keys = per_row.select("_pk", "_pv", F.explode("_keys").alias("json_path"))
     keys = keys.filter(F.col("json_path").isNotNull() & (F.col("json_path") != "") & F.col("json_path").rlike(_IDENT))
-    pat = F.concat(F.lit('"'), F.col("json_path"), F.lit('":([^,}]+)'))
-    value = regex_extract_or_null(F.col("_b"), pat)
+    pos = F.array_position(F.col("_pk"), F.col("json_path"))
+    value = F.nullif(F.when(pos > 0, F.element_at(F.col("_pv"), pos.cast("int"))), F.lit(""))
     kind = (F.when(value.rlike(NUMBER_PATTERN), "number").when(value.rlike(BOOLEAN_PATTERN), "boolean")
             .otherwise("string"))
     per_kind = keys.select("json_path", kind.alias("kind")).groupBy("json_path", "kind").agg(

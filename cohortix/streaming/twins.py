@@ -115,7 +115,7 @@ class LatestWrite(StatefulProcessor):
         )
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        cur = self.state.get() if self.state.exists() else None
+        cur = self.state.get()  # None when the key has no (unexpired) state
         best_ts, best_seq, best_payload, n = (cur[0], cur[1], cur[2], cur[3]) if cur else (None, None, None, 0)
         changed = False
         for r in rows:
