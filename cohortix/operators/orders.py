@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortix.functions.dates import calendar_days, in_window, ts_lit
+from cohortix.functions.dates import calendar_days, elapsed_days, in_window, ts_lit
 from cohortix.params import ExperimentConfig, ExperimentWindow
 
 STG_COLUMNS = ("order_id", "user_id", "experiment_name", "variant", "status", "gender", "num_of_item",
@@ -85,8 +85,13 @@ def order_flags(df: DataFrame) -> DataFrame:
     )
 
 
-def experiment_mart(union: DataFrame, cfg: ExperimentConfig, run_at: str | None = None) -> DataFrame:
+def experiment_mart(union: DataFrame, cfg: ExperimentConfig, run_at: str | None = None,
+                    day_count: str = "calendar") -> DataFrame:
+    """Order-level analysis mart.  ``day_count='calendar'`` counts date
+    boundaries (the warehouse's date_diff on dates); ``'elapsed'`` counts whole
+    24-hour periods between the timestamps."""
     w = cfg.window
+    days = calendar_days if day_count == "calendar" else elapsed_days
     return union.filter(in_window("created_at", w.baseline_start, w.experiment_end, w.inclusive_days)).select(
         "order_id", "user_id", "data_source", "experiment_name", "variant", "control_treatment",
         "variant_description", "experiment_status",
@@ -95,8 +100,8 @@ def experiment_mart(union: DataFrame, cfg: ExperimentConfig, run_at: str | None
         F.when(F.col("status") == "Complete", 1).otherwise(0).alias("is_completed"),
         F.when(F.col("status") == "Cancelled", 1).otherwise(0).alias("is_cancelled"),
         F.lit(0).alias("is_returned"),
-        calendar_days(F.col("shipped_at"), F.col("created_at")).alias("days_to_ship"),
-        calendar_days(F.col("delivered_at"), F.col("created_at")).alias("days_to_deliver"),
+        days(F.col("shipped_at"), F.col("created_at")).alias("days_to_ship"),
+        days(F.col("delivered_at"), F.col("created_at")).alias("days_to_deliver"),
         (ts_lit(run_at) if run_at else F.localtimestamp()).alias("analysis_run_at"),
         "_loaded_at",
     )

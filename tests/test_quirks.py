@@ -149,3 +149,11 @@ def test_required_columns_and_layers(spark, tmp_path):
     assert v.count() == 1
     t = materialize(spark, df, "mart_demo", "marts", location=str(tmp_path / "mart_demo"))
     assert t.count() == 1
+
+
+def test_day_count_modes(spark):
+    from cohortix.functions.dates import calendar_days, elapsed_days
+
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 23, 0), dt.datetime(2024, 1, 2, 1, 0))], "a timestamp_ntz, b timestamp_ntz")
+    r = df.select(calendar_days(F.col("b"), F.col("a")).alias("c"), elapsed_days(F.col("b"), F.col("a")).alias("e")).first()
+    assert (r.c, r.e) == (1, 0)
