@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cohortix.session import apply_runtime_conf
+
 Builder = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Builder] = {}
@@ -19,7 +22,13 @@ def query(key: str, sql: str | None = None):
     def deco(fn: Builder) -> Builder:
         if key in QUERIES:
             raise ValueError(f"duplicate catalog key {key}")
-        QUERIES[key] = fn
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            apply_runtime_conf(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[key] = run
         if sql is not None:
             ORACLE[key] = sql
         return fn

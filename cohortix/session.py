@@ -62,6 +62,19 @@ def get_session(
     return spark
 
 
+def apply_runtime_conf(spark: SparkSession) -> SparkSession:
+    """Apply the engine's runtime SQL settings to a session created elsewhere
+    (e.g. by a job driver); static settings are left alone."""
+    for k, v in BASE_CONF.items():
+        if k.startswith("spark.sql."):
+            try:
+                if spark.conf.get(k, None) != v:
+                    spark.conf.set(k, v)
+            except Exception:  # pragma: no cover - static conf
+                pass
+    return spark
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and lineage-cutting tables.
 
