@@ -85,11 +85,26 @@ def discover_keys(df: DataFrame, json_column: str = "json_body") -> DataFrame:
     return per.select("json_path", data_type.alias("data_type"), warehouse.alias("warehouse_type"), "n_records")
 
 
+_DISCOVERED: dict[tuple, list[str]] = {}
+
+
 def discovered_paths(df: DataFrame, json_column: str = "json_body") -> list[str]:
     """Plan-time discovery: the sorted list of scalar keys (one row per
-    distinct key reaches the driver, never the data)."""
+    distinct key reaches the driver, never the data).  Memoised per session
+    on the canonical plan hash and the input files, so the several models
+    built on one staged table run discovery once (new files = new key)."""
+    try:
+        key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(sorted(df.inputFiles())),
+               json_column)
+    except Exception:  # pragma: no cover - plans without a stable hash
+        key = None
+    if key is not None and key in _DISCOVERED:
+        return list(_DISCOVERED[key])
     d = discover_keys(df, json_column).filter(~F.col("data_type").isin("object", "array"))
-    return sorted(r["json_path"] for r in d.select("json_path").collect())
+    paths = sorted(r["json_path"] for r in d.select("json_path").collect())
+    if key is not None:
+        _DISCOVERED[key] = paths
+    return list(paths)
 
 
 PARSED = "_parsed"
