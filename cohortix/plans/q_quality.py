@@ -83,19 +83,6 @@ def dq_conditional(spark, sf_dir):
                          lambda df: D.not_null(df, "order_id", ("experiment_name", "variant")))
 
 
-def _txn_checks(s):
-    return [
-        D.Check("unique_transaction_id_unique", D.unique(s, "unique_transaction_id"), "error"),
-        D.Check("transaction_id_unique", D.unique(s, "transaction_id")),
-        D.Check("required_not_null", D.not_null(s, "unique_transaction_id", STG_REQUIRED)),
-        D.Check("currency_accepted", D.accepted_values(s, "unique_transaction_id", "currency", ("USD",))),
-        D.Check("status_accepted", D.accepted_values(s, "unique_transaction_id", "status", TXN_STATUSES)),
-        D.Check("risk_level_accepted", D.accepted_values(s, "unique_transaction_id", "risk_level", RISK_LEVELS)),
-        D.Check("risk_score_range", D.accepted_range(s, "unique_transaction_id", "risk_score", 0.0, 1.0)),
-        D.Check("amount_range", D.accepted_range(s, "unique_transaction_id", "amount", 0)),
-    ]
-
-
 _SUMMARY_PARTS = [
     ("unique_transaction_id_unique", "error",
      "SELECT unique_transaction_id FROM stg GROUP BY unique_transaction_id HAVING count(*) > 1"),
