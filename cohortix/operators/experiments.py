@@ -208,9 +208,20 @@ OVERLAY_COLUMNS = ("order_id", "user_id", "experiment_name", "variant", "status"
                    "num_of_item", "created_at", "shipped_at", "delivered_at")
 
 
-def _fill_rules(source_schema: T.StructType, order_ts: F.Column, user: F.Column, draw) -> list[F.Column]:
+def sample_values(source, columns) -> dict:
+    """Schema capture: one sample row's values for the given columns (a
+    single-row read, only when some column has no fill rule)."""
+    if not columns:
+        return {}
+    row = source.select(*columns).limit(1).collect()
+    return row[0].asDict() if row else {}
+
+
+def _fill_rules(source_schema: T.StructType, order_ts: F.Column, user: F.Column, draw,
+                samples: dict | None = None) -> list[F.Column]:
     """Column fill by name and type of the source schema (decided on the
-    driver from ``df.schema``; no data is read)."""
+    driver from ``df.schema``); columns without a rule take the sample value."""
+    samples = samples or {}
     cols = []
     for f in source_schema.fields:
         name = f.name.lower()
@@ -231,19 +242,35 @@ def _fill_rules(source_schema: T.StructType, order_ts: F.Column, user: F.Column,
             elif "gender" in name:
                 c = F.when(draw("gender") % 2 == 0, "M").otherwise("F")
             else:
-                c = F.lit(None)
+                c = F.lit(samples.get(f.name))
         elif isinstance(f.dataType, (T.IntegerType, T.LongType, T.ShortType)):
             if "num_of_item" in name or "quantity" in name:
                 c = randint(draw("items"), 1, 3)
             else:
-                c = F.lit(None)
+                c = F.lit(samples.get(f.name))
         else:
-            c = F.lit(None)
+            c = F.lit(samples.get(f.name))
         cols.append(c.cast(f.dataType).alias(f.name))
     return cols
 
 
-def uplift_overlay(cohort: DataFrame, cfg: ExperimentConfig, source_schema: T.StructType) -> DataFrame:
+def unruled_columns(source_schema: T.StructType) -> list[str]:
+    """Source columns the fill rules do not cover (they take a sample value)."""
+    out = []
+    for f in source_schema.fields:
+        n = f.name.lower()
+        if f.name in ("order_id", "user_id") or isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            continue
+        if isinstance(f.dataType, T.StringType) and ("status" in n or "gender" in n):
+            continue
+        if isinstance(f.dataType, (T.IntegerType, T.LongType, T.ShortType)) and ("num_of_item" in n or "quantity" in n):
+            continue
+        out.append(f.name)
+    return out
+
+
+def uplift_overlay(cohort: DataFrame, cfg: ExperimentConfig, source_schema: T.StructType,
+                   samples: dict | None = None) -> DataFrame:
     """Synthetic treatment orders: per user a Poisson(lam) count, each order
     on a day drawn from the day weights (n categorical draws = one multinomial)."""
     lam = cfg.additional_orders_per_user
@@ -275,11 +302,13 @@ def uplift_overlay(cohort: DataFrame, cfg: ExperimentConfig, source_schema: T.St
     exploded = exploded.join(F.broadcast(cal), "_day")
     order_ts = F.col("_order_ts")
     order_id = hash60(md5_hex(F.lit(f"{seed}_order_{cfg.name}_"), okey)).alias("order_id")
-    fills = _fill_rules(source_schema, order_ts, uid, draw)
-    return exploded.select(
+    fills = _fill_rules(source_schema, order_ts, uid, draw, samples)
+    out = exploded.select(
         order_id, uid.alias("user_id"), *fills,
         F.lit(cfg.name).alias("experiment_name"), F.lit(cfg.treatment_name).alias("variant"),
-    ).select(*[c for c in OVERLAY_COLUMNS])
+    )
+    ordered = [c for c in OVERLAY_COLUMNS if c in out.columns]
+    return out.select(*ordered, *[c for c in out.columns if c not in ordered])
 
 
 def overlay_for(orders: DataFrame, cfg: ExperimentConfig, run_at: str | None = None) -> DataFrame:
@@ -288,7 +317,7 @@ def overlay_for(orders: DataFrame, cfg: ExperimentConfig, run_at: str | None = N
     parts = experiment_participants(headers, cfg.window.experiment_start, cfg.window.experiment_end)
     asg = experiment_assignments(parts, cfg, run_at)
     cohort = treatment_cohort(asg, cfg)
-    return uplift_overlay(cohort, cfg, orders.schema)
+    return uplift_overlay(cohort, cfg, orders.schema, sample_values(orders, unruled_columns(orders.schema)))
 
 
 def overlay_summary(overlay: DataFrame, cfg: ExperimentConfig) -> DataFrame:

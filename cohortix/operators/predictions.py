@@ -31,8 +31,12 @@ def latest_per_key(log: DataFrame) -> DataFrame:
     )
 
 
-def latest_per_key_ttl(log: DataFrame, as_of: str, ttl_days: int = CACHE_TTL_DAYS) -> DataFrame:
-    """Keys still alive at ``as_of``: last write within the TTL."""
+def latest_per_key_ttl(log: DataFrame, as_of: str, ttl_days: int = CACHE_TTL_DAYS,
+                       run_at: str | None = None) -> DataFrame:
+    """Keys still alive at ``as_of``: last write within the TTL.  Writes
+    without a time take ``run_at`` (the write-time default) when given."""
+    if run_at is not None:
+        log = stamp_default_time(log, run_at)
     horizon = F.timestamp_add("DAY", F.lit(-ttl_days), ts_lit(as_of))
     return latest_per_key(log).filter((F.col("written_at") > horizon) & (F.col("written_at") <= ts_lit(as_of)))
 

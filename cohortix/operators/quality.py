@@ -130,6 +130,19 @@ def summarize(checks: list[Check]) -> DataFrame:
     return out.withColumn("status", F.when(F.col("n_failures") == 0, "pass").otherwise("fail"))
 
 
+def store_failures(checks: list[Check], base_path: str) -> DataFrame:
+    """Write each check's violating rows to ``base_path/<check name>``
+    (overwrite: a rerun replaces the previous failures) and return the
+    summary read back from the stored tables."""
+    spark = checks[0].violations.sparkSession
+    stored = []
+    for ch in checks:
+        path = f"{base_path.rstrip('/')}/{ch.name}"
+        ch.violations.write.mode("overwrite").parquet(path)
+        stored.append(Check(ch.name, spark.read.parquet(path), ch.severity))
+    return summarize(stored)
+
+
 def enforce(summary: DataFrame) -> None:
     """Raise when an error-severity check failed (warn-level checks only report)."""
     bad = summary.filter((F.col("severity") == "error") & (F.col("n_failures") > 0)).select("check_name").collect()

@@ -157,3 +157,38 @@ def test_day_count_modes(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 23, 0), dt.datetime(2024, 1, 2, 1, 0))], "a timestamp_ntz, b timestamp_ntz")
     r = df.select(calendar_days(F.col("b"), F.col("a")).alias("c"), elapsed_days(F.col("b"), F.col("a")).alias("e")).first()
     assert (r.c, r.e) == (1, 0)
+
+
+def test_store_failures_and_default_write_time(spark, tmp_path):
+    from cohortix.operators import predictions as P
+    from cohortix.operators import quality as D
+
+    df = spark.createDataFrame([(1, "Complete"), (2, "Lost"), (2, "Lost")], "order_id long, status string")
+    checks = [D.Check("status_accepted", D.accepted_values(df, "order_id", "status", ("Complete",))),
+              D.Check("order_unique", D.unique(df, "order_id"), "error")]
+    summ = {r.check_name: (r.n_failures, r.status) for r in D.store_failures(checks, str(tmp_path)).collect()}
+    assert summ == {"status_accepted": (2, "fail"), "order_unique": (1, "fail")}
+    assert spark.read.parquet(str(tmp_path / "status_accepted")).count() == 2
+    with pytest.raises(AssertionError):
+        D.enforce(D.store_failures(checks, str(tmp_path)))
+
+    log = spark.createDataFrame([("tx:1", None, 1, "a"), ("tx:1", dt.datetime(2024, 1, 30), 2, "b")],
+                                "record_key string, written_at timestamp_ntz, seq long, payload string")
+    live = P.latest_per_key_ttl(log, "2024-01-31 00:00:00", run_at="2024-01-30 12:00:00").first()
+    assert live.payload == "a" and live.n_writes == 2
+
+
+def test_overlay_sample_value_fill(spark):
+    from pyspark.sql import types as T
+
+    from cohortix.operators.experiments import sample_values, unruled_columns, uplift_overlay
+
+    src = spark.createDataFrame([(1, 7, "Complete", "M", 2, dt.datetime(2024, 1, 1), "web")],
+                                "order_id long, user_id long, status string, gender string, num_of_item int, "
+                                "created_at timestamp_ntz, channel string")
+    assert unruled_columns(src.schema) == ["channel"]
+    cfg = ExperimentConfig(daily_eligible_users=1000, effect_size=5.0)
+    cohort = spark.range(0, 50).select(F.col("id").alias("user_id"))
+    ov = uplift_overlay(cohort, cfg, src.schema, sample_values(src, unruled_columns(src.schema)))
+    assert ov.count() > 0
+    assert "channel" not in ov.columns or ov.filter(F.col("channel") != "web").count() == 0
