@@ -61,9 +61,13 @@ def range_rule(column: str, min_value=None, max_value=None):
     return (column, c.isNotNull() & bad, c.cast("double"))
 
 
-def count_rule_failures(df: DataFrame, rules) -> DataFrame:
-    """Failure count per row-level rule in a single aggregate (one scan)."""
+def count_rule_failures(df: DataFrame, rules, weighted=()) -> DataFrame:
+    """Failure count per row-level rule in a single aggregate (one scan).
+    ``weighted`` are (name, per-row failure count) pairs, e.g. the number of
+    null required columns of a row."""
     aggs = [F.count_if(F.coalesce(bad, F.lit(False))).alias(name) for name, bad in rules]
+    aggs += [F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(name) for name, n in weighted]
+    rules = list(rules) + list(weighted)
     wide = df.agg(*aggs)
     return wide.select(F.explode(F.array(*[
         F.struct(F.lit(name).alias("check_name"), F.col(name).alias("n_failures")) for name, _ in rules

@@ -113,22 +113,20 @@ def _txn_summary(s):
     nulls = F.lit(0)
     for c in STG_REQUIRED:
         nulls = nulls + F.col(c).isNull().cast("int")
-    rows = D.count_rule_failures(s.withColumn("_nulls", nulls), [
+    rows = D.count_rule_failures(s, [
         ("currency_accepted", in_set("currency", ("USD",))),
         ("status_accepted", in_set("status", TXN_STATUSES)),
         ("risk_level_accepted", in_set("risk_level", RISK_LEVELS)),
         ("risk_score_range", rng("risk_score", 0.0, 1.0)),
         ("amount_range", rng("amount", 0)),
-    ])
-    null_count = s.select(nulls.alias("_n")).agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n_failures")) \
-        .select(F.lit("required_not_null").alias("check_name"), "n_failures")
+    ], weighted=[("required_not_null", nulls)])
     uniq = [
         D.unique(s, "unique_transaction_id").agg(F.count(F.lit(1)).alias("n_failures"))
         .select(F.lit("unique_transaction_id_unique").alias("check_name"), "n_failures"),
         D.unique(s, "transaction_id").agg(F.count(F.lit(1)).alias("n_failures"))
         .select(F.lit("transaction_id_unique").alias("check_name"), "n_failures"),
     ]
-    out = rows.unionByName(null_count)
+    out = rows
     for u in uniq:
         out = out.unionByName(u)
     sev = F.when(F.col("check_name") == "unique_transaction_id_unique", "error").otherwise("warn")
