@@ -39,3 +39,12 @@ def test_cohort_cap_has_no_global_take_ordered(spark):
 def test_dimension_tables_are_broadcast(spark):
     p = plan(E.queries()["order_logistics"](spark, SF))
     assert p.count("BroadcastHashJoin") >= 3
+
+
+def test_top_n_broadcasts_only_the_bounded_histogram(spark):
+    p = plan(E.queries()["treatment_cohort"](spark, SF))
+    segments = p.split("BroadcastExchange")[1:]
+    assert segments, "expected the histogram to be broadcast"
+    for seg in segments:  # each broadcast side is the running-count histogram
+        head = "\n".join(seg.splitlines()[:4])
+        assert "_cum" in head or "_before" in head, head
