@@ -8,14 +8,16 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as E  # noqa: E402
+from cohortix.plans import catalog  # noqa: E402
 from check_oracle import compare  # noqa: E402
 from conftest import SF_SMALL  # noqa: E402
 
-KEYS = sorted(E.queries())
+KEYS = sorted(catalog.queries())
 
 
 def test_every_key_has_oracle_or_is_documented():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(catalog.queries()) - set(catalog.oracle_sql())
+    assert set(catalog.queries()) <= set(E.queries())
     assert missing == set(), f"keys without oracle SQL: {missing}"
 
 
