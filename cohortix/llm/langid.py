@@ -85,7 +85,7 @@ def _sample(docs: DataFrame, size: int) -> DataFrame:
         return pd.Series([np.unique(grams(t, symbols)) if has_letter(t) else [] for t in texts])
 
     chosen = rows.join(F.broadcast(picked.select("doc_id", "r").distinct()), "doc_id")
-    return chosen.select("lang", "h", gram_set("text").alias("grams")).where(F.size("grams") > 0)
+    return chosen.select("lang", "h", gram_set("text").alias("grams"))
 
 
 def fit(rows: list, landmarks: int, ridge: float) -> tuple[list[str], np.ndarray, np.ndarray] | None:
@@ -157,7 +157,8 @@ def _predictor(model):
 
 def identify(docs: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS, ridge: float = RIDGE) -> DataFrame:
     """All rows of ``docs`` (doc_id, text, lang, held_out) as doc_id, held_out, lang_pred, score."""
-    rows = sorted(_sample(docs, sample).collect(), key=lambda r: (r["lang"], r["h"]))
+    # the filter stays here: in the plan it would move below the join and run on all texts
+    rows = sorted((r for r in _sample(docs, sample).collect() if r["grams"]), key=lambda r: (r["lang"], r["h"]))
     model = docs.sparkSession.sparkContext.broadcast(fit(rows, landmarks, ridge))
     out = docs.select("doc_id", "held_out", _predictor(model)("text").alias("p"))
     return out.select("doc_id", "held_out", "p.lang_pred", "p.score")
