@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortix.llm.common import table
+from cohortix.llm.common import stored, table
 
 SAMPLE, LANDMARKS, RIDGE = 1200, 240, 1e-3
 UNDETERMINED = "und"
@@ -74,7 +74,8 @@ def _sample(docs: DataFrame, size: int) -> DataFrame:
     share = F.greatest(F.lit(1), F.floor(F.lit(size) / F.col("langs")))
     # a share of the hashes that holds some four times the wanted rows (all of a small language), then the exact number
     part = F.least(F.lit(1.0), (4 * share + 64) / F.col("n"))
-    near = rows.join(counts.select("lang", share.alias("share"), part.alias("part")), "lang")
+    # a stored table has a known size: Spark broadcasts it if small, before rows are dealt out by language
+    near = rows.join(stored(counts.select("lang", share.alias("share"), part.alias("part")), "langid-counts"), "lang")
     near = near.where(F.pmod("h", F.lit(1 << 30)) < F.col("part") * (1 << 30))
     first = Window.partitionBy("lang").orderBy("h", "doc_id")
     picked = near.select("lang", "doc_id", "h", "share").withColumn("r", F.row_number().over(first)).where("r <= share").select("doc_id", "h", "r")
