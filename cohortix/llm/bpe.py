@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortix.llm.common import table
-from cohortix.llm.wordblocks import ANSWERS, BLOCK_BYTES, answer_batch, blocks, by_bucket, joined, pack, page_words, spread, unpack
+from cohortix.llm.wordblocks import ANSWERS, BLOCK_BYTES, answer_batch, blocks, by_bucket, joined, pack, page_words, rows_of, spread_numbers, unpack
 
 VOCABULARY = os.environ.get("WORD_BPE_VOCABULARY", "/opt/tokenizers/word_bpe_49k.json")
 
@@ -58,12 +58,6 @@ def _encoder(vocabulary):
     return solve
 
 
-def _answer(data: bytes) -> list[np.ndarray]:
-    numbers = unpack(zlib.decompress(data))
-    n = int(numbers[0])
-    return np.split(numbers[1 + n :], np.cumsum(numbers[1 : 1 + n])[:-1])
-
-
 def pieces_of(vocabulary: str) -> list[str]:
     """Piece of every id."""
     model = json.loads(vocabulary)
@@ -73,31 +67,39 @@ def pieces_of(vocabulary: str) -> list[str]:
 
 def _laid_out(pieces, digests: bool):
     def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                ids = spread(row["bucket"], [(a["bucket"], _answer(a["answer"])) for a in row["answers"] or ()])
-                sizes = np.array([len(x) for x in ids], np.int64)
-                flat = np.concatenate(ids).astype("<u4") if ids else np.zeros(0, "<u4")
-                first = np.cumsum(sizes) - sizes
-                said = [" ".join([pieces.value[i] for i in x]) for x in ids]
-                # a word without tokens (all of it dropped by the splitter) leaves nothing to join
-                said_bytes = [s.encode() for s in said]
-                tokens = unpack(row["packed"])
-                out, at = [], 0
-                for doc, n in zip(row["doc_id"], row["size"], strict=True):
-                    own = tokens[at : at + n]
+        for row in rows_of(batches):
+            answers = [(a["bucket"], unpack(zlib.decompress(a["answer"]))) for a in row["answers"] or ()]
+            sizes = spread_numbers(row["bucket"], [(b, x[1 : 1 + x[0]]) for b, x in answers])
+            first = np.cumsum(sizes) - sizes
+            flat = np.zeros(int(sizes.sum()), "<u4")
+            said = [b""] * len(sizes)
+            of = np.frombuffer(zlib.decompress(row["bucket"]), np.uint16)
+            for b, x in answers:
+                at, ids = 1 + int(x[0]), x.tolist()
+                for i in np.flatnonzero(of == b).tolist():
+                    n = int(sizes[i])
+                    own = ids[at : at + n]
+                    flat[first[i] : first[i] + n] = own
+                    said[i] = " ".join([pieces.value[j] for j in own]).encode()
                     at += n
-                    many = sizes[own]
-                    total = int(many.sum())
-                    own_ids = flat[np.repeat(first[own] - (np.cumsum(many) - many), many) + np.arange(total)]
-                    text = b" ".join([said_bytes[i] for i in (own if total and many.all() else own[many > 0]).tolist()])
-                    if digests:
-                        out.append((doc, total, hashlib.sha256(own_ids.tobytes()).hexdigest(), hashlib.sha256(text).hexdigest()))
-                    else:
-                        out.append((doc, own_ids.astype(np.int64).tolist(), text.decode()))
-                kinds = [pa.int64(), pa.int64(), pa.string(), pa.string()] if digests else [pa.int64(), pa.list_(pa.int32()), pa.string()]
-                names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["doc_id", "ids", "decoded"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
+            answers = None
+            tokens, out, at = unpack(row["packed"]), [], 0
+            for doc, n in zip(row["doc_id"], row["size"], strict=True):
+                own = tokens[at : at + n]
+                at += n
+                many = sizes[own]
+                own = own[many > 0]  # a word may have no tokens: then it leaves nothing to join
+                many = many[many > 0]
+                total = int(many.sum())
+                own_ids = flat[np.repeat(first[own] - (np.cumsum(many) - many), many) + np.arange(total)]
+                text = b" ".join([said[i] for i in own.tolist()])
+                if digests:
+                    out.append((doc, total, hashlib.sha256(own_ids.tobytes()).hexdigest(), hashlib.sha256(text).hexdigest()))
+                else:
+                    out.append((doc, own_ids.astype(np.int64).tolist(), text.decode()))
+            kinds = [pa.int64(), pa.int64(), pa.string(), pa.string()] if digests else [pa.int64(), pa.list_(pa.int32()), pa.string()]
+            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["doc_id", "ids", "decoded"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
     return run
 

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from cohortix.llm.common import stored, table
 from cohortix.llm.langid import held_out
-from cohortix.llm.wordblocks import ANSWERS, BLOCK_BYTES, answer_batch, blocks, by_bucket, joined, page_counts, page_words, spread, spread_numbers, unpack
+from cohortix.llm.wordblocks import ANSWERS, BLOCK_BYTES, answer_batch, blocks, by_bucket, joined, page_counts, page_words, rows_of, spread, spread_numbers, unpack
 
 HEAD, CLASS, TAIL = 1023, 32, 40
 EMBED = HIDDEN = 16
@@ -213,7 +213,7 @@ def lanes(sizes: np.ndarray, most: int = LANES) -> tuple[np.ndarray, np.ndarray]
         place[d] = size, i
         heapq.heappush(heap, (size + int(sizes[d]), i))
     high = max(s for s, _ in heap)
-    token, doc = np.full((high, n), -1, np.int64), np.full((high, n), -1, np.int64)
+    token, doc = np.full((high, n), -1, np.int32), np.full((high, n), -1, np.int32)
     of = np.repeat(np.arange(len(sizes)), sizes)
     step = np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + place[of, 0]
     token[step, place[of, 1]] = np.arange(len(of))
@@ -237,10 +237,10 @@ def _opened(row: dict, voc: Vocabulary):
 
 def _inputs(type_of_token: np.ndarray, token: np.ndarray, doc: np.ndarray, start: int):
     """Types read and predicted at each step, and where a document begins."""
-    y = np.where(token >= 0, type_of_token[token], -1)
+    y = np.where(token >= 0, type_of_token[token], -1).astype(np.int32)
     fresh = np.ones(doc.shape, bool)
     fresh[1:] = doc[1:] != doc[:-1]
-    x = np.full(y.shape, start, np.int64)
+    x = np.full(y.shape, start, np.int32)
     x[1:] = np.where(fresh[1:], start, y[:-1])
     return x, y, fresh
 
@@ -297,14 +297,13 @@ def _trainer(voc, weights):
         v, p = voc.value, {k: w.copy() for k, w in weights.value.items()}
         moments: dict = {"step": 0}
         learned = 0
-        for batch in batches:
-            for row in batch.to_pylist():
-                tokens, sizes, type_, *_ = _opened(row, v)
-                flag = np.array(row["flag"], bool)
-                own = np.repeat(flag, sizes)
-                if own.any():
-                    learn(p, v, type_[tokens[own]], sizes[flag], moments)
-                    learned += int(own.sum())
+        for row in rows_of(batches):
+            tokens, sizes, type_, *_ = _opened(row, v)
+            flag = np.array(row["flag"], bool)
+            own = np.repeat(flag, sizes)
+            if own.any():
+                learn(p, v, type_[tokens[own]], sizes[flag], moments)
+                learned += int(own.sum())
         if learned:
             flat = [(p[k].astype(np.float64) * learned).ravel().tolist() for k in SHAPES]
             yield pa.RecordBatch.from_arrays([pa.array(SHAPES), pa.array(flat, pa.list_(pa.float64())), pa.array([learned] * len(SHAPES), pa.int64())], ["name", "w", "n"])
@@ -315,17 +314,16 @@ def _trainer(voc, weights):
 def _scorer(voc, weights):
     def run(batches):
         v, p = voc.value, weights.value
-        for batch in batches:
-            for row in batch.to_pylist():
-                tokens, sizes, type_, within, base, known = _opened(row, v)
-                first = np.cumsum(sizes) - sizes
-                score = log_probability(p, v, tokens, sizes, type_, within, base) / np.log(10)
-                columns = [
-                    pa.array(row["doc_id"], pa.int64()), pa.array([not f for f in row["flag"]], pa.bool_()), pa.array(sizes, pa.int64()),
-                    pa.array(np.add.reduceat(known[tokens].astype(np.int64), first)), pa.array(np.full(len(sizes), v.n), pa.int64()),
-                    pa.array(np.add.reduceat(base[tokens], first) / np.log(10)), pa.array(score),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        for row in rows_of(batches):
+            tokens, sizes, type_, within, base, known = _opened(row, v)
+            first = np.cumsum(sizes) - sizes
+            score = log_probability(p, v, tokens, sizes, type_, within, base) / np.log(10)
+            columns = [
+                pa.array(row["doc_id"], pa.int64()), pa.array([not f for f in row["flag"]], pa.bool_()), pa.array(sizes, pa.int64()),
+                pa.array(np.add.reduceat(known[tokens].astype(np.int64), first)), pa.array(np.full(len(sizes), v.n), pa.int64()),
+                pa.array(np.add.reduceat(base[tokens], first) / np.log(10)), pa.array(score),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     return run
 

@@ -38,8 +38,16 @@ _ARROW = pa.schema([
 ])
 
 
+#: numbers or bytes that pack and unpack work on at once
+_PIECE = 1 << 19
+
+
 def pack(numbers: np.ndarray) -> bytes:
     """Seven bits a byte, the high bit set on all bytes of a number but the last."""
+    return b"".join(_pack(numbers[at : at + _PIECE]) for at in range(0, len(numbers), _PIECE))
+
+
+def _pack(numbers: np.ndarray) -> bytes:
     x = numbers.astype(np.uint32)
     size = 1 + (x >= 1 << 7) + (x >= 1 << 14).astype(np.int64) + (x >= 1 << 21) + (x >= 1 << 28)
     at = np.cumsum(size) - size
@@ -52,9 +60,17 @@ def pack(numbers: np.ndarray) -> bytes:
 
 
 def unpack(data: bytes) -> np.ndarray:
-    b = np.frombuffer(data, np.uint8)
-    if not len(b):
-        return np.zeros(0, np.int64)
+    out, at = [np.zeros(0, np.int32)], 0
+    while at < len(data):
+        stop = min(at + _PIECE, len(data))
+        while data[stop - 1] > 127:
+            stop -= 1
+        out.append(_unpack(np.frombuffer(data, np.uint8, stop - at, at)).astype(np.int32))
+        at = stop
+    return np.concatenate(out)
+
+
+def _unpack(b: np.ndarray) -> np.ndarray:
     last = b < 128
     first = np.r_[0, np.flatnonzero(last)[:-1] + 1]
     offset = np.arange(len(b)) - np.repeat(first, np.diff(np.r_[first, len(b)]))
@@ -65,8 +81,8 @@ def _blocks(fold: bool, buckets: int, block_bytes: int):
     def made(block: int, table: dict, docs: list) -> pa.RecordBatch:
         ids = np.concatenate([d[2] for d in docs])
         order = np.argsort(-np.bincount(ids, minlength=len(table)), kind="stable")
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
         flagged = np.concatenate([np.full(len(d[2]), d[1]) for d in docs])
         counts = np.bincount(ids[flagged], minlength=len(table))[order].astype(np.uint32)
         listed = list(table)
@@ -107,6 +123,13 @@ def blocks(docs: DataFrame, fold: bool, name: str, block_bytes: int = BLOCK_BYTE
     return stored(rows.mapInArrow(_blocks(fold, buckets, block_bytes), _BLOCK), name), buckets
 
 
+def rows_of(batches):
+    """Blocks one at a time."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def page_words(data: bytes) -> list[bytes]:
     return zlib.decompress(data).split(b"\n")
 
