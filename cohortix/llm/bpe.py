@@ -19,7 +19,6 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortix.llm.common import table
-from cohortix.llm.wordblocks import ANSWERS, BLOCK_BYTES, answer_batch, blocks, by_bucket, joined, pack, page_words, rows_of, spread_numbers, unpack
+from cohortix.llm.wordblocks import ANSWERS, BLOCK_BYTES, answer_batch, blocks, by_bucket, joined, pack, page_words, rows_of, spread_numbers, squeeze, unpack, unsqueeze
 
 VOCABULARY = os.environ.get("WORD_BPE_VOCABULARY", "/opt/tokenizers/word_bpe_49k.json")
 
@@ -53,7 +52,7 @@ def _encoder(vocabulary):
             found = [ids[w] for w in words]
             sizes = np.array([len(x) for x in found], np.int64)
             data = pack(np.r_[len(words), sizes, np.concatenate(found)])
-            yield answer_batch(block, bucket, zlib.compress(data, 1))
+            yield answer_batch(block, bucket, squeeze(data))
 
     return solve
 
@@ -68,12 +67,12 @@ def pieces_of(vocabulary: str) -> list[str]:
 def _laid_out(pieces, digests: bool):
     def run(batches):
         for row in rows_of(batches):
-            answers = [(a["bucket"], unpack(zlib.decompress(a["answer"]))) for a in row["answers"] or ()]
+            answers = [(a["bucket"], unpack(unsqueeze(a["answer"]))) for a in row["answers"] or ()]
             sizes = spread_numbers(row["bucket"], [(b, x[1 : 1 + x[0]]) for b, x in answers])
             first = np.cumsum(sizes) - sizes
             flat = np.zeros(int(sizes.sum()), "<u4")
             said = [b""] * len(sizes)
-            of = np.frombuffer(zlib.decompress(row["bucket"]), np.uint16)
+            of = np.frombuffer(unsqueeze(row["bucket"]), np.uint16)
             for b, x in answers:
                 at, ids = 1 + int(x[0]), x.tolist()
                 for i in np.flatnonzero(of == b).tolist():
@@ -83,7 +82,7 @@ def _laid_out(pieces, digests: bool):
                     said[i] = " ".join([pieces.value[j] for j in own]).encode()
                     at += n
             answers = None
-            tokens, out, at = unpack(row["packed"]), [], 0
+            tokens, out, at = unpack(unsqueeze(row["packed"])), [], 0
             for doc, n in zip(row["doc_id"], row["size"], strict=True):
                 own = tokens[at : at + n]
                 at += n

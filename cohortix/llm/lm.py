@@ -30,7 +30,6 @@ each trained on); an empty table gives no rows; further columns are ignored.
 from __future__ import annotations
 
 import heapq
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +38,7 @@ from pyspark.sql import functions as F
 
 from cohortix.llm.common import stored, table
 from cohortix.llm.langid import held_out
-from cohortix.llm.wordblocks import ANSWERS, BLOCK_BYTES, answer_batch, blocks, by_bucket, joined, page_counts, page_words, rows_of, spread, spread_numbers, unpack
+from cohortix.llm.wordblocks import ANSWERS, BLOCK_BYTES, answer_batch, blocks, by_bucket, joined, page_counts, page_words, rows_of, spread, spread_numbers, squeeze, unpack, unsqueeze
 
 HEAD, CLASS, TAIL = 1023, 32, 40
 EMBED = HIDDEN = 16
@@ -67,7 +66,7 @@ def _answer_counts(bucket, pages):
             total[w] = total.get(w, 0) + c
     for (block, _, _), words in zip(pages, lists, strict=True):
         found = np.fromiter((total[w] for w in words), np.int64, len(words))
-        yield answer_batch(block, bucket, zlib.compress(found.tobytes(), 1))
+        yield answer_batch(block, bucket, squeeze(found.tobytes()))
 
 
 class Vocabulary:
@@ -223,7 +222,7 @@ def lanes(sizes: np.ndarray, most: int = LANES) -> tuple[np.ndarray, np.ndarray]
 
 def _opened(row: dict, voc: Vocabulary):
     """Tokens of a block: type, log share, log base, known; sizes with end tokens."""
-    pages = {a["bucket"]: np.frombuffer(zlib.decompress(a["answer"]), np.int64) for a in row["answers"] or ()}
+    pages = {a["bucket"]: np.frombuffer(unsqueeze(a["answer"]), np.int64) for a in row["answers"] or ()}
     words = spread(row["bucket"], [(p["bucket"], page_words(p["words"])) for p in row["pages"]])
     counts = spread_numbers(row["bucket"], list(pages.items()))
     type_, within, base = voc.types(words, counts)
@@ -231,7 +230,7 @@ def _opened(row: dict, voc: Vocabulary):
     type_, within = np.r_[type_, 0], np.r_[within, 0.0]
     base, known = np.r_[base, np.log((voc.ends + 0.5) / voc.z)], np.r_[counts > 0, voc.ends > 0]
     size = np.array(row["size"], np.int64)
-    tokens = np.insert(unpack(row["packed"]), np.cumsum(size), end)
+    tokens = np.insert(unpack(unsqueeze(row["packed"])), np.cumsum(size), end)
     return tokens, size + 1, type_, within, base, known
 
 

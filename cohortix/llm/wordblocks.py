@@ -21,6 +21,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +39,14 @@ _ARROW = pa.schema([
 ])
 
 
+def squeeze(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=7).compress(data)
+
+
+def unsqueeze(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
 #: numbers or bytes that pack and unpack work on at once
 _PIECE = 1 << 19
 
@@ -91,9 +100,9 @@ def _blocks(fold: bool, buckets: int, block_bytes: int):
         pages = []
         for b in np.unique(bucket):
             at = np.flatnonzero(bucket == b)
-            text = zlib.compress(b"\n".join([words[i] for i in at]), 1)
-            pages.append({"bucket": int(b), "words": text, "counts": zlib.compress(counts[at].tobytes(), 1)})
-        row = [block, [d[0] for d in docs], [d[1] for d in docs], [len(d[2]) for d in docs], pack(rank[ids]), zlib.compress(bucket.tobytes(), 1), pages]
+            text = squeeze(b"\n".join([words[i] for i in at]))
+            pages.append({"bucket": int(b), "words": text, "counts": squeeze(counts[at].tobytes())})
+        row = [block, [d[0] for d in docs], [d[1] for d in docs], [len(d[2]) for d in docs], squeeze(pack(rank[ids])), squeeze(bucket.tobytes()), pages]
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _ARROW.types, strict=True)], schema=_ARROW)
 
     def run(batches):
@@ -131,11 +140,11 @@ def rows_of(batches):
 
 
 def page_words(data: bytes) -> list[bytes]:
-    return zlib.decompress(data).split(b"\n")
+    return unsqueeze(data).split(b"\n")
 
 
 def page_counts(data: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(data), np.uint32).astype(np.int64)
+    return np.frombuffer(unsqueeze(data), np.uint32).astype(np.int64)
 
 
 def _pages(table: DataFrame, buckets: int) -> DataFrame:
@@ -178,7 +187,7 @@ def joined(table: DataFrame, answers: DataFrame) -> DataFrame:
 
 def spread(bucket: bytes, pages: list[tuple[int, list]]) -> list:
     """Values of the pages (bucket, one value a word) in the order of the word table."""
-    of = np.frombuffer(zlib.decompress(bucket), np.uint16)
+    of = np.frombuffer(unsqueeze(bucket), np.uint16)
     out = np.empty(len(of), object)
     for b, values in pages:
         at = np.flatnonzero(of == b)
@@ -188,7 +197,7 @@ def spread(bucket: bytes, pages: list[tuple[int, list]]) -> list:
 
 
 def spread_numbers(bucket: bytes, pages: list[tuple[int, np.ndarray]]) -> np.ndarray:
-    of = np.frombuffer(zlib.decompress(bucket), np.uint16)
+    of = np.frombuffer(unsqueeze(bucket), np.uint16)
     out = np.zeros(len(of), np.int64)
     for b, values in pages:
         out[of == b] = values
