@@ -160,7 +160,8 @@ def judge(docs: DataFrame, carry: list[str] = ()) -> DataFrame:
     refs = refs.where(F.col("ref_words") >= MIN_REFERENCE).select(
         "l", *[F.array(*[F.col(f"{c}{i}") for i in range(k)]).alias(f"ref_{c}") for c, k in bins.items()]
     )
-    rows = rows.join(refs, "l", "left")
+    # a stored table has a known size: if small, Spark sends it to the rows and leaves them (and their texts) in place
+    rows = rows.join(stored(refs, "quality-references"), "l", "left")
     by_class = F.when(F.col("word_chars") >= MIN_CHARS, js_distance(F.col("classes"), F.col("ref_classes")))
     by_word = F.when(n >= MIN_COMMON, js_distance(F.col("common"), F.col("ref_common")))
     rows = rows.withColumn("class_distance", by_class).withColumn("word_distance", by_word)
