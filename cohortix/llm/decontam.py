@@ -138,13 +138,13 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
         got = stored(got.dropDuplicates(["_h", "_m"]), "decontam-hits")
         found = got if found is None else found.unionByName(got)
     flat = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
-    found = found.groupBy("_h", "_m").agg(flat("_scan.items").alias("items"), flat("_scan.hit_spans").alias("spans"), flat("_scan.hit_words").alias("hits"))
+    found = found.groupBy("_h", "_m").agg(flat("_scan.items").alias("_items"), flat("_scan.hit_spans").alias("_spans"), flat("_scan.hit_words").alias("_hits"))
     plain = docs.withColumn("_scan", _mapper(spark.sparkContext.broadcast([]), window)("text")).withColumns({"_h": key[0], "_m": key[1]})
     merged = plain.join(found, ["_h", "_m"], "left")
     none = lambda c, own: F.coalesce(F.col(c), F.col(own))
     whole = F.struct(
-        F.col("_scan.n_words").alias("n_words"), F.size(none("hits", "_scan.hit_words")).cast("long").alias("n_hit"),
-        none("items", "_scan.items").alias("items"), none("spans", "_scan.hit_spans").alias("hit_spans"), none("hits", "_scan.hit_words").alias("hit_words"),
+        F.col("_scan.n_words").alias("n_words"), F.size(none("_hits", "_scan.hit_words")).cast("long").alias("n_hit"),
+        none("_items", "_scan.items").alias("items"), none("_spans", "_scan.hit_spans").alias("hit_spans"), none("_hits", "_scan.hit_words").alias("hit_words"),
     )
     return merged.select(*docs.columns, whole.alias("_scan"))
 

@@ -242,9 +242,8 @@ def cut(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> DataFrame:
             rows.append((len(words), gone, hashlib.sha256(kept).hexdigest(), after))
         return pd.DataFrame(rows, columns=["n_words", "n_removed", "kept_sha256", "kept_text"])
 
-    keyed = _keyed(docs).withColumnsRenamed({"did": "_did", "th": "_th"})
+    keyed = docs.withColumn("_did", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))).withColumn("_th", F.xxhash64("text"))
     spans = spans.withColumnsRenamed({"did": "_did", "th": "_th", "spans": "_spans"})
-    keyed = keyed.withColumn("_th", F.coalesce("_th", F.lit(0)))
     out = keyed.join(spans, ["_did", "_th"], "left")
     return out.select(*docs.columns, cutting("text", "_spans").alias("_cut"))
 
