@@ -176,13 +176,8 @@ NUMBER_PATTERN = r"^-?\d+(\.\d+)?$"
 BOOLEAN_PATTERN = r"^(true|false)$"
 
 
-def regex_extract_or_null(text: Column, pattern: Column, idx: int = 1) -> Column:
-    """REGEXP_EXTRACT with NULL (not '') when nothing matches; the pattern
-    may be a column (built per key)."""
-    return F.nullif(F.regexp_extract_all(text, pattern, F.lit(idx)).getItem(0), F.lit(""))
-
-
-PAIR_PATTERN = r'"([a-zA-Z_][a-zA-Z0-9_]*)":([^,}]+)'
+# the value is looked ahead at, not consumed, so a pair inside a nested object is found too
+PAIR_PATTERN = r'"([a-zA-Z_][a-zA-Z0-9_]*)":(?=([^,}]+))'
 
 
 def regex_discovery(df: DataFrame, json_column: str = "json_body") -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from datetime import date, timedelta
+from itertools import cycle, islice
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 
 from cohortix.functions.dates import in_window, in_window_halfopen, ts_lit
 from cohortix.functions.hashing import (
+    BUCKETS,
     bucket,
     count_below,
     cumulative_thresholds,
@@ -177,31 +179,28 @@ def treatment_cohort(assignments: DataFrame, cfg: ExperimentConfig) -> DataFrame
 # ---------------------------------------------------------------------------
 
 def poisson_cuts(lam: float) -> list[int]:
-    """Integer inverse-CDF table of Poisson(lam), extended until the CDF is 1
-    in double precision (exact to the draw resolution, no truncation)."""
-    cuts, cdf, k = [], 0.0, 0
-    pk = math.exp(-lam)
-    while True:
-        cdf += pk
-        t = inclusive_threshold(min(cdf, 1.0))
-        cuts.append(t)
-        if t >= 999_999 or k > 200:
-            break
+    """Integer inverse-CDF table of Poisson(lam) for any mean: probabilities in
+    log space, summed exactly, up to the first count beyond the mean that no
+    draw can exceed."""
+    cuts, parts, k = [], [], 0
+    while not cuts or cuts[-1] < BUCKETS - 1:
+        p = math.exp(k * math.log(lam) - lam - math.lgamma(k + 1)) if lam > 0 else float(k == 0)
+        parts.append(p)
+        rest = k > lam and p < 1e-18  # what is left of the tail lies below the draw's resolution
+        cuts.append(BUCKETS - 1 if rest else inclusive_threshold(min(math.fsum(parts), 1.0)))
         k += 1
-        pk = pk * lam / k
     return cuts
 
 
-def day_weights(duration_days: int) -> list[float]:
-    """Day-of-cycle weights counted from the start date: 1.2 on cycle days 5
-    and 6, 1.1 on day 0, else 1.0; normalised."""
-    w = [1.2 if d % 7 in (5, 6) else (1.1 if d % 7 == 0 else 1.0) for d in range(duration_days)]
-    total = sum(w)
-    return [x / total for x in w]
+#: fixed values: weight of each day of the seven-day cycle that starts with the experiment
+CYCLE = (1.1, 1.0, 1.0, 1.0, 1.0, 1.2, 1.2)
 
 
 def day_cuts(duration_days: int) -> list[int]:
-    return cumulative_thresholds(day_weights(duration_days))
+    """Cut points of the order day, by the cycle's weights."""
+    weights = list(islice(cycle(CYCLE), duration_days))
+    total = sum(weights)
+    return cumulative_thresholds([w / total for w in weights])
 
 
 OVERLAY_COLUMNS = ("order_id", "user_id", "experiment_name", "variant", "status", "gender",
@@ -217,56 +216,30 @@ def sample_values(source, columns) -> dict:
     return row[0].asDict() if row else {}
 
 
-def _fill_rules(source_schema: T.StructType, order_ts: F.Column, user: F.Column, draw,
-                samples: dict | None = None) -> list[F.Column]:
-    """Column fill by name and type of the source schema (decided on the
-    driver from ``df.schema``); columns without a rule take the sample value."""
-    samples = samples or {}
-    cols = []
-    for f in source_schema.fields:
-        name = f.name.lower()
-        if f.name in ("order_id", "user_id"):
-            continue
-        if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            if "created" in name or "order" in name:
-                c = order_ts
-            elif "shipped" in name:
-                c = F.timestamp_add("DAY", randint(draw("ship"), 1, 3), order_ts)
-            elif "delivered" in name:
-                c = F.timestamp_add("DAY", randint(draw("deliver"), 3, 7), order_ts)
-            else:
-                c = F.lit(None)
-        elif isinstance(f.dataType, T.StringType):
-            if "status" in name:
-                c = F.lit("Complete")
-            elif "gender" in name:
-                c = F.when(draw("gender") % 2 == 0, "M").otherwise("F")
-            else:
-                c = F.lit(samples.get(f.name))
-        elif isinstance(f.dataType, (T.IntegerType, T.LongType, T.ShortType)):
-            if "num_of_item" in name or "quantity" in name:
-                c = randint(draw("items"), 1, 3)
-            else:
-                c = F.lit(samples.get(f.name))
-        else:
-            c = F.lit(samples.get(f.name))
-        cols.append(c.cast(f.dataType).alias(f.name))
-    return cols
+_TIMES = (T.TimestampType, T.TimestampNTZType)
+_INTEGERS = (T.IntegerType, T.LongType, T.ShortType)
+#: columns that the overlay sets itself
+_OWN = {"order_id", "user_id"}
+#: how a source column is filled: kinds of column, parts of its name, value
+#: from (order time, draw); the first row that fits counts
+FILL = (
+    (_TIMES, ("created", "order"), lambda at, draw: at),
+    (_TIMES, ("shipped",), lambda at, draw: F.timestamp_add("DAY", randint(draw("ship"), 1, 3), at)),
+    (_TIMES, ("delivered",), lambda at, draw: F.timestamp_add("DAY", randint(draw("deliver"), 3, 7), at)),
+    (_TIMES, ("",), lambda at, draw: F.lit(None)),
+    (T.StringType, ("status",), lambda at, draw: F.lit("Complete")),
+    (T.StringType, ("gender",), lambda at, draw: F.when(draw("gender") % 2 == 0, "M").otherwise("F")),
+    (_INTEGERS, ("num_of_item", "quantity"), lambda at, draw: randint(draw("items"), 1, 3)),
+)
+
+
+def _filler(field: T.StructField):
+    return next((make for kinds, parts, make in FILL if isinstance(field.dataType, kinds) and any(p in field.name.lower() for p in parts)), None)
 
 
 def unruled_columns(source_schema: T.StructType) -> list[str]:
-    """Source columns the fill rules do not cover (they take a sample value)."""
-    out = []
-    for f in source_schema.fields:
-        n = f.name.lower()
-        if f.name in ("order_id", "user_id") or isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            continue
-        if isinstance(f.dataType, T.StringType) and ("status" in n or "gender" in n):
-            continue
-        if isinstance(f.dataType, (T.IntegerType, T.LongType, T.ShortType)) and ("num_of_item" in n or "quantity" in n):
-            continue
-        out.append(f.name)
-    return out
+    """Source columns without a row in FILL (they take a sample value)."""
+    return [f.name for f in source_schema.fields if f.name not in _OWN and _filler(f) is None]
 
 
 def uplift_overlay(cohort: DataFrame, cfg: ExperimentConfig, source_schema: T.StructType,
@@ -302,7 +275,13 @@ def uplift_overlay(cohort: DataFrame, cfg: ExperimentConfig, source_schema: T.St
     exploded = exploded.join(F.broadcast(cal), "_day")
     order_ts = F.col("_order_ts")
     order_id = hash60(md5_hex(F.lit(f"{seed}_order_{cfg.name}_"), okey)).alias("order_id")
-    fills = _fill_rules(source_schema, order_ts, uid, draw, samples)
+    samples = samples or {}
+    fills = []
+    for f in source_schema.fields:
+        if f.name not in _OWN:
+            make = _filler(f)
+            value = make(order_ts, draw) if make else F.lit(samples.get(f.name))
+            fills.append(value.cast(f.dataType).alias(f.name))
     out = exploded.select(
         order_id, uid.alias("user_id"), *fills,
         F.lit(cfg.name).alias("experiment_name"), F.lit(cfg.treatment_name).alias("variant"),

@@ -126,14 +126,11 @@ def volume_profile(raw: DataFrame, base_daily_volume: float | None = None, ts_co
     lowest / highest day and weekday / weekend / holiday / special averages.
     Works on the per-day aggregate (one row per calendar day)."""
     d = daily_counts(raw, ts_column)
-    mmdd = F.date_format("ingestion_date", "MM-dd")
-    kind = (
-        F.when(mmdd.isin(*HOLIDAYS), "holiday")
-        .when(F.col("ingestion_date").isin(*[F.lit(x) for x in SPECIAL_DAYS]), "special")
-        .when(F.dayofweek("ingestion_date").isin(1, 7), "weekend")
-        .otherwise("weekday")
-    )
-    d = d.withColumn("day_kind", kind)
+    # a day may be of several kinds; a weekday is one that is no weekend day
+    weekend = F.dayofweek("ingestion_date").isin(1, 7)
+    holiday = F.date_format("ingestion_date", "MM-dd").isin(*HOLIDAYS)
+    special = F.col("ingestion_date").isin(*[F.lit(x) for x in SPECIAL_DAYS])
+    of = lambda kind: F.avg(F.when(kind, F.col("record_count")))
     base = F.lit(float(base_daily_volume)) if base_daily_volume else F.avg("record_count")
     return d.agg(
         base.alias("base_daily_volume"),
@@ -142,10 +139,10 @@ def volume_profile(raw: DataFrame, base_daily_volume: float | None = None, ts_co
         F.min("record_count").alias("lowest_count"),
         F.max_by("ingestion_date", F.struct("record_count", F.col("ingestion_date"))).alias("highest_day"),
         F.max("record_count").alias("highest_count"),
-        F.avg(F.when(F.col("day_kind") == "weekday", F.col("record_count"))).alias("avg_weekday"),
-        F.avg(F.when(F.col("day_kind") == "weekend", F.col("record_count"))).alias("avg_weekend"),
-        F.avg(F.when(F.col("day_kind") == "holiday", F.col("record_count"))).alias("avg_holiday"),
-        F.avg(F.when(F.col("day_kind") == "special", F.col("record_count"))).alias("avg_special"),
+        of(~weekend).alias("avg_weekday"),
+        of(weekend).alias("avg_weekend"),
+        of(holiday).alias("avg_holiday"),
+        of(special).alias("avg_special"),
     ).select(
         "*",
         (F.col("lowest_count") * 100.0 / F.col("base_daily_volume")).alias("lowest_pct"),

@@ -164,17 +164,14 @@ def json_field_presence(spark, sf_dir):
 
 @query("volume_profile", RAW + """,
 d AS (SELECT CAST(_timestamp AS DATE) AS ingestion_date, count(*) AS record_count FROM src_raw GROUP BY 1),
-k AS (SELECT *, CASE WHEN strftime(ingestion_date, '%m-%d') IN ('01-01', '12-25') THEN 'holiday'
-                     WHEN ingestion_date IN (DATE '2024-02-14', DATE '2024-11-29') THEN 'special'
-                     WHEN dayofweek(ingestion_date) IN (0, 6) THEN 'weekend' ELSE 'weekday' END AS day_kind FROM d),
 a AS (SELECT avg(record_count) AS base_daily_volume, count(*) AS n_days,
              arg_min(ingestion_date, (record_count, ingestion_date)) AS lowest_day, min(record_count) AS lowest_count,
              arg_max(ingestion_date, (record_count, ingestion_date)) AS highest_day, max(record_count) AS highest_count,
-             avg(CASE WHEN day_kind = 'weekday' THEN record_count END) AS avg_weekday,
-             avg(CASE WHEN day_kind = 'weekend' THEN record_count END) AS avg_weekend,
-             avg(CASE WHEN day_kind = 'holiday' THEN record_count END) AS avg_holiday,
-             avg(CASE WHEN day_kind = 'special' THEN record_count END) AS avg_special
-      FROM k)
+             avg(record_count) FILTER (WHERE isodow(ingestion_date) <= 5) AS avg_weekday,
+             avg(record_count) FILTER (WHERE isodow(ingestion_date) >= 6) AS avg_weekend,
+             avg(record_count) FILTER (WHERE (month(ingestion_date), day(ingestion_date)) IN ((1, 1), (12, 25))) AS avg_holiday,
+             avg(record_count) FILTER (WHERE ingestion_date IN (DATE '2024-02-14', DATE '2024-11-29')) AS avg_special
+      FROM d)
 SELECT *, lowest_count * 100.0 / base_daily_volume AS lowest_pct, highest_count * 100.0 / base_daily_volume AS highest_pct
 FROM a""")
 def volume_profile(spark, sf_dir):

@@ -78,14 +78,16 @@ def apply_runtime_conf(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and lineage-cutting tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) a private scratch folder is created and registered.
+    The cluster names it in ``spark.checkpoint.dir``.  Only a local session may
+    leave it unset (tests): a scratch folder of its own is then registered.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     path = tempfile.mkdtemp(prefix="cohortix-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

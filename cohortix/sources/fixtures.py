@@ -307,9 +307,11 @@ def _input_signature(spark: SparkSession, sf_dir: str, tables) -> str:
     parts = [FIXTURE_VERSION]
     for t in tables:
         path, fs = _fs(spark, table_path(sf_dir, t))
-        st = fs.getFileStatus(path)
-        parts.append(f"{path.toString()}:{st.getLen()}:{st.getModificationTime()}")
-    return hashlib.md5("|".join(parts).encode()).hexdigest()[:16]
+        files = fs.listFiles(path, True)  # of a directory table every file, in partition folders too
+        while files.hasNext():
+            st = files.next()
+            parts.append(f"{st.getPath().toString()}:{st.getLen()}:{st.getModificationTime()}")
+    return hashlib.md5("|".join(sorted(parts)).encode()).hexdigest()[:16]
 
 
 def stored(spark: SparkSession, sf_dir: str, name: str, build, suffix: str = "") -> DataFrame:

@@ -2,6 +2,8 @@
 
 import hashlib
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from cohortix.functions.hashing import (
@@ -75,3 +77,13 @@ def test_poisson_table_reaches_one():
     cuts = poisson_cuts(0.24)
     assert cuts[-1] == 999_999
     assert cuts == sorted(cuts)
+
+
+@pytest.mark.parametrize("mean", [0.0, 0.24, 50, 200, 800])
+def test_poisson_table_for_any_mean(mean):
+    cuts = poisson_cuts(mean)
+    assert cuts[-1] == 999_999 and cuts == sorted(cuts)
+    p = [float(c + 1 - max(0, b + 1)) / 1e6 for b, c in zip([-1, *cuts], cuts)]
+    got = sum(k * x for k, x in enumerate(p))
+    assert got == pytest.approx(mean, abs=1e-3 + mean * 1e-4)
+    assert sum((k - mean) ** 2 * x for k, x in enumerate(p)) == pytest.approx(mean, abs=1e-3, rel=0.01)

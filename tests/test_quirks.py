@@ -113,13 +113,52 @@ def test_date_batches_break_at_gaps(spark):
     assert summ.completed_days == 2 and summ.failed_days == 0 and summ.total_records_ingested == 12
 
 
-def test_validate_date_range():
-    I.validate_date_range("2024-01-01", "2024-01-31", today=dt.date(2024, 6, 1))
-    for a, b in [("2024-13-01", "2024-01-02"), ("2024-01-05", "2024-01-01"), ("2019-01-01", "2019-02-01")]:
-        with pytest.raises(ValueError):
-            I.validate_date_range(a, b, today=dt.date(2024, 6, 1))
-    with pytest.raises(ValueError):
-        I.validate_volume(50_001)
+def test_load_request_names_all_faults():
+    latest = dt.date(2025, 12, 31)
+    got = I.load_request("2024-01-01", "2024-01-31", 5_000, latest=latest)
+    assert (got.first, got.last, got.daily_rows) == (dt.date(2024, 1, 1), dt.date(2024, 1, 31), 5_000)
+    for a, b, n, faults in [("2024-13-01", "2024-01-02", None, 1), ("2024-01-05", "2024-01-01", None, 1),
+                            ("2019-01-01", "2019-02-01", None, 2), ("2024-01-01", "x", 50_001, 2), ("2024-01-01", "2024-01-02", 0, 1)]:
+        with pytest.raises(ValueError) as e:
+            I.load_request(a, b, n, latest=latest)
+        assert len(str(e.value).split("; ")) == faults
+
+
+def test_late_rows_join_their_day(spark, tmp_path):
+    path = str(tmp_path / "days")
+    rows = lambda ids, v: spark.createDataFrame([(f"t{i}", dt.datetime(2024, 1, 1 + i % 2), v) for i in ids], "unique_transaction_id string, transaction_timestamp timestamp_ntz, status string")
+    I.write_day_partitioned(rows(range(100), "a"), path)
+    for _ in range(2):  # a rerun changes nothing
+        I.write_day_partitioned(rows([0, 200], "b"), path)
+        got = {r["unique_transaction_id"]: r["status"] for r in spark.read.parquet(path).collect()}
+        assert len(got) == spark.read.parquet(path).count() == 101
+        assert got["t0"] == got["t200"] == "b" and got["t2"] == got["t1"] == "a"
+
+
+def test_nested_keys_are_typed(spark):
+    from cohortix.functions.jsonx import regex_discovery
+
+    df = spark.createDataFrame([('{"a":{"b":1},"c":2}',)], "json_body string")
+    got = {r["json_path"]: r["data_type"] for r in regex_discovery(df).collect()}
+    assert got == {"a": "string", "b": "number", "c": "number"}
+
+
+def test_holiday_on_a_weekend_counts_as_both(spark):
+    from cohortix.operators.transactions import volume_profile
+
+    days = [dt.datetime(2022, 1, 1)] * 4 + [dt.datetime(2022, 1, 2)] * 2 + [dt.datetime(2022, 1, 3)]
+    got = volume_profile(spark.createDataFrame([(d,) for d in days], "_timestamp timestamp_ntz")).first()
+    assert (got["avg_weekend"], got["avg_holiday"], got["avg_weekday"]) == (3.0, 4.0, 1.0)
+
+
+def test_grown_directory_table_is_seen(spark, tmp_path):
+    from cohortix.sources import fixtures as fx
+
+    for t in ("customer", "nation", "orders", "lineitem", "part", "events"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet").limit(200).write.parquet(str(tmp_path / f"{t}.parquet"))
+    before = fx.landed_records(spark, str(tmp_path)).count()
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").limit(50).write.mode("append").parquet(str(tmp_path / "events.parquet"))
+    assert fx.landed_records(spark, str(tmp_path)).count() == before + 50
 
 
 def test_partitioned_scan_requires_filter(spark, tmp_path):
