@@ -1,5 +1,6 @@
 """Catalog: streaming twins, each run with availableNow over data landed from
-the supplied tables; the result is read back from the streaming sink."""
+the supplied tables, dealt out by hash over many files and taken in several
+micro-batches; the result is read back from the streaming sink."""
 
 from __future__ import annotations
 
@@ -15,18 +16,19 @@ from cohortix.sources.ingest import scratch_path
 from cohortix.sources.tables import SCHEMAS
 from cohortix.streaming import twins as T
 
-LANDING_FILES = 4
+#: files that one micro-batch takes
+BATCH_FILES = 3
 
 
 def _land_lines(spark, sf_dir):
     landing = scratch_path(spark, "landing")
-    fx.landed_records(spark, sf_dir).repartition(LANDING_FILES).write.text(landing)
+    fx.landed_records(spark, sf_dir).repartition("value").write.text(landing)
     return landing
 
 
 def _land_log(spark, sf_dir):
     log = scratch_path(spark, "writelog")
-    fx.cached_records(spark, sf_dir).repartition(LANDING_FILES).write.parquet(log)
+    fx.cached_records(spark, sf_dir).repartition(F.hash("seq", "payload")).write.parquet(log)
     return log
 
 
@@ -35,8 +37,13 @@ def stream_ingest(spark, sf_dir):
     landing = _land_lines(spark, sf_dir)
     base = scratch_path(spark, "stream-ingest")
     out, ckpt = os.path.join(base, "out"), os.path.join(base, "_checkpoint")
-    T.stream_ingest(spark, landing, out, ckpt, RUN_AT)
-    return spark.read.parquet(out)
+    bad = spark.createDataFrame([('{"id": 1}',), ("not json",)], "value string")
+    bad.write.mode("append").text(landing)
+    rejects = os.path.join(base, "rejects")
+    T.stream_ingest(spark, landing, out, ckpt, RUN_AT, rejects, BATCH_FILES)
+    if spark.read.parquet(rejects).count() != 2:
+        raise ValueError("each unusable line must be among the rejects")
+    return spark.read.parquet(out).drop("_batch")
 
 
 @query("stream_route", "WITH " + Q.SRC_CACHED.strip() + f"""
@@ -48,7 +55,7 @@ def stream_route(spark, sf_dir):
     log = _land_log(spark, sf_dir)
     base = scratch_path(spark, "stream-route")
     preds, txs = os.path.join(base, "preds"), os.path.join(base, "txs")
-    T.stream_route(spark, log, preds, txs, os.path.join(base, "_checkpoint"), RUN_AT)
+    T.stream_route(spark, log, preds, txs, os.path.join(base, "_checkpoint"), RUN_AT, BATCH_FILES)
     p = spark.read.parquet(preds).select(
         F.lit("predictions").alias("sink"), "record_key", F.col("written_at").alias("_timestamp"), "payload",
         "_ingestion_timestamp")
@@ -63,7 +70,7 @@ def stream_dedupe(spark, sf_dir):
     log = _land_log(spark, sf_dir)
     base = scratch_path(spark, "stream-dedupe")
     out = os.path.join(base, "out")
-    T.stream_dedupe(spark, log, out, os.path.join(base, "_checkpoint"))
+    T.stream_dedupe(spark, log, out, os.path.join(base, "_checkpoint"), max_files=BATCH_FILES)
     return spark.read.parquet(out).select("record_key")
 
 
@@ -75,7 +82,7 @@ def stream_latest(spark, sf_dir):
     log = _land_log(spark, sf_dir)
     base = scratch_path(spark, "stream-latest")
     out = os.path.join(base, "out")
-    T.stream_latest(spark, log, out, os.path.join(base, "_checkpoint"))
+    T.stream_latest(spark, log, out, os.path.join(base, "_checkpoint"), BATCH_FILES)
     return T.read_latest(spark, out)
 
 
@@ -84,8 +91,8 @@ SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1
 FROM events GROUP BY 1, 2""")
 def stream_daily_counts(spark, sf_dir):
     landing = scratch_path(spark, "events-landing")
-    fx.load(spark, sf_dir, "events").repartition(LANDING_FILES).write.parquet(landing)
+    fx.load(spark, sf_dir, "events").repartition(F.hash("ts")).write.parquet(landing)
     base = scratch_path(spark, "stream-daily")
     out = os.path.join(base, "out")
-    T.stream_daily_counts(spark, landing, out, os.path.join(base, "_checkpoint"), SCHEMAS["events"])
+    T.stream_daily_counts(spark, landing, out, os.path.join(base, "_checkpoint"), SCHEMAS["events"], max_files=BATCH_FILES)
     return T.read_window_counts(spark, out)

@@ -1,32 +1,30 @@
 """Structured Streaming twins of batch operators.
 
 * ``stream_ingest``   landed JSON lines -> raw envelope -> day-partitioned
-  parquet; the streaming checkpoint replaces the resume ledger.
-* ``stream_route``    keyed write log -> two sinks through ``foreachBatch``;
-  each micro-batch overwrites its own ``_batch=<id>`` folder, so a replayed
-  batch after a failure rewrites instead of duplicating.
-* ``stream_dedupe``   first write per key within a 7-day watermark.
-* ``stream_latest``   last-write-wins per key with a 7-day state TTL
-  (``transformWithState``, RocksDB state store).
-* ``stream_daily_counts`` tumbling one-day windows with a late-data bound.
-
-All queries run with ``availableNow`` in tests (process what has landed, then
-stop); on a cluster the same builders run with a processing-time trigger.
+  parquet, and what can't be enveloped -> a reject table; the streaming
+  checkpoint replaces the resume ledger.
+* ``stream_route``    keyed write log -> two sinks through ``foreachBatch``.
+* ``stream_dedupe``   one row per key; with a TTL, within that watermark.
+* ``stream_latest``   last write per key: every micro-batch is combined per key
+  before it is stored, and the stored rows are combined on read.
+* ``stream_daily_counts`` tumbling one-day windows; the state is one row a day.
+
+Results do not depend on how the input falls into micro-batches.  Sinks write
+``_batch=<id>`` folders, so a batch that is replayed after a failure rewrites
+its folder instead of adding to it.  All queries run with ``availableNow`` in
+tests (process what has landed, then stop); on a cluster the same builders run
+with a processing-time trigger.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from cohortix.params import CACHE_TTL_DAYS
-from cohortix.sources.ingest import raw_envelope
+from cohortix.sources.ingest import envelope_rejects, raw_envelope
 
 LOG_SCHEMA = "record_key string, written_at timestamp_ntz, seq bigint, payload string"
 
@@ -42,15 +40,27 @@ def _writer(df: DataFrame, ckpt: str, available_now: bool):
     return w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
 
 
+def _limited(reader, max_files: int | None):
+    return reader.option("maxFilesPerTrigger", max_files) if max_files else reader
+
+
 # ---------------------------------------------------------------------------
 # T1
 # ---------------------------------------------------------------------------
 
-def stream_ingest(spark: SparkSession, landing: str, out: str, ckpt: str, run_at: str,
-                  max_files: int = 1, available_now: bool = True) -> StreamingQuery:
-    lines = spark.readStream.option("maxFilesPerTrigger", max_files).text(landing)
-    env = raw_envelope(lines, run_at, "value", mode="quarantine").withColumn("d", F.to_date("_timestamp"))
-    q = _writer(env, ckpt, available_now).format("parquet").partitionBy("d").outputMode("append").start(out)
+def stream_ingest(spark: SparkSession, landing: str, out: str, ckpt: str, run_at: str, rejects: str,
+                  max_files: int | None = None, available_now: bool = True) -> StreamingQuery:
+    """Envelopes go to ``out``, lines without a usable ``_timestamp`` to ``rejects``."""
+    lines = _limited(spark.readStream, max_files).text(landing)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        env = raw_envelope(batch, run_at, "value", mode="quarantine").withColumn("d", F.to_date("_timestamp"))
+        env.hint("rebalance", "d").write.mode("overwrite").partitionBy("d").parquet(os.path.join(out, f"_batch={batch_id}"))
+        envelope_rejects(batch).write.mode("overwrite").parquet(os.path.join(rejects, f"_batch={batch_id}"))
+        batch.unpersist()
+
+    q = _writer(lines, ckpt, available_now).foreachBatch(sink).start()
     if available_now:
         _run(q)
     return q
@@ -61,8 +71,8 @@ def stream_ingest(spark: SparkSession, landing: str, out: str, ckpt: str, run_at
 # ---------------------------------------------------------------------------
 
 def stream_route(spark: SparkSession, log_dir: str, preds_out: str, tx_out: str, ckpt: str, run_at: str,
-                 max_files: int = 1, available_now: bool = True) -> StreamingQuery:
-    src = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(log_dir)
+                 max_files: int | None = None, available_now: bool = True) -> StreamingQuery:
+    src = _limited(spark.readStream.schema(LOG_SCHEMA), max_files).parquet(log_dir)
 
     def route_batch(batch: DataFrame, batch_id: int) -> None:
         # One read of the micro-batch feeds both sinks.
@@ -84,93 +94,47 @@ def stream_route(spark: SparkSession, log_dir: str, preds_out: str, tx_out: str,
 # First write within the watermark / last write with TTL
 # ---------------------------------------------------------------------------
 
-def stream_dedupe(spark: SparkSession, log_dir: str, out: str, ckpt: str, ttl_days: int = CACHE_TTL_DAYS,
+def stream_dedupe(spark: SparkSession, log_dir: str, out: str, ckpt: str, ttl_days: int | None = None,
                   max_files: int | None = None, available_now: bool = True) -> StreamingQuery:
-    """Writes arriving more than ``ttl_days`` behind the watermark of earlier
-    micro-batches are late and dropped (landing must be roughly time-ordered
-    across micro-batches for the batch twin to agree)."""
-    reader = spark.readStream.schema(LOG_SCHEMA)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    src = reader.parquet(log_dir)
+    """One row per key.  Without ``ttl_days`` keys are remembered for good, in
+    whatever order files land; with it keys are forgotten ``ttl_days`` behind
+    the newest write, and rows that land later than that are dropped."""
+    src = _limited(spark.readStream.schema(LOG_SCHEMA), max_files).parquet(log_dir)
     src = src.withColumn("written_at", F.col("written_at").cast("timestamp"))  # event time must be TIMESTAMP
-    dd = src.withWatermark("written_at", f"{ttl_days} days").dropDuplicatesWithinWatermark(["record_key"])
+    if ttl_days is None:
+        dd = src.dropDuplicates(["record_key"])
+    else:
+        dd = src.withWatermark("written_at", f"{ttl_days} days").dropDuplicatesWithinWatermark(["record_key"])
     q = _writer(dd, ckpt, available_now).format("parquet").outputMode("append").start(out)
     if available_now:
         _run(q)
     return q
 
 
-class LatestWrite(StatefulProcessor):
-    """Keeps the last write per key (by written_at, then seq) in a value
-    state whose entries expire after the TTL; emits the key's current value
-    whenever it changes."""
-
-    def __init__(self, ttl_ms: int):
-        self.ttl_ms = ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState(
-            "latest", "written_us long, seq long, payload string, n_writes long", self.ttl_ms
-        )
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        cur = self.state.get()  # None when the key has no (unexpired) state
-        best_ts, best_seq, best_payload, n = (cur[0], cur[1], cur[2], cur[3]) if cur else (None, None, None, 0)
-        changed = False
-        for r in rows:
-            n += 1
-            if best_ts is None or (r.written_us, r.seq) > (best_ts, best_seq):
-                best_ts, best_seq, best_payload = r.written_us, r.seq, r.payload
-                changed = True
-        self.state.update((best_ts, best_seq, best_payload, n))
-        if changed or cur is None or cur[3] != n:
-            yield Row(record_key=key[0], payload=best_payload, written_us=best_ts, seq=best_seq, n_writes=n)
-
-    def close(self) -> None:
-        pass
-
-
-LATEST_SCHEMA = "record_key string, payload string, written_us long, seq long, n_writes long"
-
-
-def stream_latest(spark: SparkSession, log_dir: str, out: str, ckpt: str, ttl_days: int = CACHE_TTL_DAYS,
-                  max_files: int = 1, available_now: bool = True) -> StreamingQuery:
-    """Update rows per micro-batch go to ``out/_batch=<id>``; the current
-    value of a key is its row from the highest batch (see :func:`read_latest`)."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    # Changelog checkpointing uploads only the changed keys per micro-batch.
-    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
-    # Processing-time TTL would otherwise schedule empty batches forever;
-    # expired entries are then evicted when the next data arrives.
-    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
-    src = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(log_dir)
-    # Event time travels as epoch microseconds (no time-zone round trip).
-    src = src.select("record_key", F.unix_micros(F.col("written_at").cast("timestamp")).alias("written_us"),
-                     "seq", "payload")
-    upd = src.groupBy("record_key").transformWithState(
-        LatestWrite(ttl_days * 86_400_000), LATEST_SCHEMA, "Update", "ProcessingTime"
-    )
+def stream_latest(spark: SparkSession, log_dir: str, out: str, ckpt: str,
+                  max_files: int | None = None, available_now: bool = True) -> StreamingQuery:
+    """Per micro-batch the last write and the number of writes of every key in
+    it, combined map-side, so a hot key crosses the shuffle once per task."""
+    src = _limited(spark.readStream.schema(LOG_SCHEMA), max_files).parquet(log_dir)
+    last = F.struct("written_at", "seq", "payload")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(os.path.join(out, f"_batch={batch_id}"))
+        one = batch.groupBy("record_key").agg(F.max(last).alias("last"), F.count(F.lit(1)).alias("n_writes"))
+        one.select("record_key", "last.*", "n_writes").write.mode("overwrite").parquet(os.path.join(out, f"_batch={batch_id}"))
 
-    q = _writer(upd, ckpt, available_now).outputMode("update").foreachBatch(sink).start()
+    q = _writer(src, ckpt, available_now).foreachBatch(sink).start()
     if available_now:
         _run(q)
     return q
 
 
-def read_latest(spark: SparkSession, out: str) -> DataFrame:
-    df = spark.read.parquet(out)
-    order = F.struct("_batch", "n_writes")
-    return df.groupBy("record_key").agg(
-        F.max_by("payload", order).alias("payload"),
-        F.timestamp_micros(F.max_by("written_us", order)).cast("timestamp_ntz").alias("written_at"),
-        F.max_by("seq", order).alias("seq"),
-        F.max("n_writes").alias("n_writes"),
-    )
+def read_latest(spark: SparkSession, out: str, since=None) -> DataFrame:
+    """Current value of every key; ``since`` leaves out keys whose last write is
+    older (the TTL of a cache)."""
+    df = spark.read.parquet(out).groupBy("record_key").agg(
+        F.max(F.struct("written_at", "seq", "payload")).alias("last"), F.sum("n_writes").alias("n_writes"))
+    df = df.select("record_key", "last.payload", "last.written_at", "last.seq", "n_writes")
+    return df if since is None else df.where(F.col("written_at") >= since)
 
 
 # ---------------------------------------------------------------------------
@@ -178,16 +142,16 @@ def read_latest(spark: SparkSession, out: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def stream_daily_counts(spark: SparkSession, events_path: str, out: str, ckpt: str, schema: str,
-                        late_bound: str = "1 day", max_files: int | None = None,
+                        late_bound: str | None = None, max_files: int | None = None,
                         available_now: bool = True) -> StreamingQuery:
-    """Rows later than ``late_bound`` behind the maximum event time seen in
-    earlier micro-batches are dropped (the watermark contract)."""
-    reader = spark.readStream.schema(schema)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    src = reader.parquet(events_path)
-    counts = (src.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late_bound)
-              .groupBy(F.window("ts", "1 day")).agg(F.count(F.lit(1)).alias("record_count")))
+    """Rows per day.  Without ``late_bound`` every row counts however late it
+    lands (one row of state a day); with it days are closed that far behind the
+    newest event and later rows are dropped."""
+    src = _limited(spark.readStream.schema(schema), max_files).parquet(events_path)
+    src = src.withColumn("ts", F.col("ts").cast("timestamp"))
+    if late_bound:
+        src = src.withWatermark("ts", late_bound)
+    counts = src.groupBy(F.window("ts", "1 day")).agg(F.count(F.lit(1)).alias("record_count"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.select(
@@ -206,5 +170,3 @@ def read_window_counts(spark: SparkSession, out: str) -> DataFrame:
     df = spark.read.parquet(out)
     return df.groupBy("window_start", "window_end").agg(F.max_by("record_count", "_batch").alias("record_count"))
 
-
-_ = pd  # pandas is required by the Python stateful processor runtime

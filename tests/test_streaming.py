@@ -14,10 +14,10 @@ def test_ingest_restart_does_not_duplicate(spark):
     landing = scratch_path(spark, "t-landing")
     fx.landed_records(spark, SF).repartition(3).write.text(landing)
     base = scratch_path(spark, "t-ingest")
-    out, ckpt = os.path.join(base, "out"), os.path.join(base, "_ck")
-    T.stream_ingest(spark, landing, out, ckpt, RUN_AT)
+    out, ckpt, rej = (os.path.join(base, x) for x in ("out", "_ck", "rejects"))
+    T.stream_ingest(spark, landing, out, ckpt, RUN_AT, rej, 1)
     n1 = spark.read.parquet(out).count()
-    T.stream_ingest(spark, landing, out, ckpt, RUN_AT)  # restart: nothing new
+    T.stream_ingest(spark, landing, out, ckpt, RUN_AT, rej)  # restart: nothing new
     assert spark.read.parquet(out).count() == n1 == fx.landed_records(spark, SF).count()
 
 
@@ -31,3 +31,23 @@ def test_route_restart_is_idempotent(spark):
     T.stream_route(spark, log, preds, txs, ckpt, RUN_AT)
     n2 = spark.read.parquet(preds).count() + spark.read.parquet(txs).count()
     assert n1 == n2 == fx.cached_records(spark, SF).count()
+
+
+def test_results_do_not_depend_on_micro_batches(spark):
+    log = scratch_path(spark, "t-unsorted")
+    rows = fx.cached_records(spark, SF)
+    rows.repartition(4, "seq").write.parquet(log)
+    events = scratch_path(spark, "t-events")
+    fx.load(spark, SF, "events").repartition(4, "event_id").write.parquet(events)
+    base = scratch_path(spark, "t-batches")
+    at = lambda *x: os.path.join(base, *x)
+    T.stream_dedupe(spark, log, at("d"), at("dc"), max_files=1)
+    assert spark.read.parquet(at("d")).count() == rows.select("record_key").distinct().count()
+    T.stream_latest(spark, log, at("l"), at("lc"), 1)
+    got = T.read_latest(spark, at("l"))
+    assert got.agg({"n_writes": "sum"}).first()[0] == rows.count()
+    want = {r["record_key"]: r["w"] for r in rows.groupBy("record_key").agg({"written_at": "max"}).toDF("record_key", "w").collect()}
+    assert {r["record_key"]: r["written_at"] for r in got.collect()} == want
+    schema = "event_id bigint, ts timestamp_ntz"
+    T.stream_daily_counts(spark, events, at("c"), at("cc"), schema, max_files=1)
+    assert T.read_window_counts(spark, at("c")).agg({"record_count": "sum"}).first()[0] == fx.load(spark, SF, "events").count()
