@@ -1,7 +1,8 @@
 """Physical-plan assertions: pushdown, no Python in hot paths, broadcast of
 fixed dimensions only, no single-task top-n."""
 
-import __spark_entry__ as E
+import __spark_entry__ as E 
+from cohortix.plans import catalog 
 
 SF = "/root/testdata/sf0.01"
 
@@ -24,7 +25,7 @@ def test_projection_is_pruned(spark):
 
 
 def test_no_python_udfs_in_batch_catalog(spark):
-    for key, fn in E.queries().items():
+    for key, fn in catalog.queries().items():
         if key.startswith("stream_"):
             continue
         p = plan(fn(spark, SF))
@@ -32,17 +33,17 @@ def test_no_python_udfs_in_batch_catalog(spark):
 
 
 def test_cohort_cap_has_no_global_take_ordered(spark):
-    p = plan(E.queries()["treatment_cohort"](spark, SF))
+    p = plan(catalog.queries()["treatment_cohort"](spark, SF))
     assert "TakeOrderedAndProject" not in p
 
 
 def test_dimension_tables_are_broadcast(spark):
-    p = plan(E.queries()["order_logistics"](spark, SF))
+    p = plan(catalog.queries()["order_logistics"](spark, SF))
     assert p.count("BroadcastHashJoin") >= 3
 
 
 def test_top_n_broadcasts_only_the_bounded_histogram(spark):
-    p = plan(E.queries()["treatment_cohort"](spark, SF))
+    p = plan(catalog.queries()["treatment_cohort"](spark, SF))
     segments = p.split("BroadcastExchange")[1:]
     assert segments, "expected the histogram to be broadcast"
     for seg in segments:  # each broadcast side is the running-count histogram
