@@ -13,8 +13,8 @@ and the unseen word.
 Training is data-parallel in rounds.  Blocks are dealt to rounds by hash; in a
 round every task goes through its blocks from the current weights (truncated
 backpropagation over windows of ``STEPS`` words, state carried across windows,
-all training documents read in whole, gradients taken in every ``GRAD_EVERY``-th
-window) and its weights are averaged with the others by words learned.  The
+all training documents read in whole, gradients taken in every window) and its
+weights are averaged with the others by words learned.  The
 average is an aggregation by parameter; only the averaged weights (their number
 is fixed by the parameters) reach the driver.
 
@@ -43,7 +43,7 @@ from cohortix.llm.wordblocks import ANSWERS, BLOCK_BYTES, answer_batch, blocks,
 HEAD, CLASS, TAIL = 1023, 32, 40
 EMBED = HIDDEN = 16
 STEPS, LANES = 16, 256
-GRAD_EVERY, ROUNDS = 4, 2
+ROUNDS = 2
 RATE, CLIP, BASE_SHARE = 0.01, 5.0, 0.05
 
 
@@ -136,41 +136,54 @@ def recur(p: dict, x: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: bool):
     return states, h, tape
 
 
-def _softmax_log(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _softmax(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log probability of row ``y`` of each column; exponentials (in place of
+    ``x``) and their sums, from which the gradient is made."""
+    x -= x.max(axis=0)
+    own = x[y, np.arange(len(y))]
+    np.exp(x, out=x)
+    total = x.sum(axis=0)
+    return own - np.log(total), x, total
+
+
+def _slope(e: np.ndarray, total: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Gradient of the negative log probability on the logits (in place)."""
+    e /= total
+    e[y, np.arange(len(y))] -= 1
+    return e
 
 
 def outputs(p: dict, voc: Vocabulary, states: np.ndarray, y: np.ndarray, grad: dict | None = None):
     """Log probability of types ``y`` (natural log, without shares within tail
     classes); with ``grad`` also the gradient on the states."""
+    order = np.argsort(voc.of_type[y].astype(np.int16), kind="stable")
+    h, y = states[order], y[order]
     class_ = voc.of_type[y]
-    log_class = _softmax_log(states @ p["wc"] + p["bc"])
-    rows = np.arange(len(y))
-    out = log_class[rows, class_].astype(np.float64)
-    back = None
+    own, e, total = _softmax(p["wc"].T @ h.T + p["bc"][:, None], class_)
+    log_p, slope = own.astype(np.float64), None
     if grad is not None:
-        d = np.exp(log_class)
-        d[rows, class_] -= 1
-        grad["wc"], grad["bc"] = states.T @ d, d.sum(axis=0)
+        d = _slope(e, total, class_)
+        grad["wc"], grad["bc"] = (d @ h).T, d.sum(axis=1)
         grad["ww"], grad["bw"] = np.zeros_like(p["ww"]), np.zeros_like(p["bw"])
-        back = d @ p["wc"].T
-    order = np.argsort(class_, kind="stable")
-    edges = np.searchsorted(class_[order], np.arange(voc.head_classes + 1))
+        slope = d.T @ p["wc"].T
+    edges = np.searchsorted(class_, np.arange(voc.head_classes + 1))
     for k in range(voc.head_classes):
-        at = order[edges[k] : edges[k + 1]]
-        if not len(at):
+        at = slice(edges[k], edges[k + 1])
+        if at.start == at.stop:
             continue
-        own = slice(k * CLASS, min((k + 1) * CLASS, voc.n_head))
-        h = states[at]
-        log_word = _softmax_log(h @ p["ww"][own].T + p["bw"][own])
-        some = np.arange(len(at))
-        out[at] += log_word[some, y[at] - k * CLASS]
+        members = slice(k * CLASS, min((k + 1) * CLASS, voc.n_head))
+        word = y[at] - k * CLASS
+        own, e, total = _softmax(p["ww"][members] @ h[at].T + p["bw"][members, None], word)
+        log_p[at] += own
         if grad is not None:
-            d = np.exp(log_word)
-            d[some, y[at] - k * CLASS] -= 1
-            grad["ww"][own], grad["bw"][own] = d.T @ h, d.sum(axis=0)
-            back[at] += d @ p["ww"][own]
+            d = _slope(e, total, word)
+            grad["ww"][members], grad["bw"][members] = d @ h[at], d.sum(axis=1)
+            slope[at] += d.T @ p["ww"][members]
+    out, back = np.empty_like(log_p), None
+    out[order] = log_p
+    if grad is not None:
+        back = np.empty_like(slope)
+        back[order] = slope
     return out, back
 
 
@@ -249,13 +262,10 @@ def learn(p: dict, voc: Vocabulary, types: np.ndarray, sizes: np.ndarray, moment
     token, doc = lanes(sizes)
     x, y, fresh = _inputs(types, token, doc, voc.start)
     h = np.zeros((x.shape[1], HIDDEN), np.float32)
-    for k, at in enumerate(range(0, len(x), STEPS)):
+    for at in range(0, len(x), STEPS):
         here = slice(at, at + STEPS)
-        on = k % GRAD_EVERY == 0
-        states, h, tape = recur(p, x[here], fresh[here], h, on)
-        some = (y[here] >= 0).ravel()
-        if not on or not some.any():
-            continue
+        states, h, tape = recur(p, x[here], fresh[here], h, True)
+        some = (y[here] >= 0).ravel()  # every step has a token in some lane
         grad: dict = {}
         _, back = outputs(p, voc, states.reshape(-1, HIDDEN)[some], y[here].ravel()[some], grad)
         d = np.zeros((some.size, HIDDEN), np.float32)
