@@ -12,7 +12,7 @@ and the unseen word.
 
 Training is data-parallel in rounds.  Blocks are dealt to rounds by hash; in a
 round every task goes through its blocks from the current weights (truncated
-backpropagation over windows of ``STEPS`` words, state carried across windows,
+backpropagation over windows of ``STEPS`` words or more, state carried across them,
 all training documents read in whole, gradients taken in every window) and its
 weights are averaged with the others by words learned.  The
 average is an aggregation by parameter; only the averaged weights (their number
@@ -42,7 +42,7 @@ from cohortix.llm.wordblocks import ANSWERS, BLOCK_BYTES, answer_batch, blocks,
 
 HEAD, CLASS, TAIL = 1023, 32, 40
 EMBED = HIDDEN = 16
-STEPS, LANES = 16, 256
+STEPS, LANES = 16, 512
 ROUNDS = 2
 RATE, CLIP, BASE_SHARE = 0.01, 5.0, 0.05
 
@@ -233,6 +233,13 @@ def lanes(sizes: np.ndarray, most: int = LANES) -> tuple[np.ndarray, np.ndarray]
     return token, doc
 
 
+def windows(high: int, width: int):
+    """Windows of ``STEPS`` steps; longer where a few long documents leave few
+    lanes, so that each holds ``STEPS * LANES`` words or nearly so."""
+    steps = max(STEPS, STEPS * LANES // width)
+    return (slice(at, at + steps) for at in range(0, high, steps))
+
+
 def _opened(row: dict, voc: Vocabulary):
     """Tokens of a block: type, log share, log base, known; sizes with end tokens."""
     pages = {a["bucket"]: np.frombuffer(unsqueeze(a["answer"]), np.int64) for a in row["answers"] or ()}
@@ -262,8 +269,7 @@ def learn(p: dict, voc: Vocabulary, types: np.ndarray, sizes: np.ndarray, moment
     token, doc = lanes(sizes)
     x, y, fresh = _inputs(types, token, doc, voc.start)
     h = np.zeros((x.shape[1], HIDDEN), np.float32)
-    for at in range(0, len(x), STEPS):
-        here = slice(at, at + STEPS)
+    for here in windows(*x.shape):
         states, h, tape = recur(p, x[here], fresh[here], h, True)
         some = (y[here] >= 0).ravel()  # every step has a token in some lane
         grad: dict = {}
@@ -288,8 +294,7 @@ def log_probability(p: dict, voc: Vocabulary, tokens, sizes, type_, within, base
     h = np.zeros((x.shape[1], HIDDEN), np.float32)
     total = np.zeros(len(sizes))
     new, old = np.log(1 - BASE_SHARE), np.log(BASE_SHARE)
-    for at in range(0, len(x), STEPS):
-        here = slice(at, at + STEPS)
+    for here in windows(*x.shape):
         states, h, _ = recur(p, x[here], fresh[here], h, False)
         some = (token[here] >= 0).ravel()
         own = tokens[token[here].ravel()[some]]
