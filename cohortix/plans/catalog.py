@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortix.plans import q_enrich, q_experiments, q_ingest, q_marts, q_predictions, q_quality, q_streaming, q_transactions  # noqa: F401
+from cohortix.plans import q_enrich, q_experiments, q_ingest, q_marts, q_predictions, q_quality, q_runs, q_streaming, q_transactions  # noqa: F401
 from cohortix.plans.registry import ORACLE, QUERIES
 
 
