@@ -1,4 +1,7 @@
-"""Catalog: data-quality checks (violating rows) and their summary."""
+"""Catalog: data-quality checks (violating rows) and their summary.
+
+The given tables are clean, so the checks run over rows of which a fixed part
+is made faulty by its key: every check has something to find."""
 
 from __future__ import annotations
 
@@ -7,7 +10,6 @@ from pyspark.sql import functions as F
 from cohortix.operators import quality as D
 from cohortix.operators import transactions as B
 from cohortix.params import ORDER_STATUSES, RISK_LEVELS, TIME_PERIODS, TXN_STATUSES
-from cohortix.plans import q_enrich as QE
 from cohortix.plans import q_experiments as QX
 from cohortix.plans import q_transactions as QT
 from cohortix.plans import sqlfrag as Q
@@ -19,6 +21,45 @@ STG_REQUIRED = ("transaction_id", "customer_id", "product_id", "amount", "curren
                 "risk_level", "will_default", "payment_method_id", "transaction_timestamp")
 
 
+# Staged transactions, a fifth of them with each fault.
+FAULTY_STG = QT.STG.replace("\nstg AS (", "\nclean_stg AS (") + """,
+stg AS (SELECT * REPLACE (
+  CASE WHEN customer_tenure_days % 5 = 1 THEN NULL ELSE payment_method_id END AS payment_method_id,
+  CASE WHEN customer_tenure_days % 5 = 2 THEN -amount - 1 ELSE amount END AS amount,
+  CASE WHEN customer_tenure_days % 5 = 3 THEN risk_score + 1.5 ELSE risk_score END AS risk_score,
+  CASE WHEN customer_tenure_days % 5 = 4 THEN -customer_tenure_days ELSE customer_tenure_days END AS customer_tenure_days)
+  FROM clean_stg)"""
+FAULTY_TENURE = FAULTY_STG + QT.TENURE[len(QT.STG):]
+
+
+def _faulty_stg(spark, sf_dir):
+    kind = F.col("customer_tenure_days") % 5
+    return QT._stg(spark, sf_dir).withColumns({
+        "payment_method_id": F.when(kind == 1, None).otherwise(F.col("payment_method_id")),
+        "amount": F.when(kind == 2, -F.col("amount") - 1).otherwise(F.col("amount")),
+        "risk_score": F.when(kind == 3, F.col("risk_score") + 1.5).otherwise(F.col("risk_score")),
+        "customer_tenure_days": F.when(kind == 4, -F.col("customer_tenure_days")).otherwise(F.col("customer_tenure_days")),
+    })
+
+
+# Mart rows with an unknown status or gender, overlay rows without a variant.
+FAULTY_MART = QX.FLOW_MART.replace("\nmart AS (", "\nclean_mart AS (") + """,
+mart AS (SELECT * REPLACE (
+  CASE WHEN order_id % 7 = 0 THEN 'Lost' ELSE status END AS status,
+  CASE WHEN order_id % 11 = 0 THEN 'X' ELSE gender END AS gender,
+  CASE WHEN data_source = 'synthetic_overlay' AND order_id % 2 = 0 THEN NULL ELSE variant END AS variant)
+  FROM clean_mart)"""
+
+
+def _faulty_mart(spark, sf_dir):
+    key = F.col("order_id")
+    return QX._flow(spark, sf_dir, "mart").withColumns({
+        "status": F.when(key % 7 == 0, "Lost").otherwise(F.col("status")),
+        "gender": F.when(key % 11 == 0, "X").otherwise(F.col("gender")),
+        "variant": F.when((F.col("data_source") == "synthetic_overlay") & (key % 2 == 0), None).otherwise(F.col("variant")),
+    })
+
+
 def _in(values) -> str:
     return ", ".join(Q.sql_lit(v) for v in values)
 
@@ -33,17 +74,17 @@ NOT_NULL_SQL = " UNION ALL ".join(
 )
 
 
-@query("dq_not_null", QT.STG + "\n" + NOT_NULL_SQL)
+@query("dq_not_null", FAULTY_STG + "\n" + NOT_NULL_SQL)
 def dq_not_null(spark, sf_dir):
-    return D.not_null(QT._stg(spark, sf_dir), "unique_transaction_id", STG_REQUIRED)
+    return D.not_null(_faulty_stg(spark, sf_dir), "unique_transaction_id", STG_REQUIRED)
 
 
-@query("dq_accepted_values", QX.FLOW_MART + f"""
+@query("dq_accepted_values", FAULTY_MART + f"""
 SELECT order_id, 'status' AS column_name, status AS value FROM mart WHERE status IS NOT NULL AND status NOT IN ({_in(ORDER_STATUSES)})
 UNION ALL SELECT order_id, 'time_period', time_period FROM mart WHERE time_period IS NOT NULL AND time_period NOT IN ({_in(TIME_PERIODS)})
 UNION ALL SELECT order_id, 'gender', gender FROM mart WHERE gender IS NOT NULL AND gender NOT IN ('M', 'F')""")
 def dq_accepted_values(spark, sf_dir):
-    m = QX._flow(spark, sf_dir, "mart")
+    m = _faulty_mart(spark, sf_dir)
     return D.rule_violations(m, "order_id", [
         D.accepted_values_rule("status", ORDER_STATUSES),
         D.accepted_values_rule("time_period", TIME_PERIODS),
@@ -51,12 +92,12 @@ def dq_accepted_values(spark, sf_dir):
     ])
 
 
-@query("dq_range", QT.STG + """
+@query("dq_range", FAULTY_STG + """
 SELECT unique_transaction_id, 'amount' AS column_name, CAST(amount AS DOUBLE) AS value FROM stg WHERE amount IS NOT NULL AND amount < 0
 UNION ALL SELECT unique_transaction_id, 'risk_score', CAST(risk_score AS DOUBLE) FROM stg
 WHERE risk_score IS NOT NULL AND (risk_score < 0.0 OR risk_score > 1.0)""")
 def dq_range(spark, sf_dir):
-    s = QT._stg(spark, sf_dir)
+    s = _faulty_stg(spark, sf_dir)
     return D.rule_violations(s, "unique_transaction_id", [
         D.range_rule("amount", 0), D.range_rule("risk_score", 0.0, 1.0),
     ])
@@ -66,19 +107,19 @@ TENURE_BOUNDS = (("first_customer_tenure", 0, 10000), ("days_from_first_transact
                  ("adjusted_customer_tenure", 0, 10365))
 
 
-@query("dq_between", QT.TENURE + "\n" + " UNION ALL ".join(
+@query("dq_between", FAULTY_TENURE + "\n" + " UNION ALL ".join(
     f"SELECT unique_transaction_id, '{c}' AS column_name, CAST({c} AS DOUBLE) AS value FROM tenure "
     f"WHERE {c} IS NOT NULL AND ({c} < {lo} OR {c} > {hi})" for c, lo, hi in TENURE_BOUNDS))
 def dq_between(spark, sf_dir):
-    t = B.tenure_adjusted(QT._stg(spark, sf_dir))
+    t = B.tenure_adjusted(_faulty_stg(spark, sf_dir))
     return D.rule_violations(t, "unique_transaction_id", [D.range_rule(c, lo, hi) for c, lo, hi in TENURE_BOUNDS])
 
 
-@query("dq_conditional", QX.FLOW_MART + """
+@query("dq_conditional", FAULTY_MART + """
 SELECT order_id, 'experiment_name' AS failed_column FROM mart WHERE data_source = 'synthetic_overlay' AND experiment_name IS NULL
 UNION ALL SELECT order_id, 'variant' FROM mart WHERE data_source = 'synthetic_overlay' AND variant IS NULL""")
 def dq_conditional(spark, sf_dir):
-    m = QX._flow(spark, sf_dir, "mart")
+    m = _faulty_mart(spark, sf_dir)
     return D.conditional(m, F.col("data_source") == "synthetic_overlay",
                          lambda df: D.not_null(df, "order_id", ("experiment_name", "variant")))
 
@@ -142,31 +183,47 @@ def dq_summary(spark, sf_dir):
     return _txn_summary(QT._stg(spark, sf_dir))
 
 
-@query("dq_row_rule", QE.LOGISTICS + """
-SELECT order_id, 'total_equals_processing_plus_transit' AS rule FROM logistics
-WHERE NOT coalesce(total_delivery_days = processing_days + transit_days, FALSE)""")
-def dq_row_rule(spark, sf_dir):
-    lg = QE._logistics(spark, sf_dir)
-    return D.row_rule(lg, "order_id", F.col("total_delivery_days") == F.col("processing_days") + F.col("transit_days"),
-                      "total_equals_processing_plus_transit")
+ORDERS = "WITH " + Q.SRC_ORDERS.strip()
 
 
-@query("dq_cross_table_dates", QE.TICKETS + """
-SELECT t.ticket_id, t.user_id, t.created_date, u.registration_date
-FROM tickets t JOIN src_users u ON t.user_id = u.user_id WHERE t.created_date < u.registration_date""")
+@query("dq_row_rule", ORDERS + """,
+moved AS (SELECT * REPLACE (CASE WHEN order_id % 13 = 0 THEN shipped_at - INTERVAL 1 DAY ELSE delivered_at END AS delivered_at)
+          FROM src_orders)
+SELECT order_id, 'delivered_after_shipped' AS rule FROM moved WHERE NOT coalesce(delivered_at >= shipped_at, FALSE)""")
+def dq_row_rule(spark, sf_dir):
+    early = F.timestamp_add("DAY", F.lit(-1), F.col("shipped_at"))
+    moved = fx.orders(spark, sf_dir).withColumn(
+        "delivered_at", F.when(F.col("order_id") % 13 == 0, early).otherwise(F.col("delivered_at")))
+    return D.row_rule(moved, "order_id", F.col("delivered_at") >= F.col("shipped_at"), "delivered_after_shipped")
+
+
+@query("dq_cross_table_dates", ORDERS + ",\n" + Q.SRC_USERS.strip() + """,
+moved AS (SELECT order_id, user_id,
+                 CAST(CASE WHEN order_id % 13 = 0 THEN created_at - INTERVAL 4000 DAY ELSE created_at END AS DATE) AS created_date
+          FROM src_orders)
+SELECT m.order_id, m.user_id, m.created_date, u.registration_date
+FROM moved m JOIN src_users u ON m.user_id = u.user_id WHERE m.created_date < u.registration_date""")
 def dq_cross_table_dates(spark, sf_dir):
-    t = QE._tickets(spark, sf_dir)
+    early = F.timestamp_add("DAY", F.lit(-4000), F.col("created_at"))
+    moved = fx.orders(spark, sf_dir, with_items=False).select("order_id", "user_id", F.to_date(
+        F.when(F.col("order_id") % 13 == 0, early).otherwise(F.col("created_at"))).alias("created_date"))
     u = fx.users(spark, sf_dir).select("user_id", "registration_date")
-    return t.join(u, "user_id").filter(F.col("created_date") < F.col("registration_date")).select(
-        "ticket_id", "user_id", "created_date", "registration_date"
+    return moved.join(u, "user_id").filter(F.col("created_date") < F.col("registration_date")).select(
+        "order_id", "user_id", "created_date", "registration_date"
     )
 
 
-@query("dq_key_preservation", QE.LOGISTICS + """
-SELECT order_id, 'missing_in_output' AS issue FROM completed WHERE order_id NOT IN (SELECT order_id FROM logistics)
-UNION ALL SELECT order_id, 'not_in_source' FROM logistics WHERE order_id NOT IN (SELECT order_id FROM completed)""")
+@query("dq_key_preservation", ORDERS + """,
+completed AS (SELECT order_id FROM src_orders WHERE status = 'Complete'),
+kept AS (SELECT order_id FROM completed WHERE order_id % 13 <> 0
+         UNION ALL SELECT -order_id FROM completed WHERE order_id % 17 = 0)
+SELECT order_id, 'missing_in_output' AS issue FROM completed WHERE order_id NOT IN (SELECT order_id FROM kept)
+UNION ALL SELECT order_id, 'not_in_source' FROM kept WHERE order_id NOT IN (SELECT order_id FROM completed)""")
 def dq_key_preservation(spark, sf_dir):
-    return D.key_preservation(QE._completed(spark, sf_dir), QE._logistics(spark, sf_dir), "order_id")
+    key = F.col("order_id")
+    completed = fx.orders(spark, sf_dir, with_items=False).filter(F.col("status") == "Complete").select(key)
+    kept = completed.filter(key % 13 != 0).unionByName(completed.filter(key % 17 == 0).select((-key).alias("order_id")))
+    return D.key_preservation(completed, kept, "order_id")
 
 
 REVENUE_TOLERANCE = "1.00"
