@@ -47,11 +47,6 @@ def bucket(*parts, sep: str | None = None) -> Column:
     return bucket_of_hex(md5_hex(*parts, sep=sep))
 
 
-def salted_bucket(key: Column | str, salt: str, seed: int = 42) -> Column:
-    """bucket(seed_salt_key): one independent uniform per (key, salt)."""
-    return bucket(F.lit(f"{seed}_{salt}_"), _c(key))
-
-
 def hash60(h: Column) -> Column:
     """First 15 hex digits of an md5 as a non-negative bigint (ordering key)."""
     return F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint")

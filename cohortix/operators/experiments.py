@@ -8,7 +8,6 @@ integer thresholds (a handful of numbers, independent of data size).
 from __future__ import annotations
 
 import math
-from datetime import date, timedelta
 from itertools import cycle, islice
 
 from pyspark.sql import DataFrame, Window
@@ -408,12 +407,6 @@ def experiment_results(assignments: DataFrame, orders: DataFrame, items: DataFra
     )
 
 
-def window_dates(window: ExperimentWindow) -> list[date]:
-    s = date.fromisoformat(window.experiment_start)
-    e = date.fromisoformat(window.experiment_end)
-    return [s + timedelta(days=i) for i in range((e - s).days + 1)]
-
-
 # ---------------------------------------------------------------------------
 # Extracts and the fixed-size user sample
 # ---------------------------------------------------------------------------

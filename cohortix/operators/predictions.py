@@ -127,9 +127,6 @@ def upload_freshness(tables: dict[str, DataFrame], now: str,
     )
 
 
-SEVERITY = (("healthy", 0), ("warning", 1), ("error", 2), ("down", 2))
-
-
 def service_statuses(freshness: DataFrame, queue: DataFrame, threshold: int = QUEUE_ALERT_THRESHOLD) -> DataFrame:
     """(service, status) rows: uploads from freshness, queue from backlog."""
     uploads = freshness.agg(

@@ -195,8 +195,6 @@ REQUIRED_FIELDS = ("transaction_id", "customer_id", "_timestamp", "amount")
 
 # Accepted values of the declarative checks.
 ORDER_STATUSES = ("Complete", "Cancelled", "Processing", "Shipped", "Returned")
-GENDERS = ("M", "F")
-ARMS = ("control", "treatment")
 TXN_STATUSES = ("completed", "pending", "failed", "cancelled")
 RISK_LEVELS = ("very_low", "low", "medium", "high", "very_high")
 TIME_PERIODS = ("baseline_period", "experiment_period")
@@ -206,7 +204,6 @@ CACHE_TTL_DAYS = 7
 FRESHNESS_WINDOW_HOURS = 24
 STALE_AFTER_HOURS = 2
 QUEUE_ALERT_THRESHOLD = 10_000
-BALANCE_TOLERANCE = 0.05
 
 # Date-range guard of the ingestion entry points.
 MIN_INGEST_YEAR = 2020

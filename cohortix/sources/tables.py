@@ -36,20 +36,3 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name in SCHEMAS:
         reader = reader.schema(SCHEMAS[name])
     return reader.parquet(table_path(sf_dir, name))
-
-
-class Catalog:
-    """Variable-addressed table access (``{{var}}.orders``): the dataset is a
-    parameter, tables are resolved by name."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
-        self.sf_dir = sf_dir
-
-    def __getitem__(self, name: str) -> DataFrame:
-        return load(self.spark, self.sf_dir, name)
-
-    def __getattr__(self, name: str) -> DataFrame:
-        if name.startswith("_"):
-            raise AttributeError(name)
-        return self[name]
