@@ -114,26 +114,36 @@ def initial(voc: Vocabulary) -> dict[str, np.ndarray]:
     }
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return np.float32(1) / (np.float32(1) + np.exp(-x))
-
-
 def recur(p: dict, x: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: bool):
-    """States after each step (steps x lanes x hidden), and what backward needs."""
+    """States after each step (steps x lanes x hidden), and what backward needs.
+
+    Inside, lanes run along the last axis, so that every gate is one run of memory."""
     n = HIDDEN
-    gates = (p["emb"] @ p["wx"] + p["b"])[x]
-    states, tape = np.empty((*x.shape, n), np.float32), []
+    table, wh = p["emb"] @ p["wx"] + p["b"], np.ascontiguousarray(p["wh"].T)
+    states, tape = np.empty((*x.shape, n), table.dtype), []
+    h = np.ascontiguousarray(h.T)
     for t in range(len(x)):
-        h = np.where(fresh[t][:, None], np.float32(0), h)
-        g = h @ p["wh"]
-        zr = _sigmoid(gates[t][:, : 2 * n] + g[:, : 2 * n])
-        z, r = zr[:, :n], zr[:, n:]
-        c = np.tanh(gates[t][:, 2 * n :] + r * g[:, 2 * n :])
-        new = c + z * (h - c)
+        if fresh[t].any():
+            h = np.where(fresh[t], np.float32(0), h)
+        g = wh @ h
+        own = np.ascontiguousarray(table[x[t]].T)
+        zr = own[: 2 * n]
+        zr += g[: 2 * n]
+        np.negative(zr, out=zr)
+        np.exp(zr, out=zr)
+        zr += np.float32(1)
+        np.reciprocal(zr, out=zr)
+        z, r, gc, c = zr[:n], zr[n:], g[2 * n :], own[2 * n :]
+        c += r * gc
+        np.tanh(c, out=c)
+        new = h - c
+        new *= z
+        new += c
         if keep:
-            tape.append((h, z, r, c, g[:, 2 * n :]))
-        h = states[t] = new
-    return states, h, tape
+            tape.append((h, z, r, c, gc))
+        h = new
+        states[t] = h.T
+    return states, np.ascontiguousarray(h.T), tape
 
 
 def _softmax(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -188,25 +198,36 @@ def outputs(p: dict, voc: Vocabulary, states: np.ndarray, y: np.ndarray, grad: d
 
 
 def _backward(p: dict, x: np.ndarray, fresh: np.ndarray, tape: list, d_states: np.ndarray, grad: dict) -> None:
-    n = HIDDEN
-    d_gates = np.empty((*x.shape, 3 * n), np.float32)
-    grad["wh"] = np.zeros_like(p["wh"])
+    n, wh = HIDDEN, p["wh"]
+    d_gates = np.empty((len(x), 3 * n, x.shape[1]), d_states.dtype)
+    d_states = np.ascontiguousarray(d_states.transpose(0, 2, 1))
+    d_wh = np.zeros(wh.T.shape, wh.dtype)
     d_h = np.zeros_like(d_states[0])
     for t in range(len(x) - 1, -1, -1):
         h, z, r, c, gc = tape[t]
-        d = d_states[t] + d_h
-        d_c = d * (1 - z) * (1 - c * c)
-        d_z = d * (h - c) * z * (1 - z)
-        d_r = d_c * gc * r * (1 - r)
-        d_g = np.concatenate([d_z, d_r, d_c * r], axis=1)
-        grad["wh"] += h.T @ d_g
-        d_h = np.where(fresh[t][:, None], np.float32(0), d * z + d_g @ p["wh"].T)
-        d_gates[t, :, : 2 * n] = d_g[:, : 2 * n]
-        d_gates[t, :, 2 * n :] = d_c
-    flat, types = d_gates.reshape(-1, 3 * n), x.ravel()
+        d = d_states[t]
+        d += d_h
+        own = d_gates[t]
+        keep = d * z
+        d_c = d - keep
+        np.multiply(d_c, z, out=own[:n])
+        own[:n] *= h - c
+        d_c -= d_c * c * c
+        d_r = d_c * r
+        own[2 * n :] = d_r
+        np.multiply(d_r, gc, out=own[n : 2 * n])
+        own[n : 2 * n] *= 1 - r
+        d_wh += own @ h.T
+        d_h = wh @ own
+        d_h += keep
+        if fresh[t].any():
+            d_h = np.where(fresh[t], np.float32(0), d_h)
+        own[2 * n :] = d_c
+    grad["wh"] = d_wh.T
+    flat, types = np.ascontiguousarray(d_gates.transpose(0, 2, 1)).reshape(-1, 3 * n), x.ravel()
     order = np.argsort(types, kind="stable")
     seen, first = np.unique(types[order], return_index=True)
-    by_type = np.zeros((len(p["emb"]), 3 * n), np.float32)
+    by_type = np.zeros((len(p["emb"]), 3 * n), flat.dtype)
     by_type[seen] = np.add.reduceat(flat[order], first, axis=0)
     grad["wx"], grad["b"] = p["emb"].T @ by_type, flat.sum(axis=0)
     grad["emb"] = by_type @ p["wx"].T
