@@ -3,7 +3,7 @@
 Word counts of all training documents are gathered through the distinct-word
 tables of wordblocks; they give the unigram base and the output classes.  The
 network reads word types: the ``HEAD`` most frequent words, one type per power
-of two of the count for all others, one for words never seen in training.  Its
+of two of the count that occurs for all others, one for words never seen in training.  Its
 output is factored by class: softmax over classes from the state, then softmax
 over the members for classes of head words; within a tail class a word has its
 share of the class's smoothed counts.  The result is mixed with the base, so
@@ -80,11 +80,14 @@ class Vocabulary:
         self.index = {w.encode(): i + 1 for i, (w, _) in enumerate(head)}
         counts = np.array([ends] + [c for _, c in head], float) + 0.5
         self.n_head = len(counts)
-        self.n_types = self.n_head + TAIL + 1
+        bins = sorted(b for b, (_, words) in tail.items() if words)
+        self.place = np.zeros(TAIL, np.int64)
+        self.place[bins] = np.arange(len(bins))
+        self.n_types = self.n_head + len(bins) + 1
         self.start = self.n_types
-        self.of_type = np.r_[np.arange(self.n_head) // CLASS, np.arange(TAIL + 1) + (self.n_head - 1) // CLASS + 1]
+        self.of_type = np.r_[np.arange(self.n_head) // CLASS, np.arange(len(bins) + 1) + (self.n_head - 1) // CLASS + 1]
         self.head_classes = (self.n_head - 1) // CLASS + 1
-        self.tail_mass = np.array([tail.get(b, (0.0, 0))[0] for b in range(TAIL)])
+        self.tail_mass = np.array([tail[b][0] for b in bins])
         mass = np.r_[np.add.reduceat(counts, np.arange(0, self.n_head, CLASS)), self.tail_mass, 0.5]
         self.class_bias = np.log(np.maximum(mass, 0.5) / self.z)
         self.word_bias = np.log(counts)
@@ -92,9 +95,11 @@ class Vocabulary:
     def types(self, words: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Type, log share within a tail class, and log base probability of words."""
         head = np.fromiter((self.index.get(w, 0) for w in words), np.int64, len(words))
-        bin_ = np.minimum(np.log2(np.maximum(counts, 1)).astype(np.int64), TAIL - 1)
-        type_ = np.where(head > 0, head, np.where(counts > 0, self.n_head + bin_, self.n_head + TAIL))
-        within = np.where((head == 0) & (counts > 0), np.log(counts + 0.5) - np.log(np.maximum(self.tail_mass[bin_], 0.5)), 0.0)
+        bin_ = self.place[np.minimum(np.frexp(np.maximum(counts, 1))[1] - 1, TAIL - 1)]
+        type_ = np.where(head > 0, head, np.where(counts > 0, self.n_head + bin_, self.n_types - 1))
+        within = np.zeros(len(words))
+        tail = (head == 0) & (counts > 0)
+        within[tail] = np.log(counts[tail] + 0.5) - np.log(np.maximum(self.tail_mass[bin_[tail]], 0.5))
         return type_, within, np.log((counts + 0.5) / self.z)
 
 
@@ -105,7 +110,7 @@ def initial(voc: Vocabulary) -> dict[str, np.ndarray]:
     """Weights that start at the unigram model; fixed seed."""
     rng = np.random.default_rng(7)
     size = lambda *s: (rng.standard_normal(s) / np.sqrt(s[0])).astype(np.float32)
-    classes = voc.head_classes + TAIL + 1
+    classes = len(voc.class_bias)
     return {
         "emb": (rng.standard_normal((voc.n_types + 1, EMBED)) * 0.5).astype(np.float32),
         "wx": size(EMBED, 3 * HIDDEN), "wh": size(HIDDEN, 3 * HIDDEN), "b": np.zeros(3 * HIDDEN, np.float32),
@@ -369,11 +374,11 @@ def vocabulary(table_: DataFrame, buckets: int) -> Vocabulary:
     words = stored(by_bucket(table_, buckets, _count_words, "word string, c long"), "lm-words")
     ends = table_.select(F.sum(F.size(F.filter("flag", lambda f: f)))).first()[0] or 0
     head = [(r["word"], r["c"]) for r in words.orderBy(F.desc("c"), "word").limit(HEAD).collect()]
-    bins = words.groupBy(F.least(F.floor(F.log2("c")), F.lit(TAIL - 1)).cast("int").alias("b"))
+    bins = words.groupBy(F.least(F.length(F.bin("c")) - 1, F.lit(TAIL - 1)).alias("b"))
     bins = {r["b"]: [r["mass"], r["n"], r["c"]] for r in bins.agg(F.sum(F.col("c") + 0.5).alias("mass"), F.count("*").alias("n"), F.sum("c").alias("c")).collect()}
     n, v = ends + sum(b[2] for b in bins.values()), sum(b[1] for b in bins.values()) + (ends > 0)
     for _, c in head:
-        own = bins[min(int(np.log2(c)), TAIL - 1)]
+        own = bins[min(c.bit_length() - 1, TAIL - 1)]
         own[0], own[1] = own[0] - c - 0.5, own[1] - 1
     return Vocabulary(head, {b: (max(0.0, x[0]), x[1]) for b, x in bins.items()}, ends, n, v)
 
