@@ -20,8 +20,9 @@ Grams run over 64 symbols: white space, a-z, decimal digits, other ASCII, and
 Defined results: a null text or one without a letter is ``und`` with score 0,
 as is every text if there is nothing to learn from; with one language learned
 all texts with letters get it; rows with a null doc_id are never held out
-(and train if they have a language); repeated rows are all returned; an empty
-table gives no rows; further columns are ignored.
+and not learned from; rows that share doc_id and language are one row of the
+sample; repeated rows are all returned; an empty table gives no rows; further
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -69,7 +70,7 @@ def held_out(doc_id: Column, divisor: int) -> Column:
 
 def _sample(docs: DataFrame, size: int) -> DataFrame:
     """lang, grams of the documents to learn from, in order of their hash."""
-    rows = docs.where(F.col("lang").isNotNull() & ~F.col("held_out")).withColumn("h", F.xxhash64("doc_id", F.lit("langid")))
+    rows = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~F.col("held_out")).withColumn("h", F.xxhash64("doc_id", F.lit("langid")))
     counts = rows.groupBy("lang").agg(F.count("*").alias("n")).withColumn("langs", F.count("*").over(Window.partitionBy()))
     share = F.greatest(F.lit(1), F.floor(F.lit(size) / F.col("langs")))
     # a share of the hashes that holds some four times the wanted rows (all of a small language), then the exact number
@@ -78,15 +79,17 @@ def _sample(docs: DataFrame, size: int) -> DataFrame:
     near = rows.join(stored(counts.select("lang", share.alias("share"), part.alias("part")), "langid-counts"), "lang")
     near = near.where(F.pmod("h", F.lit(1 << 30)) < F.col("part") * (1 << 30))
     first = Window.partitionBy("lang").orderBy("h", "doc_id")
-    picked = near.select("lang", "doc_id", "h", "share").withColumn("r", F.row_number().over(first)).where("r <= share").select("doc_id", "h", "r")
+    picked = near.groupBy("lang", "doc_id", "h").agg(F.first("share").alias("share")).withColumn("r", F.row_number().over(first)).where("r <= share")
     symbols = _symbols()
 
     @F.pandas_udf("array<int>")
     def gram_set(texts: pd.Series) -> pd.Series:
         return pd.Series([np.unique(grams(t, symbols)) if has_letter(t) else [] for t in texts])
 
-    chosen = rows.join(F.broadcast(picked.select("doc_id", "r").distinct()), "doc_id")
-    return chosen.select("lang", "h", gram_set("text").alias("grams"))
+    # rows that share an id and a language count once, with the text of the smallest hash
+    text = F.struct(F.xxhash64("text"), "text")
+    chosen = rows.join(F.broadcast(picked.select("lang", "doc_id")), ["lang", "doc_id"]).groupBy("lang", "doc_id", "h")
+    return chosen.agg(F.min(text)["text"].alias("text")).select("lang", "h", gram_set("text").alias("grams"))
 
 
 def fit(rows: list, landmarks: int, ridge: float) -> tuple[list[str], np.ndarray, np.ndarray] | None:

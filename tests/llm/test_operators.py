@@ -248,6 +248,12 @@ def test_language_accuracy_and_undetermined(spark, edge):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
+def test_language_sample_is_bounded_by_ids(spark):
+    data = [(1, f"the cat {i}", "en", False) for i in range(50)] + [(2, "der Hund", "de", False), (3, "le chien", "fr", True), (None, "el perro", "es", False)]
+    got = langid._sample(spark.createDataFrame(data, "doc_id long, text string, lang string, held_out boolean"), 4).collect()
+    assert sorted(r["lang"] for r in got) == ["de", "en"]
+
+
 def test_lm_base_and_gain(spark, docs):
     data = docs + [(9001, None), (9002, ""), (None, "The the")]
     out = lm.score(spark.createDataFrame(data, "doc_id long, text string").selectExpr("doc_id", "text", "coalesce(doc_id % 5 != 1, true) AS flag"), block_bytes=1 << 18)
