@@ -13,15 +13,15 @@ def plan(df) -> str:
 
 def test_window_filter_pushes_to_scan(spark):
     p = plan(E.queries()["window_filter"](spark, SF))
-    pushed = p.split("PushedFilters: [")[1].split("]")[0]
-    assert "GreaterThanOrEqual(created_at" in pushed and "LessThanOrEqual(created_at" in pushed
+    pushed = [x.split("]")[0] for x in p.split("PushedFilters: [")[1:]]
+    assert any("GreaterThanOrEqual(o_orderdate" in x and "LessThanOrEqual(o_orderdate" in x for x in pushed), p
 
 
 def test_projection_is_pruned(spark):
     p = plan(E.queries()["fact_events"](spark, SF))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double,props:string>" in p
     p = plan(E.queries()["experiment_participants"](spark, SF))
-    assert "ReadSchema: struct<user_id:bigint,created_at:timestamp_ntz>" in p
+    assert "ReadSchema: struct<o_custkey:bigint,o_orderdate:timestamp_ntz>" in p, p
 
 
 def test_no_python_udfs_in_batch_catalog(spark):
