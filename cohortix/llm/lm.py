@@ -3,12 +3,17 @@
 Word counts of all training documents are gathered through the distinct-word
 tables of wordblocks; they give the unigram base and the output classes.  The
 network reads word types: the ``HEAD`` most frequent words, one type per power
-of two of the count that occurs for all others, one for words never seen in training.  Its
+of two of the count that occurs for all others, one for words never seen in training;
+to the type of a tail word two marks are added, rows of a table by its hash.  Its
 output is factored by class: softmax over classes from the state, then softmax
-over the members for classes of head words; within a tail class a word has its
-share of the class's smoothed counts.  The result is mixed with the base, so
-every text has a positive probability and the model sums to one over the words
-and the unseen word.
+over the members for classes of head words.  A tail class is split in two again
+and again until every word is alone: over the ``CELLS`` cells of a hash, then over
+the words of a cell in their order.  At a split the state chooses the side, around
+the odds of the smoothed counts on either side, with weights from a table of
+``NODES`` rows by the split's hash.  So every training word has a probability of
+its own that follows the context, at the cost of the logarithm of the class.
+The result is mixed with the base, so every text has a positive probability and
+the model sums to one over the words and the unseen word.
 
 Training is data-parallel in rounds.  Blocks are dealt to rounds by hash; in a
 round every task goes through its blocks from the current weights (truncated
@@ -30,6 +35,7 @@ each trained on); an empty table gives no rows; further columns are ignored.
 from __future__ import annotations
 
 import heapq
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +47,8 @@ from cohortix.llm.langid import held_out
 from cohortix.llm.wordblocks import ANSWERS, BLOCK_BYTES, answer_batch, blocks, by_bucket, joined, page_counts, page_words, rows_of, spread, spread_numbers, squeeze, unpack, unsqueeze
 
 HEAD, CLASS, TAIL = 1023, 32, 40
+#: cells of a tail class; rows of weights that the splits share; rows of each of a tail word's two marks
+CELLS, NODES, MARKS = 4096, 256, 1024
 EMBED = HIDDEN = 16
 STEPS, LANES = 16, 512
 ROUNDS = 2
@@ -58,15 +66,94 @@ def _count_words(bucket, pages):
         yield pa.RecordBatch.from_arrays([pa.array(list(seen)).cast(pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "c"])
 
 
-def _answer_counts(bucket, pages):
-    total: dict[bytes, int] = {}
-    lists = [page_words(words) for _, words, _ in pages]
-    for words, (_, _, counts) in zip(lists, pages, strict=True):
-        for w, c in zip(words, page_counts(counts).tolist(), strict=True):
-            total[w] = total.get(w, 0) + c
-    for (block, _, _), words in zip(pages, lists, strict=True):
-        found = np.fromiter((total[w] for w in words), np.int64, len(words))
-        yield answer_batch(block, bucket, squeeze(found.tobytes()))
+def _positions(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Positions of runs that begin at ``start`` and are ``n`` long, one after another."""
+    return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+
+class Paths:
+    """Splits between the tail class and each word: run of every word in two
+    arrays, the row of weights (plus ``NODES`` on the right side) and the log odds
+    of the word's side.  The splits down to the word's cell are in ``cells``, once
+    for all words, under ``key``; the runs hold those inside the cell."""
+
+    def __init__(self, n: np.ndarray, row: np.ndarray, odds: np.ndarray, key: np.ndarray | None = None, cells: Paths | None = None):
+        self.n, self.row, self.odds, self.key, self.cells = n, row, odds, key, cells
+        self.start = np.cumsum(n) - n
+
+    def of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Place in ``words``, row and log odds of all their splits."""
+        n = self.n[words]
+        at = _positions(self.start[words], n)
+        own = np.repeat(np.arange(len(words)), n), self.row[at], self.odds[at].astype(np.float32)
+        return own if self.cells is None else tuple(map(np.concatenate, zip(self.cells.of(self.key[words]), own, strict=True)))
+
+
+def _runs(got: list[tuple], number: np.ndarray | None, size: int) -> Paths:
+    """Paths of ``size`` words from splits (who, row, log odds); who is a place in ``number``."""
+    who, row, odds = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*got, strict=True) if got else ((), (), ())))
+    who = who.astype(np.int64) if number is None else number[who.astype(np.int64)]
+    at = np.argsort(who, kind="stable")
+    return Paths(np.bincount(who, minlength=size), row[at].astype(np.uint16), odds[at].astype(np.float16))
+
+
+def _splits(mass: np.ndarray, place: np.ndarray, low: np.ndarray, high: np.ndarray, key: np.ndarray):
+    """Splits of the ranges [low, high) on the way to ``place``, outermost first:
+    who passes, row, log odds.  ``mass`` is a running sum; a split with an empty
+    side is none."""
+    who, origin = np.arange(len(place)), low
+    while len(who := who[(high - low)[who] > 1]):
+        l, h = low[who], high[who]
+        mid = (l + h) // 2
+        right = place[who] >= mid
+        two = np.stack([mass[mid] - mass[l], mass[h] - mass[mid]])
+        x = key[who].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        x += (l - origin[who]).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) + (h - origin[who]).astype(np.uint64) * np.uint64(0x165667B19E3779F9)
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        row = (x >> np.uint64(40)).astype(np.int64) % NODES + np.where(right, NODES, 0)
+        real = (two > 0).all(axis=0)
+        odds = np.log(two[:, real])
+        yield who[real], row[real], np.where(right[real], odds[1] - odds[0], odds[0] - odds[1])
+        low, high = low.copy(), high.copy()
+        low[who], high[who] = np.where(right, mid, l), np.where(right, h, mid)
+
+
+def _answer_paths(voc):
+    """Training count and path of every word of a page."""
+
+    def run(bucket, pages):
+        total: dict[bytes, int] = {}
+        lists = [page_words(words) for _, words, _ in pages]
+        for words, (_, _, counts) in zip(lists, pages, strict=True):
+            for w, c in zip(words, page_counts(counts).tolist(), strict=True):
+                total[w] = total.get(w, 0) + c
+        number = {w: i for i, w in enumerate(total)}
+        every = np.fromiter(total.values(), np.int64, len(total))
+        paths = voc.value.paths(list(total), every)
+        for (block, _, _), words in zip(pages, lists, strict=True):
+            own = np.fromiter((number[w] for w in words), np.int64, len(words))
+            at = _positions(paths.start[own], paths.n[own])
+            yield answer_batch(block, bucket, squeeze(every[own].tobytes() + paths.n[own].astype(np.uint8).tobytes() + paths.row[at].tobytes() + paths.odds[at].tobytes()))
+
+    return run
+
+
+def _answered(bucket: bytes, pages: list[tuple[int, bytes, int]]) -> tuple[np.ndarray, Paths]:
+    """Counts and paths, in the order of the word table, from answers (bucket, answer, words)."""
+    counts, runs = [], []
+    for b, answer, k in pages:
+        data = unsqueeze(answer)
+        n = np.frombuffer(data, np.uint8, k, 8 * k).astype(np.int64)
+        m = int(n.sum())
+        counts.append((b, np.frombuffer(data, np.int64, k)))
+        runs.append((b, n, np.frombuffer(data, np.uint16, m, 9 * k), np.frombuffer(data, np.float16, m, 9 * k + 2 * m)))
+    n = spread_numbers(bucket, [r[:2] for r in runs])
+    out = Paths(n, np.empty(int(n.sum()), np.uint16), np.empty(int(n.sum()), np.float16))
+    of = np.frombuffer(unsqueeze(bucket), np.uint16)
+    for b, own, row, odds in runs:
+        at = _positions(out.start[of == b], own)
+        out.row[at], out.odds[at] = row, odds
+    return spread_numbers(bucket, counts), out
 
 
 class Vocabulary:
@@ -74,7 +161,7 @@ class Vocabulary:
     the head words, the tail classes, the unseen word; the start has a type of
     its own that is never predicted."""
 
-    def __init__(self, head: list[tuple[str, int]], tail: dict[int, tuple[float, int]], ends: int, n: int, v: int):
+    def __init__(self, head: list[tuple[str, int]], tail: dict[int, tuple[float, int]], ends: int, n: int, v: int, cells: np.ndarray | None = None):
         self.n, self.v, self.ends = n, v, ends
         self.z = n + 0.5 * (v + 1)
         self.index = {w.encode(): i + 1 for i, (w, _) in enumerate(head)}
@@ -91,19 +178,44 @@ class Vocabulary:
         mass = np.r_[np.add.reduceat(counts, np.arange(0, self.n_head, CLASS)), self.tail_mass, 0.5]
         self.class_bias = np.log(np.maximum(mass, 0.5) / self.z)
         self.word_bias = np.log(counts)
-
-    def types(self, words: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Type, log share within a tail class, and log base probability of words."""
+        #: running sum of the smoothed counts of tail words over (class, cell)
+        mass = np.zeros(TAIL * CELLS) if cells is None else cells.ravel()
+        full = np.flatnonzero(mass)
+        low = full // CELLS * CELLS
+        #: splits down to every cell of the tail classes; the last key has none
+        self.cells = _runs(list(_splits(np.r_[0.0, np.cumsum(mass)], full, low, low + CELLS, full // CELLS)), full, TAIL * CELLS + 1)
+
+    def types(self, words: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Type and log base probability of words."""
         head = np.fromiter((self.index.get(w, 0) for w in words), np.int64, len(words))
         bin_ = self.place[np.minimum(np.frexp(np.maximum(counts, 1))[1] - 1, TAIL - 1)]
         type_ = np.where(head > 0, head, np.where(counts > 0, self.n_head + bin_, self.n_types - 1))
-        within = np.zeros(len(words))
-        tail = (head == 0) & (counts > 0)
-        within[tail] = np.log(counts[tail] + 0.5) - np.log(np.maximum(self.tail_mass[bin_[tail]], 0.5))
-        return type_, within, np.log((counts + 0.5) / self.z)
+        return type_, np.log((counts + 0.5) / self.z)
+
+    def marks(self, words: list[bytes], type_: np.ndarray) -> np.ndarray:
+        """Rows of the two marks of each word; 0 (no mark) if it is not of the tail."""
+        crc = np.fromiter(map(zlib.crc32, words), np.int64, len(words))
+        both = np.stack([1 + crc % MARKS, 1 + MARKS + crc // MARKS % MARKS], axis=1)
+        return np.where(((type_ >= self.n_head) & (type_ < self.n_types - 1))[:, None], both, 0).astype(np.int16)
+
+    def keys(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
+        """Tail class and cell of each word; the last key if it is not of the tail."""
+        bin_ = np.minimum(np.frexp(np.maximum(counts, 1))[1] - 1, TAIL - 1)
+        cell = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % CELLS
+        head = np.fromiter((w in self.index for w in words), bool, len(words))
+        return np.where(head | (counts == 0), TAIL * CELLS, bin_ * CELLS + cell)
 
+    def paths(self, words: list[bytes], counts: np.ndarray) -> Paths:
+        """Paths of words; of a cell, all its words are to be given."""
+        key = self.keys(words, counts)
+        tail = np.array(sorted(np.flatnonzero(key < TAIL * CELLS).tolist(), key=lambda i: (key[i], words[i])), np.int64)
+        cell, mass = key[tail], np.r_[0.0, np.cumsum(counts[tail] + 0.5)]
+        low, high = np.searchsorted(cell, cell), np.searchsorted(cell, cell, "right")
+        out = _runs(list(_splits(mass, np.arange(len(tail)), low, high, TAIL + cell)), tail, len(words))
+        return Paths(out.n, out.row, out.odds, key, self.cells)
 
-SHAPES = ("emb", "wx", "wh", "b", "wc", "bc", "ww", "bw")
+
+SHAPES = ("emb", "wx", "wh", "b", "wc", "bc", "ww", "bw", "mark", "node")
 
 
 def initial(voc: Vocabulary) -> dict[str, np.ndarray]:
@@ -116,22 +228,43 @@ def initial(voc: Vocabulary) -> dict[str, np.ndarray]:
         "wx": size(EMBED, 3 * HIDDEN), "wh": size(HIDDEN, 3 * HIDDEN), "b": np.zeros(3 * HIDDEN, np.float32),
         "wc": np.zeros((HIDDEN, classes), np.float32), "bc": voc.class_bias.astype(np.float32),
         "ww": np.zeros((voc.n_head, HIDDEN), np.float32), "bw": voc.word_bias.astype(np.float32),
+        "mark": np.zeros((2 * MARKS + 1, EMBED), np.float32), "node": np.zeros((NODES, HIDDEN), np.float32),
     }
 
 
-def recur(p: dict, x: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: bool):
+def _read(p: dict, x: np.ndarray, marks: np.ndarray | None) -> np.ndarray:
+    """Embeddings of the types read (one row a step and lane), with marks added."""
+    e = p["emb"][x.ravel()]
+    if marks is not None:
+        for i in (0, 1):
+            e += p["mark"][marks[..., i].ravel()]
+    return e
+
+
+def _by_row(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sum of the values of every row."""
+    out = np.zeros((n, values.shape[1]), values.dtype)
+    if len(rows):
+        rows = rows.astype(np.int16)
+        order = np.argsort(rows, kind="stable")
+        seen, first = np.unique(rows[order], return_index=True)
+        out[seen] = np.add.reduceat(values[order], first, axis=0)
+    return out
+
+
+def recur(p: dict, x: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: bool, marks: np.ndarray | None = None):
     """States after each step (steps x lanes x hidden), and what backward needs.
 
     Inside, lanes run along the last axis, so that every gate is one run of memory."""
     n = HIDDEN
-    table, wh = p["emb"] @ p["wx"] + p["b"], np.ascontiguousarray(p["wh"].T)
-    states, tape = np.empty((*x.shape, n), table.dtype), []
+    read, wh = (_read(p, x, marks) @ p["wx"] + p["b"]).reshape(*x.shape, 3 * n), np.ascontiguousarray(p["wh"].T)
+    states, tape = np.empty((*x.shape, n), read.dtype), []
     h = np.ascontiguousarray(h.T)
     for t in range(len(x)):
         if fresh[t].any():
             h = np.where(fresh[t], np.float32(0), h)
         g = wh @ h
-        own = np.ascontiguousarray(table[x[t]].T)
+        own = np.ascontiguousarray(read[t].T)
         zr = own[: 2 * n]
         zr += g[: 2 * n]
         np.negative(zr, out=zr)
@@ -168,9 +301,11 @@ def _slope(e: np.ndarray, total: np.ndarray, y: np.ndarray) -> np.ndarray:
     return e
 
 
-def outputs(p: dict, voc: Vocabulary, states: np.ndarray, y: np.ndarray, grad: dict | None = None):
-    """Log probability of types ``y`` (natural log, without shares within tail
-    classes); with ``grad`` also the gradient on the states."""
+def outputs(p: dict, voc: Vocabulary, states: np.ndarray, y: np.ndarray, grad: dict | None = None, splits: tuple | None = None):
+    """Natural-log probability of types ``y``, or of words if ``splits`` (place in
+    ``y``, row, log odds) has those of tail words; with ``grad`` also the gradient
+    on the states."""
+    given = states
     order = np.argsort(voc.of_type[y].astype(np.int16), kind="stable")
     h, y = states[order], y[order]
     class_ = voc.of_type[y]
@@ -199,10 +334,28 @@ def outputs(p: dict, voc: Vocabulary, states: np.ndarray, y: np.ndarray, grad: d
     if grad is not None:
         back = np.empty_like(slope)
         back[order] = slope
+        grad["node"] = np.zeros_like(p["node"])
+    if splits is not None and len(splits[0]):
+        who, row, odds = splits
+        sign = np.where(row < NODES, -1, 1).astype(given.dtype)
+        row = row % NODES
+        place = np.zeros(len(out), np.int64)
+        place[who] = 1
+        some = np.flatnonzero(place)
+        place[some] = np.arange(len(some))
+        h, at = given[some], place[who] * NODES + row
+        logit = (h @ p["node"].T).ravel()[at] * sign + odds
+        e = np.exp(-np.abs(logit))
+        out += np.bincount(who, weights=np.minimum(logit, 0) - np.log1p(e), minlength=len(out))
+        if grad is not None:
+            d = -sign * np.where(logit >= 0, e, np.float32(1)) / (1 + e)
+            d = np.bincount(at, weights=d, minlength=len(some) * NODES).astype(h.dtype).reshape(-1, NODES)
+            back[some] += d @ p["node"]
+            grad["node"] = d.T @ h
     return out, back
 
 
-def _backward(p: dict, x: np.ndarray, fresh: np.ndarray, tape: list, d_states: np.ndarray, grad: dict) -> None:
+def _backward(p: dict, x: np.ndarray, fresh: np.ndarray, tape: list, d_states: np.ndarray, grad: dict, marks: np.ndarray | None = None) -> None:
     n, wh = HIDDEN, p["wh"]
     d_gates = np.empty((len(x), 3 * n, x.shape[1]), d_states.dtype)
     d_states = np.ascontiguousarray(d_states.transpose(0, 2, 1))
@@ -229,13 +382,14 @@ def _backward(p: dict, x: np.ndarray, fresh: np.ndarray, tape: list, d_states: n
             d_h = np.where(fresh[t], np.float32(0), d_h)
         own[2 * n :] = d_c
     grad["wh"] = d_wh.T
-    flat, types = np.ascontiguousarray(d_gates.transpose(0, 2, 1)).reshape(-1, 3 * n), x.ravel()
-    order = np.argsort(types, kind="stable")
-    seen, first = np.unique(types[order], return_index=True)
-    by_type = np.zeros((len(p["emb"]), 3 * n), flat.dtype)
-    by_type[seen] = np.add.reduceat(flat[order], first, axis=0)
-    grad["wx"], grad["b"] = p["emb"].T @ by_type, flat.sum(axis=0)
-    grad["emb"] = by_type @ p["wx"].T
+    flat = np.ascontiguousarray(d_gates.transpose(0, 2, 1)).reshape(-1, 3 * n)
+    grad["wx"], grad["b"] = _read(p, x, marks).T @ flat, flat.sum(axis=0)
+    d_read = flat @ p["wx"].T
+    grad["emb"], grad["mark"] = _by_row(x.ravel(), d_read, len(p["emb"])), np.zeros_like(p["mark"])
+    if marks is not None:
+        some = marks[..., 0].ravel() > 0
+        for i in (0, 1):
+            grad["mark"] += _by_row(marks[..., i].ravel()[some], d_read[some], len(p["mark"]))
 
 
 def lanes(sizes: np.ndarray, most: int = LANES) -> tuple[np.ndarray, np.ndarray]:
@@ -267,17 +421,22 @@ def windows(high: int, width: int):
 
 
 def _opened(row: dict, voc: Vocabulary):
-    """Tokens of a block: type, log share, log base, known; sizes with end tokens."""
-    pages = {a["bucket"]: np.frombuffer(unsqueeze(a["answer"]), np.int64) for a in row["answers"] or ()}
+    """Tokens of a block; sizes with end tokens; of its words type, log base,
+    known, marks and paths."""
     words = spread(row["bucket"], [(p["bucket"], page_words(p["words"])) for p in row["pages"]])
-    counts = spread_numbers(row["bucket"], list(pages.items()))
-    type_, within, base = voc.types(words, counts)
+    size_of = {p["bucket"]: 0 for p in row["pages"]}
+    held, number = np.unique(np.frombuffer(unsqueeze(row["bucket"]), np.uint16), return_counts=True)
+    size_of.update(zip(held.tolist(), number.tolist(), strict=True))
+    counts, paths = _answered(row["bucket"], [(a["bucket"], a["answer"], size_of[a["bucket"]]) for a in row["answers"] or ()])
+    type_, base = voc.types(words, counts)
+    marks = np.r_[voc.marks(words, type_), np.zeros((1, 2), np.int16)]
     end = len(words)  # the end token comes after the block's words
-    type_, within = np.r_[type_, 0], np.r_[within, 0.0]
+    type_ = np.r_[type_, 0]
+    paths = Paths(np.r_[paths.n, 0], paths.row, paths.odds, np.r_[voc.keys(words, counts), TAIL * CELLS], voc.cells)
     base, known = np.r_[base, np.log((voc.ends + 0.5) / voc.z)], np.r_[counts > 0, voc.ends > 0]
     size = np.array(row["size"], np.int64)
     tokens = np.insert(unpack(unsqueeze(row["packed"])), np.cumsum(size), end)
-    return tokens, size + 1, type_, within, base, known
+    return tokens, size + 1, type_, base, known, marks, paths
 
 
 def _inputs(type_of_token: np.ndarray, token: np.ndarray, doc: np.ndarray, start: int):
@@ -290,19 +449,32 @@ def _inputs(type_of_token: np.ndarray, token: np.ndarray, doc: np.ndarray, start
     return x, y, fresh
 
 
-def learn(p: dict, voc: Vocabulary, types: np.ndarray, sizes: np.ndarray, moments: dict) -> None:
-    """One pass of truncated backpropagation over documents given as types."""
+def _marks_read(marks: np.ndarray, words: np.ndarray, token: np.ndarray, fresh: np.ndarray, here: slice) -> np.ndarray:
+    """Marks of the word read at each step of a window: that of the step before."""
+    token, fresh = token[max(here.start - 1, 0) : min(here.stop, len(token)) - 1], fresh[here]
+    if not here.start:
+        token = np.concatenate([np.full((1, fresh.shape[1]), -1), token])
+    out = marks[words[token]]
+    out[fresh | (token < 0)] = 0
+    return out
+
+
+def learn(p: dict, voc: Vocabulary, types: np.ndarray, sizes: np.ndarray, moments: dict, words: np.ndarray, marks: np.ndarray, paths: Paths) -> None:
+    """One pass of truncated backpropagation over documents given as words and
+    their types."""
     token, doc = lanes(sizes)
     x, y, fresh = _inputs(types, token, doc, voc.start)
     h = np.zeros((x.shape[1], HIDDEN), np.float32)
     for here in windows(*x.shape):
-        states, h, tape = recur(p, x[here], fresh[here], h, True)
+        read = _marks_read(marks, words, token, fresh, here)
+        states, h, tape = recur(p, x[here], fresh[here], h, True, read)
         some = (y[here] >= 0).ravel()  # every step has a token in some lane
         grad: dict = {}
-        _, back = outputs(p, voc, states.reshape(-1, HIDDEN)[some], y[here].ravel()[some], grad)
+        splits = paths.of(words[token[here].ravel()[some]])
+        _, back = outputs(p, voc, states.reshape(-1, HIDDEN)[some], y[here].ravel()[some], grad, splits)
         d = np.zeros((some.size, HIDDEN), np.float32)
         d[some] = back
-        _backward(p, x[here], fresh[here], tape, d.reshape(states.shape), grad)
+        _backward(p, x[here], fresh[here], tape, d.reshape(states.shape), grad, read)
         moments["step"] += 1
         for name in SHAPES:  # Adam
             g = np.clip(grad[name] / np.float32(some.sum()), -CLIP, CLIP)
@@ -313,18 +485,20 @@ def learn(p: dict, voc: Vocabulary, types: np.ndarray, sizes: np.ndarray, moment
             p[name] -= np.float32(RATE) * (m / np.float32(1 - 0.9**s)) / (np.sqrt(v / np.float32(1 - 0.99**s)) + np.float32(1e-6))
 
 
-def log_probability(p: dict, voc: Vocabulary, tokens, sizes, type_, within, base) -> np.ndarray:
-    """Natural-log probability of each document under the mixed model."""
+def log_probability(p: dict, voc: Vocabulary, tokens, sizes, type_, within, base, marks=None, paths=None) -> np.ndarray:
+    """Natural-log probability of each document under the mixed model; ``within``
+    is added to that of a word's type where no ``paths`` lead on to the word."""
     token, doc = lanes(sizes)
     x, y, fresh = _inputs(type_[tokens], token, doc, voc.start)
     h = np.zeros((x.shape[1], HIDDEN), np.float32)
     total = np.zeros(len(sizes))
     new, old = np.log(1 - BASE_SHARE), np.log(BASE_SHARE)
     for here in windows(*x.shape):
-        states, h, _ = recur(p, x[here], fresh[here], h, False)
+        read = None if marks is None else _marks_read(marks, tokens, token, fresh, here)
+        states, h, _ = recur(p, x[here], fresh[here], h, False, read)
         some = (token[here] >= 0).ravel()
         own = tokens[token[here].ravel()[some]]
-        got, _ = outputs(p, voc, states.reshape(-1, HIDDEN)[some], y[here].ravel()[some])
+        got, _ = outputs(p, voc, states.reshape(-1, HIDDEN)[some], y[here].ravel()[some], None, paths and paths.of(own))
         mixed = np.logaddexp(new + got + within[own], old + base[own])
         total += np.bincount(doc[here].ravel()[some], weights=mixed, minlength=len(sizes))
     return total
@@ -338,11 +512,11 @@ def _trainer(voc, weights):
         moments: dict = {"step": 0}
         learned = 0
         for row in rows_of(batches):
-            tokens, sizes, type_, *_ = _opened(row, v)
+            tokens, sizes, type_, _, _, marks, paths = _opened(row, v)
             flag = np.array(row["flag"], bool)
             own = np.repeat(flag, sizes)
             if own.any():
-                learn(p, v, type_[tokens[own]], sizes[flag], moments)
+                learn(p, v, type_[tokens[own]], sizes[flag], moments, tokens[own], marks, paths)
                 learned += int(own.sum())
         if learned:
             flat = [(p[k].astype(np.float64) * learned).ravel().tolist() for k in SHAPES]
@@ -355,9 +529,9 @@ def _scorer(voc, weights):
     def run(batches):
         v, p = voc.value, weights.value
         for row in rows_of(batches):
-            tokens, sizes, type_, within, base, known = _opened(row, v)
+            tokens, sizes, type_, base, known, marks, paths = _opened(row, v)
             first = np.cumsum(sizes) - sizes
-            score = log_probability(p, v, tokens, sizes, type_, within, base) / np.log(10)
+            score = log_probability(p, v, tokens, sizes, type_, np.zeros(len(type_)), base, marks, paths) / np.log(10)
             columns = [
                 pa.array(row["doc_id"], pa.int64()), pa.array([not f for f in row["flag"]], pa.bool_()), pa.array(sizes, pa.int64()),
                 pa.array(np.add.reduceat(known[tokens].astype(np.int64), first)), pa.array(np.full(len(sizes), v.n), pa.int64()),
@@ -370,29 +544,34 @@ def _scorer(voc, weights):
 
 def vocabulary(table_: DataFrame, buckets: int) -> Vocabulary:
     """Counts over all training documents, reduced in Spark to the head words
-    and one row per tail class."""
+    and one row per cell of a tail class."""
     words = stored(by_bucket(table_, buckets, _count_words, "word string, c long"), "lm-words")
     ends = table_.select(F.sum(F.size(F.filter("flag", lambda f: f)))).first()[0] or 0
     head = [(r["word"], r["c"]) for r in words.orderBy(F.desc("c"), "word").limit(HEAD).collect()]
-    bins = words.groupBy(F.least(F.length(F.bin("c")) - 1, F.lit(TAIL - 1)).alias("b"))
-    bins = {r["b"]: [r["mass"], r["n"], r["c"]] for r in bins.agg(F.sum(F.col("c") + 0.5).alias("mass"), F.count("*").alias("n"), F.sum("c").alias("c")).collect()}
-    n, v = ends + sum(b[2] for b in bins.values()), sum(b[1] for b in bins.values()) + (ends > 0)
-    for _, c in head:
-        own = bins[min(c.bit_length() - 1, TAIL - 1)]
-        own[0], own[1] = own[0] - c - 0.5, own[1] - 1
-    return Vocabulary(head, {b: (max(0.0, x[0]), x[1]) for b, x in bins.items()}, ends, n, v)
+    bin_, cell = F.least(F.length(F.bin("c")) - 1, F.lit(TAIL - 1)), F.crc32(F.col("word").cast("binary")) % CELLS
+    got = words.groupBy(bin_.alias("b"), cell.alias("cell")).agg(F.sum(F.col("c") + 0.5).alias("mass"), F.count("*").alias("n"), F.sum("c").alias("c")).toArrow()
+    b, cell, mass, number, count = (got.column(k).to_numpy() for k in ("b", "cell", "mass", "n", "c"))
+    n, v = ends + int(count.sum()), int(number.sum()) + (ends > 0)
+    cells, left = np.zeros((TAIL, CELLS)), np.bincount(b, weights=number, minlength=TAIL)
+    cells[b, cell] = mass
+    for w, c in head:
+        own = min(c.bit_length() - 1, TAIL - 1)
+        cells[own, zlib.crc32(w.encode()) % CELLS] -= c + 0.5
+        left[own] -= 1
+    return Vocabulary(head, {i: (float(cells[i].sum()), int(left[i])) for i in range(TAIL)}, ends, n, v, cells)
 
 
 def score(docs: DataFrame, rounds: int = ROUNDS, block_bytes: int = BLOCK_BYTES // 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of
     every row of ``docs`` (doc_id, text, flag: train on it)."""
     sc = docs.sparkSession.sparkContext
-    made, buckets = blocks(docs, True, "lm-blocks", block_bytes)
+    made, buckets = blocks(docs, True, "lm-blocks", block_bytes, CELLS)
     voc = vocabulary(made, buckets)
-    answers = by_bucket(made, buckets, _answer_counts, ANSWERS)
+    shared = sc.broadcast(voc)
+    answers = by_bucket(made, buckets, _answer_paths(shared), ANSWERS)
     pages = F.transform("pages", lambda p: F.struct(p["bucket"].alias("bucket"), p["words"].alias("words")))
     rows = stored(joined(made.withColumn("pages", pages), answers), "lm-counted")
-    shared, weights = sc.broadcast(voc), initial(voc)
+    weights = initial(voc)
     shape = {k: w.shape for k, w in weights.items()}
     for i in range(rounds if voc.ends else 0):
         part = rows.where(F.pmod(F.xxhash64("block"), F.lit(rounds)) == i)

@@ -86,7 +86,7 @@ def _unpack(b: np.ndarray) -> np.ndarray:
     return np.add.reduceat((b & 127).astype(np.int64) << (7 * offset), first)
 
 
-def _blocks(fold: bool, buckets: int, block_bytes: int):
+def _blocks(fold: bool, buckets: int, block_bytes: int, cells: int):
     def made(block: int, table: dict, docs: list) -> pa.RecordBatch:
         ids = np.concatenate([d[2] for d in docs])
         order = np.argsort(-np.bincount(ids, minlength=len(table)), kind="stable")
@@ -96,7 +96,7 @@ def _blocks(fold: bool, buckets: int, block_bytes: int):
         counts = np.bincount(ids[flagged], minlength=len(table))[order].astype(np.uint32)
         listed = list(table)
         words = [listed[i] for i in order]
-        bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.uint16, len(words))
+        bucket = np.fromiter((zlib.crc32(w) % cells % buckets for w in words), np.uint16, len(words))
         pages = []
         for b in np.unique(bucket):
             at = np.flatnonzero(bucket == b)
@@ -123,13 +123,14 @@ def _blocks(fold: bool, buckets: int, block_bytes: int):
     return run
 
 
-def blocks(docs: DataFrame, fold: bool, name: str, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
+def blocks(docs: DataFrame, fold: bool, name: str, block_bytes: int = BLOCK_BYTES, cells: int = 1 << 32) -> tuple[DataFrame, int]:
     """Stored blocks of ``docs`` (doc_id, flag, text) and the number of buckets,
     which follows the session's shuffle partitions.  ``fold`` lower-cases A-Z;
-    a page's counts are of flagged documents.  Null texts have no words."""
+    a page's counts are of flagged documents.  Null texts have no words.  Words
+    whose CRC-32 is equal modulo ``cells`` share a bucket."""
     buckets = min(65536, max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "flag", F.coalesce("text", F.lit("")).alias("text"))
-    return stored(rows.mapInArrow(_blocks(fold, buckets, block_bytes), _BLOCK), name), buckets
+    return stored(rows.mapInArrow(_blocks(fold, buckets, block_bytes, cells), _BLOCK), name), buckets
 
 
 def rows_of(batches):
