@@ -15,8 +15,10 @@ candidates, and candidates are compared word by word, so a hash collision
 changes nothing.  Only counts (a few dozen longs a document) are stored and
 summed by language; the texts are read once and never shuffled.
 
-Defined results: a null text has no words; a null or unknown language uses its
-own pooled reference like any other value (null is one value); empty texts fail
+Defined results: a null text has no words; a null or empty language gets the
+smallest distance over the references of the languages of ``COMMON``, each with
+its own words (none of them has a reference: no say); any other language uses
+its own pooled reference; empty texts fail
 the base rules; repeated rows are judged alike and all kept; an empty table
 gives no rows; further columns are ignored.
 """
@@ -92,8 +94,9 @@ def _repeat_words(w: Column, n: Column) -> Column:
 
 
 def features(docs: DataFrame, carry: list[str] = ()) -> DataFrame:
-    """doc_id, lang, base counts, class and common-word histograms: one row a
-    document; ``_row`` has the columns ``carry``."""
+    """doc_id, lang, base counts, class and common-word histograms (without a
+    language: one after another for all of ``COMMON``): one row a document;
+    ``_row`` has the columns ``carry``."""
     text = F.coalesce(F.col("text"), F.lit(""))
 
     def classes(t: Column, done: tuple = ()) -> Column:
@@ -110,6 +113,8 @@ def features(docs: DataFrame, carry: list[str] = ()) -> DataFrame:
     pooled = sorted({w for ws in COMMON.values() for w in ws.split()[:5]})[:N_COMMON]
     own = F.coalesce(F.get(F.map_values(F.map_filter(common, lambda k, _: k == F.col("lang"))), F.lit(0)), F.array(*[F.lit(w) for w in pooled]))
 
+    known = F.coalesce("lang", F.lit("")) != ""
+
     def histogram(w: Column, listed: Column) -> Column:
         at = F.transform(w, lambda x: F.array_position(listed, x).cast("int"))
         return let(at, lambda p: F.array(*[F.size(p) - F.size(F.array_remove(p, k)) for k in range(N_COMMON + 1)]))
@@ -118,7 +123,7 @@ def features(docs: DataFrame, carry: list[str] = ()) -> DataFrame:
         return let(F.size(w), lambda n: F.struct(
             n.cast("long").alias("n_words"),
             _repeat_words(w, n).alias("n_repeat_words"),
-            let(own, lambda listed: histogram(w, listed)).alias("common"),
+            F.when(known, let(own, lambda listed: histogram(w, listed))).otherwise(F.concat(*[histogram(w, F.array(*[F.lit(x) for x in ws.split()])) for ws in COMMON.values()])).alias("common"),
         ))
 
     row = [F.struct(*carry).alias("_row")] if carry else []
@@ -156,14 +161,22 @@ def judge(docs: DataFrame, carry: list[str] = ()) -> DataFrame:
     rows = stored(features(docs, carry), "quality-counts").withColumn("base_failed", failed).withColumn("l", F.coalesce("lang", F.lit("")))
     bins = {"classes": len(CLASSES) + 1, "common": N_COMMON + 1}
     sums = [F.sum(F.get(c, F.lit(i))).alias(f"{c}{i}") for c, k in bins.items() for i in range(k)]
-    refs = rows.where(~F.col("base_failed")).groupBy("l").agg(F.sum("n_words").alias("ref_words"), *sums)
+    refs = rows.where(~F.col("base_failed") & (F.col("l") != "")).groupBy("l").agg(F.sum("n_words").alias("ref_words"), *sums)
     refs = refs.where(F.col("ref_words") >= MIN_REFERENCE).select(
         "l", *[F.array(*[F.col(f"{c}{i}") for i in range(k)]).alias(f"ref_{c}") for c, k in bins.items()]
     )
+    # a row a language; that of texts without one has the references of all known languages (a handful)
+    refs = stored(refs, "quality-references")
+    one = F.struct((F.array_position(F.array(*map(F.lit, COMMON)), F.col("l")) - 1).cast("int").alias("i"), "ref_classes", "ref_common")
+    of_all = refs.where(F.col("l").isin(*COMMON)).groupBy(F.lit("").alias("l")).agg(F.collect_list(one).alias("refs"))
+    refs = refs.select("l", F.array(one).alias("refs")).unionByName(of_all)
     # a stored table has a known size: if small, Spark sends it to the rows and leaves them (and their texts) in place
-    rows = rows.join(stored(refs, "quality-references"), "l", "left")
-    by_class = F.when(F.col("word_chars") >= MIN_CHARS, js_distance(F.col("classes"), F.col("ref_classes")))
-    by_word = F.when(n >= MIN_COMMON, js_distance(F.col("common"), F.col("ref_common")))
+    rows = rows.join(stored(refs, "quality-references-by-language"), "l", "left")
+    k = bins["common"]
+    own = lambda r: F.when(F.col("l") == "", F.slice("common", r["i"] * k + 1, F.lit(k))).otherwise(F.col("common"))
+    least = lambda distance: F.array_min(F.transform("refs", distance))
+    by_class = F.when(F.col("word_chars") >= MIN_CHARS, least(lambda r: js_distance(F.col("classes"), r["ref_classes"])))
+    by_word = F.when(n >= MIN_COMMON, least(lambda r: let(own(r), lambda p: js_distance(p, r["ref_common"]))))
     rows = rows.withColumn("class_distance", by_class).withColumn("word_distance", by_word)
     far = (F.coalesce("class_distance", F.lit(0.0)) > MAX_CLASS_DISTANCE) | (F.coalesce("word_distance", F.lit(0.0)) > MAX_WORD_DISTANCE)
     return rows.select(
