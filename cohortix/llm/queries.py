@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortix.llm import bpe, chat, decontam, langid, lm, quality, sharding, simhash, substrings, urls
+from cohortix.llm import bpe, chat, decontam, fim, langid, lm, pii, quality, sharding, simhash, substrings, urls, whitening
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_shards": sharding.op8_shards,
     "op9_simhash": simhash.op9_simhash,
     "op10_lm_score": lm.op10_lm_score,
+    "op11_personal_data": pii.op11_personal_data,
+    "op12_whitening": whitening.op12_whitening,
+    "op13_fill_in_middle": fim.op13_fill_in_middle,
 }
 
 #: queries that SQL can express over whole tables
@@ -22,4 +25,5 @@ ORACLE = {
     "op1_chat_format": chat.SQL,
     "op2_substring_dedup": substrings.SQL,
     "op7_url_filter": urls.SQL,
+    "op13_fill_in_middle": fim.SQL,
 }
