@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from cohortix.operators import transactions as B
 from cohortix.params import RUN_AT
 from cohortix.plans import sqlfrag as Q
@@ -10,7 +12,7 @@ from cohortix.plans.registry import query
 from cohortix.sources import fixtures as fx
 from cohortix.sources import ingest as I
 
-LEDGER_START, LEDGER_END, BATCH_DAYS = "2024-01-01", "2024-01-31", 3
+BATCH_DAYS = 3
 SCAN_START, SCAN_END = "2024-01-05", "2024-01-12"
 
 LANDED = "WITH landed AS (SELECT " + Q.txn_json_sql() + " AS value, event_type FROM events)"
@@ -71,36 +73,75 @@ def table_replace(spark, sf_dir):
 def _written_stg(spark, sf_dir):
     path = I.scratch_path(spark, "bnpl")
     staged = B.stg_transactions(fx.raw_transactions(spark, sf_dir, RUN_AT), None, RUN_AT)
-    I.write_day_partitioned(staged, path)
-    return staged, path
+    whole = I.write_day_partitioned(staged, path)
+    return staged, path, whole
 
 
 @query("load_verification", RAW + """
 SELECT CAST(_timestamp AS DATE) AS load_date, count(*) AS expected_rows, count(*) AS loaded_rows, TRUE AS verified
 FROM src_raw GROUP BY 1""")
 def load_verification(spark, sf_dir):
-    staged, path = _written_stg(spark, sf_dir)
-    loaded = spark.read.parquet(path)
+    _, path, wrote = _written_stg(spark, sf_dir)
+    loaded = I.in_days(spark.read.parquet(path), wrote.days)
     return I.load_verification(fx.raw_transactions(spark, sf_dir, RUN_AT), loaded, "_timestamp")
 
 
+@query("day_merge", RAW + """,
+per_day AS (SELECT CAST(_timestamp AS DATE) AS d, count(*) AS n, count_if(json_extract_string(json_body, '$.status') = 'failed') AS keyless
+            FROM src_raw GROUP BY 1),
+week AS (SELECT d FROM per_day ORDER BY d DESC LIMIT 7)
+SELECT d, n AS rows_after_first, n AS rows_after_rerun, keyless AS keyless_rows,
+       (SELECT CAST(sum(n) AS BIGINT) FROM per_day WHERE d IN (SELECT d FROM week)) AS rows_of_rerun,
+       (SELECT count(*) FROM week) AS days_of_rerun
+FROM per_day""")
+def day_merge(spark, sf_dir):
+    """Rows per day after a load and after a rerun of its last seven days; the
+    records of failed transactions have no key in either."""
+    path = I.scratch_path(spark, "merge")
+    raw = fx.raw_transactions(spark, sf_dir, RUN_AT)
+    staged = raw.withColumn("record_id", F.when(F.get_json_object("json_body", "$.status") != "failed", F.md5("json_body")))
+    last = raw.agg(F.max(F.to_date("_timestamp")).alias("d")).first()["d"]
+
+    def load(rows):
+        return I.write_day_partitioned(rows, path, ts_column="_timestamp", cluster=(), key="record_id")
+
+    def per_day(name):
+        return spark.read.parquet(path).groupBy("d").agg(F.count(F.lit(1)).alias(name), F.count_if(F.col("record_id").isNull()).alias("keyless_rows"))
+
+    if last is None:
+        return spark.createDataFrame([], "d date, rows_after_first long, rows_after_rerun long, keyless_rows long, rows_of_rerun long, days_of_rerun long")
+    load(staged)
+    first = per_day("rows_after_first").drop("keyless_rows")
+    kept = I.scratch_path(spark, "merge-first")
+    first.write.parquet(kept)
+    days = [r["d"] for r in first.select("d").orderBy(F.desc("d")).limit(7).collect()]
+    again = load(staged.filter(F.to_date("_timestamp").isin(days)).withColumn("_ingestion_timestamp", F.col("_ingestion_timestamp") + F.expr("INTERVAL 1 DAY")))
+    out = spark.read.parquet(kept).join(per_day("rows_after_rerun"), "d", "full")
+    return out.withColumns({"rows_of_rerun": F.lit(again.rows).cast("long"), "days_of_rerun": F.lit(len(again.days)).cast("long")})
+
+
 @query("partitioned_scan", STG + f"""
 SELECT *, CAST(transaction_timestamp AS DATE) AS d FROM stg
 WHERE CAST(transaction_timestamp AS DATE) BETWEEN DATE '{SCAN_START}' AND DATE '{SCAN_END}'""")
 def partitioned_scan(spark, sf_dir):
-    _, path = _written_stg(spark, sf_dir)
+    _, path, _ = _written_stg(spark, sf_dir)
     return I.read_partitioned(spark, path, SCAN_START, SCAN_END)
 
 
-LEDGER = "WITH " + Q.SRC_LEDGER.strip() + f""",
+LEDGER = "WITH " + Q.SRC_LEDGER.strip() + """,
 latest AS (SELECT ledger_date, arg_max(status, (updated_at, status)) AS status,
                   arg_max(n_records, (updated_at, status)) AS n_records, max(updated_at) AS updated_at
            FROM src_ledger GROUP BY ledger_date),
-cal AS (SELECT CAST(unnest(generate_series(DATE '{LEDGER_START}', DATE '{LEDGER_END}', INTERVAL 1 DAY)) AS DATE) AS ledger_date),
+cal AS (SELECT CAST(unnest(generate_series(first, last, INTERVAL 1 DAY)) AS DATE) AS ledger_date
+        FROM (SELECT CAST(min(ts) AS DATE) AS first, CAST(max(ts) AS DATE) AS last FROM events)),
 remaining AS (SELECT ledger_date FROM cal WHERE ledger_date NOT IN
               (SELECT ledger_date FROM latest WHERE status = 'completed'))"""
 
 
+def _days(spark, sf_dir):
+    return I.calendar_of(fx.load(spark, sf_dir, "events"), "ts")
+
+
 @query("ledger_latest", LEDGER + "\nSELECT * FROM latest")
 def ledger_latest(spark, sf_dir):
     return I.ledger_latest(fx.ledger(spark, sf_dir))
@@ -108,7 +149,7 @@ def ledger_latest(spark, sf_dir):
 
 @query("remaining_dates", LEDGER + "\nSELECT * FROM remaining")
 def remaining_dates(spark, sf_dir):
-    return I.remaining_dates(spark, fx.ledger(spark, sf_dir), LEDGER_START, LEDGER_END)
+    return I.remaining_dates(_days(spark, sf_dir), fx.ledger(spark, sf_dir))
 
 
 @query("date_batches", LEDGER + f""",
@@ -119,8 +160,7 @@ SELECT min(ledger_date) AS batch_start, max(ledger_date) AS batch_end, count(*)
        list_sort(list(ledger_date)) AS dates
 FROM kk GROUP BY island, k""")
 def date_batches(spark, sf_dir):
-    rem = I.remaining_dates(spark, fx.ledger(spark, sf_dir), LEDGER_START, LEDGER_END)
-    return I.date_batches(rem, BATCH_DAYS)
+    return I.date_batches(I.remaining_dates(_days(spark, sf_dir), fx.ledger(spark, sf_dir)), BATCH_DAYS)
 
 
 @query("ingestion_summary", LEDGER + """

@@ -22,6 +22,8 @@ from cohortix.session import checkpoint_dir
 
 ENVELOPE_SCHEMA = "_timestamp timestamp_ntz, json_body string, _ingestion_timestamp timestamp_ntz"
 CLUSTER_COLUMNS = ("customer_id", "risk_level", "status")
+# stamped by a load; the same record brings other values when it is loaded again
+AUDIT_COLUMNS = ("_ingestion_timestamp", "_loaded_at")
 
 
 # ---------------------------------------------------------------------------
@@ -180,39 +182,72 @@ def replace_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+@dataclass(frozen=True)
+class DayWrite:
+    """What a load wrote: its days (None: rows without a time) and its rows."""
+
+    days: tuple[date | None, ...]
+    rows: int
+
+
+def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:  # nothing loaded yet
+        return None
+
+
+def in_days(df: DataFrame, days, column: str = "d") -> DataFrame:
+    """Rows of the given days; on a day-partitioned table this is a partition
+    filter, so no other day is read."""
+    known = [F.lit(d) for d in days if d is not None]
+    keep = F.col(column).isin(known) if known else F.lit(False)
+    return df.filter(keep | F.col(column).isNull() if None in days else keep)
+
+
+def merge_id(df: DataFrame, key: str, audit=AUDIT_COLUMNS) -> F.Column:
+    """Identity of a row in a merge: its key or, where that is null, a digest of
+    all its values but the audit columns.  Fields that are null leave no trace in
+    the digest, so rows stored before a column was added keep their identity."""
+    values = sorted(c for c in df.columns if c not in (*audit, "d", key))
+    return F.coalesce(F.concat(F.lit("k"), F.col(key).cast("string")), F.concat(F.lit("r"), F.md5(F.to_json(F.struct(*values)))))
+
+
 def write_day_partitioned(staged: DataFrame, path: str, ts_column: str = "transaction_timestamp",
-                          cluster=CLUSTER_COLUMNS, key: str = "unique_transaction_id") -> Observation:
+                          cluster=CLUSTER_COLUMNS, key: str = "unique_transaction_id", audit=AUDIT_COLUMNS, days=None) -> DayWrite:
     """Day-partitioned, clustered write that merges into the days it touches.
 
-    Rows already stored for those days stay unless the batch brings their
-    ``key`` again, so a late load adds to its days and a rerun changes nothing.
-    The merged days are written to a scratch table first, as a path can't be
-    overwritten while it is read.  Days are rebalanced before the write:
-    adaptive execution splits a hot day and joins small ones, so the number of
-    files follows the data.  Returns the observation with the rows of the batch.
+    The days of the batch (bounded by what a load may ask for) become a partition
+    filter on the stored table, so a load reads and rewrites its own days only.
+    Rows stored for them stay unless the batch brings the same :func:`merge_id`
+    again: a late load adds to its days, and a rerun changes nothing, rows
+    without a key included.  A batch whose ``days`` are not given is staged once
+    to find them; one that is a stored table already need not be.  Merged days
+    are read and replaced in one job: with dynamic partition overwrite Spark
+    moves them in place after the job, when they have been read.  Days are
+    rebalanced before the write, so a hot day is split and small ones are joined.
     """
     spark = staged.sparkSession
     obs = Observation("written")
     cols = [c for c in cluster if c in staged.columns]
-    out = staged.withColumn("d", F.to_date(ts_column)).observe(obs, F.count(F.lit(1)).alias("rows_written"))
-    try:
-        stored = spark.read.parquet(path)
-    except AnalysisException:  # nothing loaded yet
-        stored = None
-    if stored is not None:
-        if key not in staged.columns:
-            raise ValueError(f"a load into stored days needs the column {key}")
+    if key not in staged.columns:
+        raise ValueError(f"a day-partitioned load needs the column {key}")
+    out = staged.withColumn("d", F.to_date(ts_column))
+    if days is None:
         batch = scratch_path(spark, "day-batch")
         out.write.parquet(batch)
         out = spark.read.parquet(batch)
-        touched = stored.join(out.select("d").distinct(), "d", "left_semi")
-        earlier = touched.join(out.select(key), key, "left_anti")
-        merged = scratch_path(spark, "day-merge")
-        out.unionByName(earlier, allowMissingColumns=True).write.parquet(merged)
-        out = spark.read.parquet(merged)
+        days = [r["d"] for r in out.select("d").distinct().collect()]
+    batch, stored = out, stored_table(spark, path)
+    out = out.observe(obs, F.count(F.lit(1)).alias("rows_written"))
+    if stored is not None:
+        earlier = in_days(stored, days)
+        ids = batch.select(merge_id(batch, key, audit).alias("_merge_id")).distinct()
+        earlier = earlier.withColumn("_merge_id", merge_id(earlier, key, audit)).join(ids, "_merge_id", "left_anti").drop("_merge_id")
+        out = out.unionByName(earlier, allowMissingColumns=True)
     out = out.hint("rebalance", "d").sortWithinPartitions("d", *cols)
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("d").parquet(path)
-    return obs
+    return DayWrite(tuple(days), obs.get["rows_written"])
 
 
 def read_partitioned(spark: SparkSession, path: str, start: str | None, end: str | None) -> DataFrame:
@@ -257,9 +292,16 @@ def calendar(spark: SparkSession, start: str, end: str) -> DataFrame:
     )
 
 
-def remaining_dates(spark: SparkSession, ledger: DataFrame, start: str, end: str) -> DataFrame:
+def calendar_of(df: DataFrame, ts_column: str) -> DataFrame:
+    """One row per day from the first to the last day of ``df``."""
+    span = df.agg(F.min(F.to_date(ts_column)).alias("first"), F.max(F.to_date(ts_column)).alias("last"))
+    return span.filter("first IS NOT NULL").select(F.explode(F.sequence("first", "last")).alias("ledger_date"))
+
+
+def remaining_dates(days: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Days of the calendar that the ledger does not hold as completed."""
     done = ledger_latest(ledger).filter(F.col("status") == "completed").select("ledger_date")
-    return calendar(spark, start, end).join(done, "ledger_date", "left_anti")
+    return days.join(done, "ledger_date", "left_anti")
 
 
 def date_batches(remaining: DataFrame, batch_days: int) -> DataFrame:

@@ -105,7 +105,7 @@ def test_date_batches_break_at_gaps(spark):
          (dt.date(2024, 1, 4), "completed", 7, dt.datetime(2024, 1, 6))],
         "ledger_date date, status string, n_records long, updated_at timestamp_ntz",
     )
-    rem = I.remaining_dates(spark, ledger, "2024-01-01", "2024-01-08")
+    rem = I.remaining_dates(I.calendar(spark, "2024-01-01", "2024-01-08"), ledger)
     got = sorted((r.batch_start, r.batch_end, r.n_days) for r in I.date_batches(rem, 3).collect())
     assert got == [(dt.date(2024, 1, 1), dt.date(2024, 1, 2), 2), (dt.date(2024, 1, 5), dt.date(2024, 1, 7), 3),
                    (dt.date(2024, 1, 8), dt.date(2024, 1, 8), 1)]
