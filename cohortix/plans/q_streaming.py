@@ -65,13 +65,54 @@ def stream_route(spark, sf_dir):
     return p.unionByName(t)
 
 
-@query("stream_dedupe", "WITH " + Q.SRC_CACHED.strip() + "\nSELECT DISTINCT record_key FROM src_cached")
+#: days between newest event and bound, and days of events in a landing
+HORIZON, LANDING_DAYS, LATE_BOUND = 7, 8, 3
+
+#: rows land in groups of days; those of signups two groups later, of errors one
+LANDED_SQL = f"""arrivals AS (
+  SELECT *, CAST(floor((CAST(ts AS DATE) - (SELECT CAST(min(ts) AS DATE) FROM events)) / {LANDING_DAYS}) AS BIGINT)
+            + CASE event_type WHEN 'signup' THEN 2 WHEN 'error' THEN 1 ELSE 0 END AS landing FROM events),
+clocks AS (SELECT landing, max(max(ts)) OVER (ORDER BY landing ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS clock,
+                  max(max(ts)) OVER (ORDER BY landing ROWS UNBOUNDED PRECEDING) AS newest
+           FROM arrivals GROUP BY landing)"""
+
+
+def _landings(spark, sf_dir, rows, ts="ts", kind="event_type"):
+    """Landings of ``rows``, in the order they arrive, as a list of DataFrames;
+    their number follows the days of the table."""
+    first = rows.agg(F.min(F.to_date(ts)).alias("d")).first()["d"]
+    delay = F.when(F.col(kind) == "signup", 2).when(F.col(kind) == "error", 1).otherwise(0)
+    landing = (F.floor(F.datediff(F.to_date(ts), F.lit(first)) / F.lit(LANDING_DAYS)) + delay).alias("landing")
+    path = scratch_path(spark, "landings")
+    rows.select("*", landing).write.partitionBy("landing").parquet(path)
+    stored = spark.read.parquet(path)
+    numbers = sorted(r["landing"] for r in stored.select("landing").distinct().collect())
+    return [stored.filter(F.col("landing") == n).drop("landing") for n in numbers]
+
+
+def _log_landings(spark, sf_dir):
+    kind = F.get_json_object("payload", "$.kind")
+    rows = fx.cached_records(spark, sf_dir).withColumn("kind", kind)
+    return [df.drop("kind") for df in _landings(spark, sf_dir, rows, "written_at", "kind")]
+
+
+@query("stream_dedupe", "WITH " + Q.SRC_CACHED.strip() + f""",
+{LANDED_SQL},
+judged AS (SELECT c.record_key, coalesce(a.ts < k.clock - INTERVAL {HORIZON} DAY, FALSE) AS late
+           FROM arrivals a JOIN clocks k USING (landing) JOIN src_cached c ON c.seq = a.event_id)
+SELECT record_key, count_if(NOT late) > 0 AS kept, count_if(late) AS late_rows FROM judged GROUP BY record_key""")
 def stream_dedupe(spark, sf_dir):
-    log = _land_log(spark, sf_dir)
+    """Every key, whether it was kept (once), and its rows beyond the horizon.  The
+    writes of a key lie within a day, so none comes back after its horizon."""
     base = scratch_path(spark, "stream-dedupe")
-    out = os.path.join(base, "out")
-    T.stream_dedupe(spark, log, out, os.path.join(base, "_checkpoint"), max_files=BATCH_FILES)
-    return spark.read.parquet(out).select("record_key")
+    log, out, ckpt = (os.path.join(base, x) for x in ("log", "out", "_checkpoint"))
+    for landed in _log_landings(spark, sf_dir):
+        landed.write.mode("append").parquet(log)
+        T.stream_dedupe(spark, log, out, ckpt, HORIZON)
+    kept = spark.read.schema(T.LOG_SCHEMA).parquet(out).groupBy("record_key").agg(F.count(F.lit(1)).alias("n"))
+    late = spark.read.parquet(os.path.join(base, "late")).groupBy("record_key").agg(F.count(F.lit(1)).alias("late_rows"))
+    both = kept.join(late, "record_key", "full")
+    return both.select("record_key", F.coalesce(F.col("n") == 1, F.lit(False)).alias("kept"), F.coalesce("late_rows", F.lit(0)).cast("long").alias("late_rows"))
 
 
 @query("stream_latest", "WITH " + Q.SRC_CACHED.strip() + """
@@ -82,17 +123,22 @@ def stream_latest(spark, sf_dir):
     log = _land_log(spark, sf_dir)
     base = scratch_path(spark, "stream-latest")
     out = os.path.join(base, "out")
-    T.stream_latest(spark, log, out, os.path.join(base, "_checkpoint"), BATCH_FILES)
+    T.stream_latest(spark, log, out, os.path.join(base, "_checkpoint"), BATCH_FILES, compact_every=2)
     return T.read_latest(spark, out)
 
 
-@query("stream_daily_counts", """
-SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, count(*) AS record_count
-FROM events GROUP BY 1, 2""")
+@query("stream_daily_counts", f"""
+WITH {LANDED_SQL}
+SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,
+       count_if(NOT coalesce(ts < clock - INTERVAL {LATE_BOUND} DAY, FALSE)) AS record_count,
+       count_if(coalesce(ts < clock - INTERVAL {LATE_BOUND} DAY, FALSE)) AS late_count,
+       date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL {LATE_BOUND} DAY AS closed
+FROM arrivals JOIN clocks USING (landing) GROUP BY 1, 2, 5""")
 def stream_daily_counts(spark, sf_dir):
-    landing = scratch_path(spark, "events-landing")
-    fx.load(spark, sf_dir, "events").repartition(F.hash("ts")).write.parquet(landing)
     base = scratch_path(spark, "stream-daily")
-    out = os.path.join(base, "out")
-    T.stream_daily_counts(spark, landing, out, os.path.join(base, "_checkpoint"), SCHEMAS["events"], max_files=BATCH_FILES)
-    return T.read_window_counts(spark, out)
+    landing, out, ckpt = (os.path.join(base, x) for x in ("landing", "out", "_checkpoint"))
+    bound = f"{LATE_BOUND} DAYS"
+    for landed in _landings(spark, sf_dir, fx.load(spark, sf_dir, "events")):
+        landed.write.mode("append").parquet(landing)
+        T.stream_daily_counts(spark, landing, out, ckpt, SCHEMAS["events"], bound)
+    return T.read_window_counts(spark, out, bound)
