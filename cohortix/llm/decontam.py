@@ -117,8 +117,16 @@ def _mapper(items, window: int):
     return scanned
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_bytes: int = MAX_BYTES) -> DataFrame:
-    """All columns of ``docs`` and ``_scan``: n_words, n_hit, items, hit_spans, hit_words."""
+def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_bytes: int = MAX_BYTES, carry: bool = False) -> DataFrame:
+    """All columns of ``docs`` and ``_scan``: n_words, n_hit, items, hit_spans, hit_words.
+    With ``carry`` the columns come as one struct ``_row``, whatever their names;
+    without it an incoming ``_scan`` gives way."""
+    found = _found(docs.select(F.struct(*docs.columns).alias("_row"), "text"), benchmark, window, max_bytes)
+    return found if carry else found.select(*[F.col("_row")[c].alias(c) for c in docs.columns if c != "_scan"], "_scan")
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, window: int, max_bytes: int) -> DataFrame:
+    """_row, _scan."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("string").alias("id"), "text").where("text is not null")
     size = items.agg(F.coalesce(F.sum(F.octet_length("text") + 1), F.lit(0))).first()[0]
@@ -130,7 +138,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
         return frame.withColumn("_scan", _mapper(spark.sparkContext.broadcast(rows), window)("text"))
 
     if n == 1:
-        return scanned(docs, 0)
+        return scanned(docs, 0).select("_row", "_scan")
     key = [F.xxhash64("text").alias("_h"), F.md5("text").alias("_m")]
     found = None
     for block in range(n):  # the number of blocks follows the benchmark, not the corpus
@@ -146,7 +154,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
         F.col("_scan.n_words").alias("n_words"), F.size(none("_hits", "_scan.hit_words")).cast("long").alias("n_hit"),
         none("_items", "_scan.items").alias("items"), none("_spans", "_scan.hit_spans").alias("hit_spans"), none("_hits", "_scan.hit_words").alias("hit_words"),
     )
-    return merged.select(*docs.columns, whole.alias("_scan"))
+    return merged.select("_row", whole.alias("_scan"))
 
 
 def contaminated(scan_col: str = "_scan"):

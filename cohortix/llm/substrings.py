@@ -198,15 +198,17 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> D
     kmers = kmers.where("lo_id < hi_id").select("kmer", (F.col("ways") > 1).alias("branch"))
     unitigs = unitigs.join(kmers, "kmer").where("branch OR first < last").select(*path, "first", "branch")
     marks = paths.join(unitigs, path).where("did > first OR branch")
+    # rows that are equal in id and text have equal paths: each counts once, so lists are bounded by one text
+    marks = marks.select("did", "th", "lo", "n", (F.col("did") > F.col("first")).alias("again")).distinct()
     marks = marks.groupBy("did", "th").agg(
-        F.collect_list(F.when(F.col("did") > F.col("first"), F.struct("lo", "n"))).alias("known"),
-        F.collect_list(F.when(F.col("did") == F.col("first"), F.struct("lo", "n"))).alias("spans"),
+        F.collect_list(F.when(F.col("again"), F.struct("lo", "n"))).alias("known"),
+        F.collect_list(F.when(~F.col("again"), F.struct("lo", "n"))).alias("spans"),
     )
     marks = stored(marks, "path-marks")
     branching = keyed.join(marks.where(F.size("spans") > 0).select("did", "th", "spans"), ["did", "th"])
     windows = stored(branching.mapInPandas(_opened(window), _WIN), "windows")
     firsts = windows.groupBy("w1", "w2").agg(F.min("did").alias("first"), F.max("did").alias("last")).where("first < last")
-    late = windows.join(firsts, ["w1", "w2"]).where("did > first")
+    late = windows.join(firsts, ["w1", "w2"]).where("did > first").select("did", "th", "lo").distinct()
     late = late.groupBy("did", "th").agg(F.collect_list(F.struct("lo", F.lit(1).alias("n"))).alias("spans"))
     both = marks.where(F.size("known") > 0).select("did", "th", F.col("known").alias("spans")).unionByName(late)
     return stored(both.groupBy("did", "th").agg(F.flatten(F.collect_list("spans")).alias("spans")), "spans")
@@ -220,10 +222,12 @@ def _removed(n: int, spans, window: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def cut(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> DataFrame:
+def cut(docs: DataFrame, window: int = WINDOW, kmer: int = KMER, carry: bool = False) -> DataFrame:
     """All columns of ``docs`` and ``_cut``: n_words, n_removed, kept_sha256 of
     the kept words joined by one space, and kept_text, the text without the
-    removed words (unchanged if there are none)."""
+    removed words (unchanged if there are none).  With ``carry`` the columns come
+    as one struct ``_row``, whatever their names; without it an incoming ``_cut``
+    gives way."""
     spans = repeated_spans(docs, window, kmer)
 
     @F.pandas_udf("n_words long, n_removed long, kept_sha256 string, kept_text string")
@@ -242,10 +246,9 @@ def cut(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> DataFrame:
             rows.append((len(words), gone, hashlib.sha256(kept).hexdigest(), after))
         return pd.DataFrame(rows, columns=["n_words", "n_removed", "kept_sha256", "kept_text"])
 
-    keyed = docs.withColumn("_did", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))).withColumn("_th", F.xxhash64("text"))
-    spans = spans.withColumnsRenamed({"did": "_did", "th": "_th", "spans": "_spans"})
-    out = keyed.join(spans, ["_did", "_th"], "left")
-    return out.select(*docs.columns, cutting("text", "_spans").alias("_cut"))
+    keyed = _keyed(docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text"))
+    out = keyed.join(spans, ["did", "th"], "left").select("_row", cutting("text", "spans").alias("_cut"))
+    return out if carry else out.select(*[F.col("_row")[c].alias(c) for c in docs.columns if c != "_cut"], "_cut")
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

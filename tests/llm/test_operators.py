@@ -9,6 +9,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+import public_tokenizers
 import xxhash
 
 pytest.importorskip("cohortix.llm")
@@ -230,7 +231,7 @@ def test_pack_round_trip():
 def test_bpe_equals_library(edge, block_bytes):
     from tokenizers import Tokenizer
 
-    tok = Tokenizer.from_file(bpe.VOCABULARY)
+    tok = Tokenizer.from_file(public_tokenizers.path(bpe.VOCABULARY))
     got = sorted((str(r["doc_id"]), list(r["ids"]), r["decoded"]) for r in bpe.encode(edge, block_bytes=block_bytes).collect())
     want = []
     for i, t, _ in EDGE:
