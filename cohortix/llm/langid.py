@@ -71,7 +71,8 @@ def held_out(doc_id: Column, divisor: int) -> Column:
 def _sample(docs: DataFrame, size: int) -> DataFrame:
     """lang, grams of the documents to learn from, in order of their hash."""
     rows = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~F.col("held_out")).withColumn("h", F.xxhash64("doc_id", F.lit("langid")))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).withColumn("langs", F.count("*").over(Window.partitionBy()))
+    # ids, not rows: a language of few ids in many rows keeps them all
+    counts = rows.select("lang", "doc_id").distinct().groupBy("lang").agg(F.count("*").alias("n")).withColumn("langs", F.count("*").over(Window.partitionBy()))
     share = F.greatest(F.lit(1), F.floor(F.lit(size) / F.col("langs")))
     # a share of the hashes that holds some four times the wanted rows (all of a small language), then the exact number
     part = F.least(F.lit(1.0), (4 * share + 64) / F.col("n"))
