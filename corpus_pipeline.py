@@ -40,25 +40,26 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     # several rows have this id: tell them apart by their own fingerprint
     ids = shared.select("_id").distinct()
     rows = docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi")
-    rows = rows.withColumn("fp_", simhash.fingerprint_udf()("text"))
-    rows = rows.join(shared, rows["doc_id"].eqNullSafe(shared["_id"]) & (rows["fp_"] == shared["_fp"]), "left_semi")
-    return out.unionByName(rows.dropDuplicates(["doc_id", "fp_"]).drop("fp_"))
+    rows = rows.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_own"), simhash.fingerprint_udf()("text").alias("_print"))
+    rows = rows.join(shared, rows["_own"].eqNullSafe(shared["_id"]) & (rows["_print"] == shared["_fp"]), "left_semi")
+    return out.unionByName(rows.dropDuplicates(["_own", "_print"]).select("_row.*"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the 50-word passages that an earlier document has."""
-    out = substrings.cut(docs)
+    out = substrings.cut(docs, carry=True)
     changed = F.col("_cut.n_removed") > 0
-    new = {"text": F.col("_cut.kept_text")}
-    if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(changed, F.length("_cut.kept_text").cast("long")).otherwise(F.col("n_chars"))
-    return out.withColumns(new).select(*docs.columns)
+    own = {c: F.col("_row")[c] for c in docs.columns}
+    own["text"] = F.col("_cut.kept_text")
+    if "n_chars" in own:
+        own["n_chars"] = F.when(changed, F.length("_cut.kept_text").cast("long")).otherwise(own["n_chars"])
+    return out.select(*[c.alias(name) for name, c in own.items()])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by benchmark items."""
-    out = decontam.find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    return out.where(~decontam.contaminated()).select(*docs.columns)
+    out = decontam.find_contamination(docs, table(spark, sf_dir, "benchmark"), carry=True)
+    return out.where(~decontam.contaminated()).select("_row.*")
 
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
