@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from cohortix.llm.common import table
 from cohortix.llm.wordblocks import ANSWERS, BLOCK_BYTES, answer_batch, blocks, by_bucket, joined, pack, page_words, rows_of, spread_numbers, squeeze, unpack, unsqueeze
 
-VOCABULARY = os.environ.get("WORD_BPE_VOCABULARY", "/opt/tokenizers/word_bpe_49k.json")
+VOCABULARY = "word_bpe_49k.json"
 
 
 def _encoder(vocabulary):
@@ -41,17 +41,19 @@ def _encoder(vocabulary):
         tok = Tokenizer.from_str(vocabulary.value)
         tok.no_truncation()
         tok.no_padding()
-        lists = [page_words(words) for _, words, _ in pages]
-        distinct = list({w for ws in lists for w in ws})
+        small = tok.get_vocab_size() <= 1 << 16
+        # one page is open at a time; what is held is each distinct word of the bucket with its ids
         ids: dict[bytes, np.ndarray] = {}
-        for at in range(0, len(distinct), 4096):
-            some = distinct[at : at + 4096]
-            for w, e in zip(some, tok.encode_batch_fast([w.decode() for w in some], add_special_tokens=False), strict=True):
-                ids[w] = np.array(e.ids, np.int64)
-        for (block, _, _), words in zip(pages, lists, strict=True):
-            found = [ids[w] for w in words]
+        for block, words, _ in pages:
+            own = page_words(words)
+            new = [w for w in own if w not in ids]
+            for at in range(0, len(new), 4096):
+                some = new[at : at + 4096]
+                for w, e in zip(some, tok.encode_batch_fast([w.decode() for w in some], add_special_tokens=False), strict=True):
+                    ids[w] = np.array(e.ids, np.uint16 if small else np.int64)
+            found = [ids[w] for w in own]
             sizes = np.array([len(x) for x in found], np.int64)
-            data = pack(np.r_[len(words), sizes, np.concatenate(found)])
+            data = pack(np.r_[len(own), sizes, np.concatenate(found).astype(np.int64)])
             yield answer_batch(block, bucket, squeeze(data))
 
     return solve
@@ -103,10 +105,15 @@ def _laid_out(pieces, digests: bool):
     return run
 
 
-def encode(docs: DataFrame, vocabulary_path: str = VOCABULARY, digests: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def encode(docs: DataFrame, vocabulary_path: str | None = None, digests: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, ids, decoded of every row of ``docs`` (doc_id, text); with
-    ``digests`` doc_id, n_tokens and the SHA-256 of both instead."""
+    ``digests`` doc_id, n_tokens and the SHA-256 of both instead.  The vocabulary
+    file (by default the installed package's) is read on the driver."""
     sc = docs.sparkSession.sparkContext
+    if vocabulary_path is None:
+        import public_tokenizers
+
+        vocabulary_path = public_tokenizers.path(VOCABULARY)
     with open(vocabulary_path, encoding="utf-8") as f:
         vocabulary = f.read()
     made, buckets = blocks(docs.withColumn("flag", F.lit(False)), False, "bpe-blocks", block_bytes)

@@ -6,12 +6,12 @@ network reads word types: the ``HEAD`` most frequent words, one type per power
 of two of the count that occurs for all others, one for words never seen in training;
 to the type of a tail word two marks are added, rows of a table by its hash.  Its
 output is factored by class: softmax over classes from the state, then softmax
-over the members for classes of head words.  A tail class is split in two again
-and again until every word is alone: over the ``CELLS`` cells of a hash, then over
-the words of a cell in their order.  At a split the state chooses the side, around
-the odds of the smoothed counts on either side, with weights from a table of
-``NODES`` rows by the split's hash.  So every training word has a probability of
-its own that follows the context, at the cost of the logarithm of the class.
+over the members for classes of head words.  A tail class is factored further by
+two hashes: softmax over ``GROUP`` groups, softmax over the ``GROUP`` cells of the
+group, both around the smoothed counts that training words have there, so that
+cells without words have no share; the words of a cell have the shares of their
+counts.  So every training word has a probability of its own that follows the
+context, at the cost of two small products.
 The result is mixed with the base, so every text has a positive probability and
 the model sums to one over the words and the unseen word.
 
@@ -46,114 +46,37 @@ from cohortix.llm.common import stored, table
 from cohortix.llm.langid import held_out
 from cohortix.llm.wordblocks import ANSWERS, BLOCK_BYTES, answer_batch, blocks, by_bucket, joined, page_counts, page_words, rows_of, spread, spread_numbers, squeeze, unpack, unsqueeze
 
-HEAD, CLASS, TAIL = 1023, 32, 40
-#: cells of a tail class; rows of weights that the splits share; rows of each of a tail word's two marks
-CELLS, NODES, MARKS = 4096, 256, 1024
+HEAD, CLASS, TAIL = 1023, 64, 40
+#: groups of a tail class and cells of a group; rows of each of a tail word's two marks
+GROUP, MARKS = 64, 1024
+CELLS = GROUP * GROUP
 EMBED = HIDDEN = 16
-STEPS, LANES = 16, 512
+STEPS, LANES = 64, 128
 ROUNDS = 2
 RATE, CLIP, BASE_SHARE = 0.01, 5.0, 0.05
 
 
-def _count_words(bucket, pages):
-    """Training count of every distinct word of a bucket."""
+def _totals(pages) -> dict[bytes, int]:
+    """Training count of every distinct word of a bucket; one page is open at a time."""
     total: dict[bytes, int] = {}
     for _, words, counts in pages:
         for w, c in zip(page_words(words), page_counts(counts).tolist(), strict=True):
             total[w] = total.get(w, 0) + c
-    seen = {w: c for w, c in total.items() if c}
-    if seen:
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen)).cast(pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "c"])
-
+    return total
 
-def _positions(start: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Positions of runs that begin at ``start`` and are ``n`` long, one after another."""
-    return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-
-
-class Paths:
-    """Splits between the tail class and each word: run of every word in two
-    arrays, the row of weights (plus ``NODES`` on the right side) and the log odds
-    of the word's side.  The splits down to the word's cell are in ``cells``, once
-    for all words, under ``key``; the runs hold those inside the cell."""
-
-    def __init__(self, n: np.ndarray, row: np.ndarray, odds: np.ndarray, key: np.ndarray | None = None, cells: Paths | None = None):
-        self.n, self.row, self.odds, self.key, self.cells = n, row, odds, key, cells
-        self.start = np.cumsum(n) - n
-
-    def of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Place in ``words``, row and log odds of all their splits."""
-        n = self.n[words]
-        at = _positions(self.start[words], n)
-        own = np.repeat(np.arange(len(words)), n), self.row[at], self.odds[at].astype(np.float32)
-        return own if self.cells is None else tuple(map(np.concatenate, zip(self.cells.of(self.key[words]), own, strict=True)))
-
-
-def _runs(got: list[tuple], number: np.ndarray | None, size: int) -> Paths:
-    """Paths of ``size`` words from splits (who, row, log odds); who is a place in ``number``."""
-    who, row, odds = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*got, strict=True) if got else ((), (), ())))
-    who = who.astype(np.int64) if number is None else number[who.astype(np.int64)]
-    at = np.argsort(who, kind="stable")
-    return Paths(np.bincount(who, minlength=size), row[at].astype(np.uint16), odds[at].astype(np.float16))
-
-
-def _splits(mass: np.ndarray, place: np.ndarray, low: np.ndarray, high: np.ndarray, key: np.ndarray):
-    """Splits of the ranges [low, high) on the way to ``place``, outermost first:
-    who passes, row, log odds.  ``mass`` is a running sum; a split with an empty
-    side is none."""
-    who, origin = np.arange(len(place)), low
-    while len(who := who[(high - low)[who] > 1]):
-        l, h = low[who], high[who]
-        mid = (l + h) // 2
-        right = place[who] >= mid
-        two = np.stack([mass[mid] - mass[l], mass[h] - mass[mid]])
-        x = key[who].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        x += (l - origin[who]).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) + (h - origin[who]).astype(np.uint64) * np.uint64(0x165667B19E3779F9)
-        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        row = (x >> np.uint64(40)).astype(np.int64) % NODES + np.where(right, NODES, 0)
-        real = (two > 0).all(axis=0)
-        odds = np.log(two[:, real])
-        yield who[real], row[real], np.where(right[real], odds[1] - odds[0], odds[0] - odds[1])
-        low, high = low.copy(), high.copy()
-        low[who], high[who] = np.where(right, mid, l), np.where(right, h, mid)
-
-
-def _answer_paths(voc):
-    """Training count and path of every word of a page."""
-
-    def run(bucket, pages):
-        total: dict[bytes, int] = {}
-        lists = [page_words(words) for _, words, _ in pages]
-        for words, (_, _, counts) in zip(lists, pages, strict=True):
-            for w, c in zip(words, page_counts(counts).tolist(), strict=True):
-                total[w] = total.get(w, 0) + c
-        number = {w: i for i, w in enumerate(total)}
-        every = np.fromiter(total.values(), np.int64, len(total))
-        paths = voc.value.paths(list(total), every)
-        for (block, _, _), words in zip(pages, lists, strict=True):
-            own = np.fromiter((number[w] for w in words), np.int64, len(words))
-            at = _positions(paths.start[own], paths.n[own])
-            yield answer_batch(block, bucket, squeeze(every[own].tobytes() + paths.n[own].astype(np.uint8).tobytes() + paths.row[at].tobytes() + paths.odds[at].tobytes()))
 
-    return run
+def _count_words(bucket, pages):
+    seen = {w: c for w, c in _totals(pages).items() if c}
+    if seen:
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen)).cast(pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "c"])
 
 
-def _answered(bucket: bytes, pages: list[tuple[int, bytes, int]]) -> tuple[np.ndarray, Paths]:
-    """Counts and paths, in the order of the word table, from answers (bucket, answer, words)."""
-    counts, runs = [], []
-    for b, answer, k in pages:
-        data = unsqueeze(answer)
-        n = np.frombuffer(data, np.uint8, k, 8 * k).astype(np.int64)
-        m = int(n.sum())
-        counts.append((b, np.frombuffer(data, np.int64, k)))
-        runs.append((b, n, np.frombuffer(data, np.uint16, m, 9 * k), np.frombuffer(data, np.float16, m, 9 * k + 2 * m)))
-    n = spread_numbers(bucket, [r[:2] for r in runs])
-    out = Paths(n, np.empty(int(n.sum()), np.uint16), np.empty(int(n.sum()), np.float16))
-    of = np.frombuffer(unsqueeze(bucket), np.uint16)
-    for b, own, row, odds in runs:
-        at = _positions(out.start[of == b], own)
-        out.row[at], out.odds[at] = row, odds
-    return spread_numbers(bucket, counts), out
+def _answer_counts(bucket, pages):
+    """Training count of every word of a page."""
+    total = _totals(pages)
+    for block, words, _ in pages:
+        own = page_words(words)
+        yield answer_batch(block, bucket, squeeze(np.fromiter(map(total.__getitem__, own), np.int64, len(own)).tobytes(), 3))
 
 
 class Vocabulary:
@@ -165,6 +88,7 @@ class Vocabulary:
         self.n, self.v, self.ends = n, v, ends
         self.z = n + 0.5 * (v + 1)
         self.index = {w.encode(): i + 1 for i, (w, _) in enumerate(head)}
+        self.least = min((c for _, c in head), default=1)
         counts = np.array([ends] + [c for _, c in head], float) + 0.5
         self.n_head = len(counts)
         bins = sorted(b for b, (_, words) in tail.items() if words)
@@ -178,44 +102,45 @@ class Vocabulary:
         mass = np.r_[np.add.reduceat(counts, np.arange(0, self.n_head, CLASS)), self.tail_mass, 0.5]
         self.class_bias = np.log(np.maximum(mass, 0.5) / self.z)
         self.word_bias = np.log(counts)
-        #: running sum of the smoothed counts of tail words over (class, cell)
-        mass = np.zeros(TAIL * CELLS) if cells is None else cells.ravel()
-        full = np.flatnonzero(mass)
-        low = full // CELLS * CELLS
-        #: splits down to every cell of the tail classes; the last key has none
-        self.cells = _runs(list(_splits(np.r_[0.0, np.cumsum(mass)], full, low, low + CELLS, full // CELLS)), full, TAIL * CELLS + 1)
+        #: log shares of the groups in the smoothed counts of a tail class, and of the cells in those of a group
+        mass = np.zeros((len(bins), CELLS)) if cells is None else cells[bins]
+        with np.errstate(divide="ignore"):
+            group = mass.reshape(-1, GROUP, GROUP).sum(2)
+            self.groups = np.log(group / np.maximum(group.sum(1, keepdims=True), 0.5)).astype(np.float32)
+            self.cells = np.log(mass.reshape(-1, GROUP) / np.maximum(group.reshape(-1, 1), 0.5)).astype(np.float32)
+        self.cell_mass = mass
 
     def types(self, words: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Type and log base probability of words."""
-        head = np.fromiter((self.index.get(w, 0) for w in words), np.int64, len(words))
+        head = np.zeros(len(words), np.int64)
+        for i in np.flatnonzero(counts >= self.least).tolist():
+            head[i] = self.index.get(words[i], 0)
         bin_ = self.place[np.minimum(np.frexp(np.maximum(counts, 1))[1] - 1, TAIL - 1)]
         type_ = np.where(head > 0, head, np.where(counts > 0, self.n_head + bin_, self.n_types - 1))
         return type_, np.log((counts + 0.5) / self.z)
 
-    def marks(self, words: list[bytes], type_: np.ndarray) -> np.ndarray:
-        """Rows of the two marks of each word; 0 (no mark) if it is not of the tail."""
+    def is_tail(self, type_: np.ndarray) -> np.ndarray:
+        return (type_ >= self.n_head) & (type_ < self.n_types - 1)
+
+    def tail(self, words: list[bytes], type_: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows of the two marks (0, no mark, if a word is not of the tail), cell,
+        and log share in the cell (0 if it is not of the tail)."""
         crc = np.fromiter(map(zlib.crc32, words), np.int64, len(words))
+        own = self.is_tail(type_)
         both = np.stack([1 + crc % MARKS, 1 + MARKS + crc // MARKS % MARKS], axis=1)
-        return np.where(((type_ >= self.n_head) & (type_ < self.n_types - 1))[:, None], both, 0).astype(np.int16)
+        share = np.zeros(len(words))
+        share[own] = np.log((counts[own] + 0.5) / self.cell_mass[type_[own] - self.n_head, crc[own] % CELLS])
+        return np.where(own[:, None], both, 0).astype(np.int16), (crc % CELLS).astype(np.int32), share
 
-    def keys(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
-        """Tail class and cell of each word; the last key if it is not of the tail."""
-        bin_ = np.minimum(np.frexp(np.maximum(counts, 1))[1] - 1, TAIL - 1)
-        cell = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % CELLS
-        head = np.fromiter((w in self.index for w in words), bool, len(words))
-        return np.where(head | (counts == 0), TAIL * CELLS, bin_ * CELLS + cell)
+    @staticmethod
+    def of(fields: dict) -> Vocabulary:
+        """From its fields: broadcasts carry these, as executors need not have the class."""
+        voc = Vocabulary.__new__(Vocabulary)
+        voc.__dict__.update(fields)
+        return voc
 
-    def paths(self, words: list[bytes], counts: np.ndarray) -> Paths:
-        """Paths of words; of a cell, all its words are to be given."""
-        key = self.keys(words, counts)
-        tail = np.array(sorted(np.flatnonzero(key < TAIL * CELLS).tolist(), key=lambda i: (key[i], words[i])), np.int64)
-        cell, mass = key[tail], np.r_[0.0, np.cumsum(counts[tail] + 0.5)]
-        low, high = np.searchsorted(cell, cell), np.searchsorted(cell, cell, "right")
-        out = _runs(list(_splits(mass, np.arange(len(tail)), low, high, TAIL + cell)), tail, len(words))
-        return Paths(out.n, out.row, out.odds, key, self.cells)
 
-
-SHAPES = ("emb", "wx", "wh", "b", "wc", "bc", "ww", "bw", "mark", "node")
+SHAPES = ("emb", "wx", "wh", "b", "wc", "bc", "ww", "bw", "mark", "wg", "wd")
 
 
 def initial(voc: Vocabulary) -> dict[str, np.ndarray]:
@@ -228,7 +153,7 @@ def initial(voc: Vocabulary) -> dict[str, np.ndarray]:
         "wx": size(EMBED, 3 * HIDDEN), "wh": size(HIDDEN, 3 * HIDDEN), "b": np.zeros(3 * HIDDEN, np.float32),
         "wc": np.zeros((HIDDEN, classes), np.float32), "bc": voc.class_bias.astype(np.float32),
         "ww": np.zeros((voc.n_head, HIDDEN), np.float32), "bw": voc.word_bias.astype(np.float32),
-        "mark": np.zeros((2 * MARKS + 1, EMBED), np.float32), "node": np.zeros((NODES, HIDDEN), np.float32),
+        "mark": np.zeros((2 * MARKS + 1, EMBED), np.float32), "wg": np.zeros((GROUP, HIDDEN), np.float32), "wd": np.zeros((GROUP, HIDDEN), np.float32),
     }
 
 
@@ -252,12 +177,14 @@ def _by_row(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def recur(p: dict, x: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: bool, marks: np.ndarray | None = None):
+def recur(p: dict, x: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: bool, marks: np.ndarray | None = None, vectors: np.ndarray | None = None):
     """States after each step (steps x lanes x hidden), and what backward needs.
+    With ``vectors`` the words read are rows ``x`` of them.
 
     Inside, lanes run along the last axis, so that every gate is one run of memory."""
     n = HIDDEN
-    read, wh = (_read(p, x, marks) @ p["wx"] + p["b"]).reshape(*x.shape, 3 * n), np.ascontiguousarray(p["wh"].T)
+    e = _read(p, x, marks) if vectors is None else vectors[x.ravel()]
+    read, wh = (e @ p["wx"] + p["b"]).reshape(*x.shape, 3 * n), np.ascontiguousarray(p["wh"].T)
     states, tape = np.empty((*x.shape, n), read.dtype), []
     h = np.ascontiguousarray(h.T)
     for t in range(len(x)):
@@ -281,16 +208,25 @@ def recur(p: dict, x: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: bool,
             tape.append((h, z, r, c, gc))
         h = new
         states[t] = h.T
+    if keep:
+        tape.append(e)
     return states, np.ascontiguousarray(h.T), tape
 
 
+def _safe(x: np.ndarray, axis: int) -> np.ndarray:
+    """Logits that can be exponentiated (in place).  States lie within -1 and 1 and
+    biases are logs of counts, so they can, but for weights grown out of bounds."""
+    if x.size and x.max() > 80:
+        x -= x.max(axis=axis, keepdims=True)
+    return x
+
+
 def _softmax(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Log probability of row ``y`` of each column; exponentials (in place of
     ``x``) and their sums, from which the gradient is made."""
-    x -= x.max(axis=0)
-    own = x[y, np.arange(len(y))]
+    own = _safe(x, 0)[y, np.arange(len(y))]
     np.exp(x, out=x)
-    total = x.sum(axis=0)
+    total = np.ones(len(x), x.dtype) @ x
     return own - np.log(total), x, total
 
 
@@ -301,11 +237,24 @@ def _slope(e: np.ndarray, total: np.ndarray, y: np.ndarray) -> np.ndarray:
     return e
 
 
-def outputs(p: dict, voc: Vocabulary, states: np.ndarray, y: np.ndarray, grad: dict | None = None, splits: tuple | None = None):
-    """Natural-log probability of types ``y``, or of words if ``splits`` (place in
-    ``y``, row, log odds) has those of tail words; with ``grad`` also the gradient
-    on the states."""
-    given = states
+def _level(h: np.ndarray, w: np.ndarray, prior: np.ndarray, y: np.ndarray, slope: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Log probability of ``y`` in each row under a softmax around ``prior`` (in
+    place), and with ``slope`` the gradient of its negative on the logits."""
+    prior += h @ w.T
+    at = np.arange(len(y)), y
+    own = _safe(prior, 1)[at]
+    np.exp(prior, out=prior)
+    total = prior @ np.ones(prior.shape[1], prior.dtype)
+    if slope:
+        prior *= (1 / total)[:, None]
+        prior[at] -= 1
+    return own - np.log(total), prior
+
+
+def outputs(p: dict, voc: Vocabulary, states: np.ndarray, y: np.ndarray, grad: dict | None = None, cell: np.ndarray | None = None):
+    """Natural-log probability of types ``y``, or of their cells if ``cell`` has
+    that of each word of the tail; with ``grad`` also the gradient on the states."""
+    given, given_y = states, y
     order = np.argsort(voc.of_type[y].astype(np.int16), kind="stable")
     h, y = states[order], y[order]
     class_ = voc.of_type[y]
@@ -313,7 +262,7 @@ def outputs(p: dict, voc: Vocabulary, states: np.ndarray, y: np.ndarray, grad: d
     log_p, slope = own.astype(np.float64), None
     if grad is not None:
         d = _slope(e, total, class_)
-        grad["wc"], grad["bc"] = (d @ h).T, d.sum(axis=1)
+        grad["wc"], grad["bc"] = (d @ h).T, d @ np.ones(len(h), d.dtype)
         grad["ww"], grad["bw"] = np.zeros_like(p["ww"]), np.zeros_like(p["bw"])
         slope = d.T @ p["wc"].T
     edges = np.searchsorted(class_, np.arange(voc.head_classes + 1))
@@ -327,31 +276,24 @@ def outputs(p: dict, voc: Vocabulary, states: np.ndarray, y: np.ndarray, grad: d
         log_p[at] += own
         if grad is not None:
             d = _slope(e, total, word)
-            grad["ww"][members], grad["bw"][members] = d @ h[at], d.sum(axis=1)
+            grad["ww"][members], grad["bw"][members] = d @ h[at], d @ np.ones(len(word), d.dtype)
             slope[at] += d.T @ p["ww"][members]
     out, back = np.empty_like(log_p), None
     out[order] = log_p
     if grad is not None:
         back = np.empty_like(slope)
         back[order] = slope
-        grad["node"] = np.zeros_like(p["node"])
-    if splits is not None and len(splits[0]):
-        who, row, odds = splits
-        sign = np.where(row < NODES, -1, 1).astype(given.dtype)
-        row = row % NODES
-        place = np.zeros(len(out), np.int64)
-        place[who] = 1
-        some = np.flatnonzero(place)
-        place[some] = np.arange(len(some))
-        h, at = given[some], place[who] * NODES + row
-        logit = (h @ p["node"].T).ravel()[at] * sign + odds
-        e = np.exp(-np.abs(logit))
-        out += np.bincount(who, weights=np.minimum(logit, 0) - np.log1p(e), minlength=len(out))
-        if grad is not None:
-            d = -sign * np.where(logit >= 0, e, np.float32(1)) / (1 + e)
-            d = np.bincount(at, weights=d, minlength=len(some) * NODES).astype(h.dtype).reshape(-1, NODES)
-            back[some] += d @ p["node"]
-            grad["node"] = d.T @ h
+        grad["wg"], grad["wd"] = np.zeros_like(p["wg"]), np.zeros_like(p["wd"])
+    some = np.flatnonzero(voc.is_tail(given_y)) if cell is not None else ()
+    if len(some):
+        h, own = given[some], given_y[some] - voc.n_head
+        group, inner = np.divmod(cell[some], GROUP)
+        for name, prior, at in (("wg", voc.groups[own], group), ("wd", voc.cells[own * GROUP + group], inner)):
+            found, d = _level(h, p[name], prior.astype(h.dtype, copy=False), at, grad is not None)
+            out[some] += found
+            if grad is not None:
+                back[some] += d @ p[name]
+                grad[name] = d.T @ h
     return out, back
 
 
@@ -383,7 +325,7 @@ def _backward(p: dict, x: np.ndarray, fresh: np.ndarray, tape: list, d_states: n
         own[2 * n :] = d_c
     grad["wh"] = d_wh.T
     flat = np.ascontiguousarray(d_gates.transpose(0, 2, 1)).reshape(-1, 3 * n)
-    grad["wx"], grad["b"] = _read(p, x, marks).T @ flat, flat.sum(axis=0)
+    grad["wx"], grad["b"] = tape[-1].T @ flat, np.ones(len(flat), flat.dtype) @ flat
     d_read = flat @ p["wx"].T
     grad["emb"], grad["mark"] = _by_row(x.ravel(), d_read, len(p["emb"])), np.zeros_like(p["mark"])
     if marks is not None:
@@ -422,21 +364,17 @@ def windows(high: int, width: int):
 
 def _opened(row: dict, voc: Vocabulary):
     """Tokens of a block; sizes with end tokens; of its words type, log base,
-    known, marks and paths."""
+    known, marks, cell and log share in the cell."""
     words = spread(row["bucket"], [(p["bucket"], page_words(p["words"])) for p in row["pages"]])
-    size_of = {p["bucket"]: 0 for p in row["pages"]}
-    held, number = np.unique(np.frombuffer(unsqueeze(row["bucket"]), np.uint16), return_counts=True)
-    size_of.update(zip(held.tolist(), number.tolist(), strict=True))
-    counts, paths = _answered(row["bucket"], [(a["bucket"], a["answer"], size_of[a["bucket"]]) for a in row["answers"] or ()])
+    counts = spread_numbers(row["bucket"], [(a["bucket"], np.frombuffer(unsqueeze(a["answer"]), np.int64)) for a in row["answers"] or ()])
     type_, base = voc.types(words, counts)
-    marks = np.r_[voc.marks(words, type_), np.zeros((1, 2), np.int16)]
+    marks, cell, share = voc.tail(words, type_, counts)
     end = len(words)  # the end token comes after the block's words
-    type_ = np.r_[type_, 0]
-    paths = Paths(np.r_[paths.n, 0], paths.row, paths.odds, np.r_[voc.keys(words, counts), TAIL * CELLS], voc.cells)
+    type_, marks, cell, share = np.r_[type_, 0], np.r_[marks, np.zeros((1, 2), np.int16)], np.r_[cell, np.int32(0)], np.r_[share, 0.0]
     base, known = np.r_[base, np.log((voc.ends + 0.5) / voc.z)], np.r_[counts > 0, voc.ends > 0]
     size = np.array(row["size"], np.int64)
     tokens = np.insert(unpack(unsqueeze(row["packed"])), np.cumsum(size), end)
-    return tokens, size + 1, type_, base, known, marks, paths
+    return tokens, size + 1, type_, base, known, marks, cell, share
 
 
 def _inputs(type_of_token: np.ndarray, token: np.ndarray, doc: np.ndarray, start: int):
@@ -459,7 +397,7 @@ def _marks_read(marks: np.ndarray, words: np.ndarray, token: np.ndarray, fresh:
     return out
 
 
-def learn(p: dict, voc: Vocabulary, types: np.ndarray, sizes: np.ndarray, moments: dict, words: np.ndarray, marks: np.ndarray, paths: Paths) -> None:
+def learn(p: dict, voc: Vocabulary, types: np.ndarray, sizes: np.ndarray, moments: dict, words: np.ndarray, marks: np.ndarray, cell: np.ndarray) -> None:
     """One pass of truncated backpropagation over documents given as words and
     their types."""
     token, doc = lanes(sizes)
@@ -470,35 +408,49 @@ def learn(p: dict, voc: Vocabulary, types: np.ndarray, sizes: np.ndarray, moment
         states, h, tape = recur(p, x[here], fresh[here], h, True, read)
         some = (y[here] >= 0).ravel()  # every step has a token in some lane
         grad: dict = {}
-        splits = paths.of(words[token[here].ravel()[some]])
-        _, back = outputs(p, voc, states.reshape(-1, HIDDEN)[some], y[here].ravel()[some], grad, splits)
+        own = cell[words[token[here].ravel()[some]]]
+        _, back = outputs(p, voc, states.reshape(-1, HIDDEN)[some], y[here].ravel()[some], grad, own)
         d = np.zeros((some.size, HIDDEN), np.float32)
         d[some] = back
         _backward(p, x[here], fresh[here], tape, d.reshape(states.shape), grad, read)
         moments["step"] += 1
-        for name in SHAPES:  # Adam
-            g = np.clip(grad[name] / np.float32(some.sum()), -CLIP, CLIP)
-            m, v = moments.setdefault(name, (np.zeros_like(p[name]), np.zeros_like(p[name])))
-            m += np.float32(0.1) * (g - m)
-            v += np.float32(0.01) * (g * g - v)
-            s = moments["step"]
-            p[name] -= np.float32(RATE) * (m / np.float32(1 - 0.9**s)) / (np.sqrt(v / np.float32(1 - 0.99**s)) + np.float32(1e-6))
-
-
-def log_probability(p: dict, voc: Vocabulary, tokens, sizes, type_, within, base, marks=None, paths=None) -> np.ndarray:
+        g = np.concatenate([grad[name].ravel() for name in SHAPES])  # Adam
+        g *= 1 / np.float32(some.sum())
+        np.clip(g, -CLIP, CLIP, out=g)
+        m, v = moments.setdefault("mean", np.zeros_like(g)), moments.setdefault("square", np.zeros_like(g))
+        m *= np.float32(0.9)
+        m += np.float32(0.1) * g
+        g *= g
+        v *= np.float32(0.99)
+        v += np.float32(0.01) * g
+        s, at = moments["step"], 0
+        np.sqrt(v / np.float32(1 - 0.99**s), out=g)
+        g += np.float32(1e-6)
+        np.divide(m, g, out=g)
+        g *= np.float32(RATE / (1 - 0.9**s))
+        for name in SHAPES:
+            p[name] -= g[at : at + p[name].size].reshape(p[name].shape)
+            at += p[name].size
+
+
+def log_probability(p: dict, voc: Vocabulary, tokens, sizes, type_, within, base, marks=None, cell=None) -> np.ndarray:
     """Natural-log probability of each document under the mixed model; ``within``
-    is added to that of a word's type where no ``paths`` lead on to the word."""
+    is a word's log share in its ``cell``, or in its type if no cells are given."""
     token, doc = lanes(sizes)
     x, y, fresh = _inputs(type_[tokens], token, doc, voc.start)
     h = np.zeros((x.shape[1], HIDDEN), np.float32)
     total = np.zeros(len(sizes))
     new, old = np.log(1 - BASE_SHARE), np.log(BASE_SHARE)
+    vectors = None
+    if marks is not None:  # of each word once, and last of the start
+        vectors = np.concatenate([_read(p, type_, marks[:, None]), p["emb"][voc.start :]])
+        before = tokens[token[:-1]]
+        x[0], x[1:] = len(type_), np.where(fresh[1:] | (token[:-1] < 0), len(type_), before)
     for here in windows(*x.shape):
-        read = None if marks is None else _marks_read(marks, tokens, token, fresh, here)
-        states, h, _ = recur(p, x[here], fresh[here], h, False, read)
+        states, h, _ = recur(p, x[here], fresh[here], h, False, None, vectors)
         some = (token[here] >= 0).ravel()
         own = tokens[token[here].ravel()[some]]
-        got, _ = outputs(p, voc, states.reshape(-1, HIDDEN)[some], y[here].ravel()[some], None, paths and paths.of(own))
+        got, _ = outputs(p, voc, states.reshape(-1, HIDDEN)[some], y[here].ravel()[some], None, None if cell is None else cell[own])
         mixed = np.logaddexp(new + got + within[own], old + base[own])
         total += np.bincount(doc[here].ravel()[some], weights=mixed, minlength=len(sizes))
     return total
@@ -508,15 +460,15 @@ def _trainer(voc, weights):
     """Weights after a task's blocks, one row per parameter array."""
 
     def run(batches):
-        v, p = voc.value, {k: w.copy() for k, w in weights.value.items()}
+        v, p = Vocabulary.of(voc.value), {k: w.copy() for k, w in weights.value.items()}
         moments: dict = {"step": 0}
         learned = 0
         for row in rows_of(batches):
-            tokens, sizes, type_, _, _, marks, paths = _opened(row, v)
+            tokens, sizes, type_, _, _, marks, cell, _ = _opened(row, v)
             flag = np.array(row["flag"], bool)
             own = np.repeat(flag, sizes)
             if own.any():
-                learn(p, v, type_[tokens[own]], sizes[flag], moments, tokens[own], marks, paths)
+                learn(p, v, type_[tokens[own]], sizes[flag], moments, tokens[own], marks, cell)
                 learned += int(own.sum())
         if learned:
             flat = [(p[k].astype(np.float64) * learned).ravel().tolist() for k in SHAPES]
@@ -527,11 +479,11 @@ def _trainer(voc, weights):
 
 def _scorer(voc, weights):
     def run(batches):
-        v, p = voc.value, weights.value
+        v, p = Vocabulary.of(voc.value), weights.value
         for row in rows_of(batches):
-            tokens, sizes, type_, base, known, marks, paths = _opened(row, v)
+            tokens, sizes, type_, base, known, marks, cell, share = _opened(row, v)
             first = np.cumsum(sizes) - sizes
-            score = log_probability(p, v, tokens, sizes, type_, np.zeros(len(type_)), base, marks, paths) / np.log(10)
+            score = log_probability(p, v, tokens, sizes, type_, share, base, marks, cell) / np.log(10)
             columns = [
                 pa.array(row["doc_id"], pa.int64()), pa.array([not f for f in row["flag"]], pa.bool_()), pa.array(sizes, pa.int64()),
                 pa.array(np.add.reduceat(known[tokens].astype(np.int64), first)), pa.array(np.full(len(sizes), v.n), pa.int64()),
@@ -556,7 +508,7 @@ def vocabulary(table_: DataFrame, buckets: int) -> Vocabulary:
     cells[b, cell] = mass
     for w, c in head:
         own = min(c.bit_length() - 1, TAIL - 1)
-        cells[own, zlib.crc32(w.encode()) % CELLS] -= c + 0.5
+        cells[own, zlib.crc32(w.encode()) % CELLS] -= c + 0.5  # halves: nothing is left of a cell with no other word
         left[own] -= 1
     return Vocabulary(head, {i: (float(cells[i].sum()), int(left[i])) for i in range(TAIL)}, ends, n, v, cells)
 
@@ -565,10 +517,10 @@ def score(docs: DataFrame, rounds: int = ROUNDS, block_bytes: int = BLOCK_BYTES
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of
     every row of ``docs`` (doc_id, text, flag: train on it)."""
     sc = docs.sparkSession.sparkContext
-    made, buckets = blocks(docs, True, "lm-blocks", block_bytes, CELLS)
+    made, buckets = blocks(docs, True, "lm-blocks", block_bytes, level=3)
     voc = vocabulary(made, buckets)
-    shared = sc.broadcast(voc)
-    answers = by_bucket(made, buckets, _answer_paths(shared), ANSWERS)
+    shared = sc.broadcast(vars(voc))
+    answers = by_bucket(made, buckets, _answer_counts, ANSWERS)
     pages = F.transform("pages", lambda p: F.struct(p["bucket"].alias("bucket"), p["words"].alias("words")))
     rows = stored(joined(made.withColumn("pages", pages), answers), "lm-counted")
     weights = initial(voc)

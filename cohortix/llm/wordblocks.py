@@ -15,12 +15,11 @@ one answer per word.  A frequent word has one row per block, so no word is hot.
 from __future__ import annotations
 
 import zlib
-from collections import defaultdict
 from collections.abc import Callable
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -29,6 +28,8 @@ from pyspark.sql import functions as F
 from cohortix.llm.common import stored
 
 BLOCK_BYTES = 32 << 20
+#: input for each bucket of words
+BUCKET_BYTES = 64 << 20
 
 _PAGE = "struct<bucket:int,words:binary,counts:binary>"
 _BLOCK = f"block long, doc_id array<long>, flag array<boolean>, size array<int>, packed binary, bucket binary, pages array<{_PAGE}>"
@@ -39,8 +40,8 @@ _ARROW = pa.schema([
 ])
 
 
-def squeeze(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=7).compress(data)
+def squeeze(data: bytes, level: int = 7) -> bytes:
+    return zstandard.ZstdCompressor(level=level).compress(data)
 
 
 def unsqueeze(data: bytes) -> bytes:
@@ -86,51 +87,78 @@ def _unpack(b: np.ndarray) -> np.ndarray:
     return np.add.reduceat((b & 127).astype(np.int64) << (7 * offset), first)
 
 
-def _blocks(fold: bool, buckets: int, block_bytes: int, cells: int):
-    def made(block: int, table: dict, docs: list) -> pa.RecordBatch:
-        ids = np.concatenate([d[2] for d in docs])
-        order = np.argsort(-np.bincount(ids, minlength=len(table)), kind="stable")
+def _words(texts: pa.Array, fold: bool) -> tuple[np.ndarray, pa.Array]:
+    """Number of words of every text, and all their words."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if fold else texts)
+    words = lists.flatten()
+    some = pc.greater(pc.binary_length(words), 0)  # blanks at either end of a text leave empty pieces
+    offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    return np.diff(np.r_[0, np.cumsum(some.to_numpy(zero_copy_only=False))][offsets]), words.filter(some)
+
+
+def _blocks(fold: bool, buckets: int, block_bytes: int, level: int = 7):
+    def made(block: int, docs: list) -> pa.RecordBatch:
+        coded = pa.concat_arrays([d[3] for d in docs]).dictionary_encode()
+        ids, listed = coded.indices.to_numpy(), coded.dictionary.cast(pa.binary()).to_pylist()
+        sizes, flags = np.concatenate([d[2] for d in docs]), np.concatenate([d[1] for d in docs])
+        docs_ids = [i for d in docs for i in d[0]]
+        docs.clear()
+        order = np.argsort(-np.bincount(ids, minlength=len(listed)), kind="stable")
         rank = np.empty(len(order), np.int32)
         rank[order] = np.arange(len(order), dtype=np.int32)
-        flagged = np.concatenate([np.full(len(d[2]), d[1]) for d in docs])
-        counts = np.bincount(ids[flagged], minlength=len(table))[order].astype(np.uint32)
-        listed = list(table)
-        words = [listed[i] for i in order]
-        bucket = np.fromiter((zlib.crc32(w) % cells % buckets for w in words), np.uint16, len(words))
+        counts = np.bincount(ids[np.repeat(flags, sizes)], minlength=len(listed))[order].astype(np.uint32)
+        words = [listed[i] for i in order.tolist()]
+        bucket = (np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets).astype(np.uint16)
         pages = []
         for b in np.unique(bucket):
             at = np.flatnonzero(bucket == b)
-            text = squeeze(b"\n".join([words[i] for i in at]))
-            pages.append({"bucket": int(b), "words": text, "counts": squeeze(counts[at].tobytes())})
-        row = [block, [d[0] for d in docs], [d[1] for d in docs], [len(d[2]) for d in docs], squeeze(pack(rank[ids])), squeeze(bucket.tobytes()), pages]
+            text = squeeze(b"\n".join([words[i] for i in at.tolist()]), level)
+            pages.append({"bucket": int(b), "words": text, "counts": squeeze(counts[at].tobytes(), level)})
+        row = [block, docs_ids, flags, sizes.astype(np.int32), squeeze(pack(rank[ids]), level), squeeze(bucket.tobytes(), level), pages]
+        del coded, listed, words
+        pa.default_memory_pool().release_unused()
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _ARROW.types, strict=True)], schema=_ARROW)
 
     def run(batches):
         part, serial = TaskContext.get().partitionId(), 0
-        table, docs, size = defaultdict(count().__next__), [], 0
+        docs, size = [], 0
         for batch in batches:
-            ids, flags = batch.column("doc_id").to_pylist(), batch.column("flag").to_pylist()
-            for doc, flag, text in zip(ids, flags, batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
-                if docs and size + len(text) > block_bytes:
-                    yield made((part << 24) + serial, table, docs)
-                    table, docs, size, serial = defaultdict(count().__next__), [], 0, serial + 1
-                words = (text.lower() if fold else text).split()
-                docs.append((doc, bool(flag), np.fromiter(map(table.__getitem__, words), np.int32, len(words))))
-                size += len(text)
+            lengths = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
+            at = 0
+            while at < len(lengths):
+                # as many texts as the block has room for, one at least
+                room = np.searchsorted(np.cumsum(lengths[at:]), block_bytes - size, "right")
+                if not room and docs:
+                    yield made((part << 24) + serial, docs)
+                    docs, size, serial = [], 0, serial + 1
+                    continue
+                some = batch.slice(at, max(1, int(room)))
+                n, words = _words(some.column("text"), fold)
+                flags = np.array([bool(f) for f in some.column("flag").to_pylist()], bool)
+                docs.append((some.column("doc_id").to_pylist(), flags, n, words))
+                size += int(lengths[at : at + len(some)].sum())
+                at += len(some)
         if docs:
-            yield made((part << 24) + serial, table, docs)
+            yield made((part << 24) + serial, docs)
 
     return run
 
 
-def blocks(docs: DataFrame, fold: bool, name: str, block_bytes: int = BLOCK_BYTES, cells: int = 1 << 32) -> tuple[DataFrame, int]:
+def _planned_bytes(docs: DataFrame) -> int:
+    """Size of ``docs`` as Spark's plan knows it from its files; 0 if it does not."""
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 1 << 60 else 0
+
+
+def blocks(docs: DataFrame, fold: bool, name: str, block_bytes: int = BLOCK_BYTES, level: int = 7) -> tuple[DataFrame, int]:
     """Stored blocks of ``docs`` (doc_id, flag, text) and the number of buckets,
-    which follows the session's shuffle partitions.  ``fold`` lower-cases A-Z;
-    a page's counts are of flagged documents.  Null texts have no words.  Words
-    whose CRC-32 is equal modulo ``cells`` share a bucket."""
-    buckets = min(65536, max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    which follows the size of ``docs`` (and the session's shuffle partitions, if
+    these are more).  ``fold`` lower-cases A-Z; a page's counts are of flagged
+    documents.  Null texts have no words."""
+    session = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(65536, max(16, session, _planned_bytes(docs) // BUCKET_BYTES))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "flag", F.coalesce("text", F.lit("")).alias("text"))
-    return stored(rows.mapInArrow(_blocks(fold, buckets, block_bytes, cells), _BLOCK), name), buckets
+    return stored(rows.mapInArrow(_blocks(fold, buckets, block_bytes, level), _BLOCK), name), buckets
 
 
 def rows_of(batches):
@@ -191,9 +219,9 @@ def spread(bucket: bytes, pages: list[tuple[int, list]]) -> list:
     of = np.frombuffer(unsqueeze(bucket), np.uint16)
     out = np.empty(len(of), object)
     for b, values in pages:
-        at = np.flatnonzero(of == b)
-        for i, v in zip(at.tolist(), values, strict=True):
-            out[i] = v
+        own = np.empty(len(values), object)
+        own[:] = values
+        out[of == b] = own
     return out.tolist()
 
 
