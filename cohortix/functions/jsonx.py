@@ -26,9 +26,13 @@ def _is_container(text: Column) -> Column:
 
 def json_scalar(body: Column | str, key: str) -> Column:
     """JSON_EXTRACT_SCALAR(body, '$.key')."""
-    c = F.col(body) if isinstance(body, str) else body
-    v = F.get_json_object(c, f"$.{key}")
-    return F.when(_is_container(v), F.lit(None).cast("string")).otherwise(v)
+    return scalar_text(F.get_json_object(F.col(body) if isinstance(body, str) else body, f"$.{key}"))
+
+
+def scalar_text(found: Column) -> Column:
+    """``found`` by get_json_object, null for objects and arrays.  It is named three
+    times, so what is costly is to be projected first."""
+    return F.when(_is_container(found), F.lit(None).cast("string")).otherwise(found)
 
 
 def safe_double(text: Column) -> Column:

@@ -10,7 +10,9 @@ from __future__ import annotations
 import math
 from itertools import cycle, islice
 
-from pyspark.sql import DataFrame, Window
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -298,16 +300,26 @@ def overlay_for(orders: DataFrame, cfg: ExperimentConfig, run_at: str | None = N
     return uplift_overlay(cohort, cfg, orders.schema, sample_values(orders, unruled_columns(orders.schema)))
 
 
-def overlay_summary(overlay: DataFrame, cfg: ExperimentConfig) -> DataFrame:
-    """Per experiment: rows created and distinct users."""
-    return overlay.groupBy("experiment_name").agg(
-        F.count(F.lit(1)).alias("rows_created"),
-        F.countDistinct("user_id").alias("unique_users"),
-    ).select(
-        "experiment_name",
-        F.lit(f"synthetic_{cfg.name}_orders").alias("table_name"),
-        "rows_created", "unique_users", F.lit("success").alias("status"),
-    )
+OVERLAY_RUN_SCHEMA = "experiment_name string, table_name string, rows_created long, unique_users long, status string, error string"
+
+
+def run_overlays(orders: DataFrame, configs, home: str, run_at: str | None = None) -> DataFrame:
+    """Production run over several experiments (S25): each overlay is built and
+    written by itself, rows are counted by the write, and one that fails is
+    recorded and does not stop the others.  One row per experiment; the loop is
+    over configurations, the work of each is one Spark job."""
+    spark = orders.sparkSession
+    done = []
+    for cfg in configs:
+        table = f"synthetic_{cfg.name}_orders"
+        path, seen = f"{home}/{table}", Observation(f"overlay {cfg.name}")
+        try:
+            overlay_for(orders, cfg, run_at).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+            users = spark.read.parquet(path).select("user_id").distinct().count()
+            done.append((cfg.name, table, seen.get["rows"], users, "success", None))
+        except (PySparkException, Py4JError, ValueError, ArithmeticError) as error:
+            done.append((cfg.name, table, 0, 0, "failed", f"{type(error).__name__}: {error}".splitlines()[0][:300]))
+    return spark.createDataFrame(done, OVERLAY_RUN_SCHEMA)
 
 
 # ---------------------------------------------------------------------------

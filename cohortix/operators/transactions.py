@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortix.functions.dates import calendar_days, ts_lit
-from cohortix.functions.jsonx import PARSED, discovered_paths, json_scalar, parse_once, typed_fields
+from cohortix.functions.jsonx import PARSED, discovered_paths, json_scalar, parse_once, scalar_text, typed_fields
+from cohortix.sources.ingest import scratch_path
 
 TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -62,33 +63,51 @@ def unique_customer_id() -> F.Column:
     return F.md5(F.concat(*[F.col(c) for c in CUSTOMER_KEY_PARTS]))
 
 
+def transaction_order() -> F.Column:
+    """Number that sorts transactions by time and then by the first 64 bits of
+    their key.  Unlike a struct with text in it, it fits the buffer of a hash
+    aggregate."""
+    micros = F.unix_micros(F.col("transaction_timestamp").cast("timestamp")).cast("decimal(18,0)")
+    high = F.conv(F.substring("unique_transaction_id", 1, 16), 16, 10).cast("decimal(20,0)")
+    return (micros * F.lit("1" + 20 * "0").cast("decimal(21,0)") + F.coalesce(high, F.lit(0).cast("decimal(20,0)"))).cast("decimal(38,0)")
+
+
 def first_transaction(staged: DataFrame) -> DataFrame:
     """Per customer: first timestamp and the tenure at it, over rows with a
     tenure (ties broken by the repaired key).  Conditional aggregates instead
     of a pre-filter: the predicate would otherwise be pushed beneath the JSON
-    parse and evaluated on the raw text.  Partial/final hash aggregate:
-    skew-safe."""
+    parse and evaluated on the raw text.  Partial and final hash aggregate, so a
+    hot customer is combined map-side."""
     has = F.col("customer_tenure_days").isNotNull()
     agg = staged.groupBy("customer_id").agg(
         F.min(F.when(has, F.col("transaction_timestamp"))).alias("first_customer_transaction_date"),
-        F.min_by("customer_tenure_days", F.when(has, F.struct("transaction_timestamp", "unique_transaction_id")))
-        .alias("first_customer_tenure"),
+        F.min_by("customer_tenure_days", F.when(has, transaction_order())).alias("first_customer_tenure"),
     )
     return agg.filter(F.col("first_customer_transaction_date").isNotNull())
 
 
+def store_staged(staged: DataFrame) -> DataFrame:
+    """The staged transactions as a table in the shared folder: their JSON is
+    parsed once, at this write, however often they are read.  The table is not
+    bucketed by customer: a bucket is read by one task, and a customer may hold
+    a third of the rows."""
+    path = scratch_path(staged.sparkSession, "staged")
+    staged.write.parquet(path)
+    return staged.sparkSession.read.schema(staged.schema).parquet(path)
+
+
 def tenure_adjusted(staged: DataFrame) -> DataFrame:
     """Growing tenure = first tenure + calendar days since first transaction.
 
+    ``staged`` is read twice, so hand in a stored table (:func:`store_staged`).
     Aggregate + inner join (customers with only null tenure drop out, as in
     the source).  The aggregate side has one row per customer, so AQE may
     broadcast it when small and otherwise splits skewed customers on the
     large side."""
-    bs = staged.withColumn("unique_customer_id", unique_customer_id())
-    cft = first_transaction(bs)
+    opening = first_transaction(staged)
     days = calendar_days(F.col("transaction_timestamp"), F.col("first_customer_transaction_date"))
-    return bs.join(cft, "customer_id", "inner").select(
-        *[F.col(c) for c in bs.columns],
+    return staged.withColumn("unique_customer_id", unique_customer_id()).join(opening, "customer_id", "inner").select(
+        *staged.columns, "unique_customer_id",
         "first_customer_transaction_date", "first_customer_tenure",
         days.alias("days_from_first_transaction"),
         (F.col("first_customer_tenure") + days).alias("adjusted_customer_tenure"),
@@ -107,13 +126,20 @@ def completeness(flat: DataFrame, columns=("transaction_id", "customer_id", "amo
 
 
 def json_value_counts(raw: DataFrame, key: str, json_column: str = "json_body") -> DataFrame:
-    v = json_scalar(json_column, key)
-    return raw.filter(v.isNotNull()).groupBy(v.alias(key)).agg(F.count(F.lit(1)).alias("count"))
+    """Values are extracted once, in a projection that stays one as they are used
+    several times.  Rows are counted by the text found; texts that are no scalar
+    count nothing and are dropped by that count, as a filter on the text would be
+    pushed below the projection and extract it again."""
+    found = raw.select(F.get_json_object(json_column, f"$.{key}").alias("found"))
+    counts = found.groupBy("found").agg(F.count(scalar_text(F.col("found"))).alias("count"))
+    return counts.filter("count > 0").select(F.col("found").alias(key), "count")
 
 
 def json_field_presence(raw: DataFrame, key: str, json_column: str = "json_body") -> DataFrame:
-    v = F.get_json_object(F.col(json_column), f"$.{key}")
-    return raw.filter(v.isNotNull()).select(unique_txn_id().alias("unique_transaction_id"), v.alias(key))
+    """The field travels in a one-element array that is empty without it, so that
+    text is extracted once for the test and the result."""
+    found = F.array_compact(F.array(F.get_json_object(F.col(json_column), f"$.{key}")))
+    return raw.select(unique_txn_id().alias("unique_transaction_id"), F.explode(found).alias(key))
 
 
 # Fixed calendar days named by the volume test of the source system.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from cohortix.functions.dates import in_window, in_window_halfopen
@@ -11,6 +13,7 @@ from cohortix.params import RUN_AT, ExperimentConfig
 from cohortix.plans import sqlfrag as Q
 from cohortix.plans.registry import query
 from cohortix.sources import fixtures as fx
+from cohortix.sources.ingest import scratch_path
 
 CFG = ExperimentConfig()
 W = CFG.window
@@ -169,12 +172,19 @@ def cohort_cap(spark, sf_dir):
     return X.cohort_cap_summary(_flow(spark, sf_dir, "assignments"), CFG)
 
 
+#: an experiment that cannot be built: its window has no last day
+BROKEN = replace(CFG, name="open_ended_test", window=replace(W, experiment_end="open"))
+
+
 @query("overlay_summary", Q.experiment_flow(CFG, "overlay") + f"""
-SELECT experiment_name, 'synthetic_{CFG.name}_orders' AS table_name, count(*) AS rows_created,
-       count(DISTINCT user_id) AS unique_users, 'success' AS status
-FROM overlay GROUP BY experiment_name""")
+SELECT '{CFG.name}' AS experiment_name, 'synthetic_{CFG.name}_orders' AS table_name, count(*) AS rows_created,
+       count(DISTINCT user_id) AS unique_users, 'success' AS status, NULL AS error_kind
+FROM overlay
+UNION ALL SELECT '{BROKEN.name}', 'synthetic_{BROKEN.name}_orders', 0, 0, 'failed', 'ValueError'""")
 def overlay_summary(spark, sf_dir):
-    return X.overlay_summary(_flow(spark, sf_dir, "overlay"), CFG)
+    """A run over two experiments, of which one cannot be built."""
+    run = X.run_overlays(fx.orders(spark, sf_dir), (BROKEN, CFG), scratch_path(spark, "overlays"), RUN_AT)
+    return run.withColumn("error_kind", F.split("error", ":")[0]).drop("error")
 
 
 # ---------------------------------------------------------------------------

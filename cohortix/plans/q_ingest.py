@@ -61,15 +61,66 @@ def ndjson_roundtrip(spark, sf_dir):
     return I.read_ndjson(spark, path, I.ENVELOPE_SCHEMA)
 
 
+@query("ndjson_evolution", """
+SELECT event_id, CASE WHEN event_id % 2 = 0 THEN CAST(floor(value) AS DOUBLE) ELSE CAST(value AS DOUBLE) END AS amount,
+       CASE WHEN event_id % 2 = 0 THEN CAST(user_id AS VARCHAR) ELSE event_type END AS tag,
+       CASE WHEN event_id % 2 = 1 THEN event_type END AS channel,
+       CASE WHEN event_id % 2 = 1 THEN user_id % 7 END AS nested_step
+FROM events""")
+def ndjson_evolution(spark, sf_dir):
+    """Two appends read back with an inferred schema: the second widens ``amount``
+    from whole numbers to fractions, turns ``tag`` from a number into text, and
+    brings ``channel`` and a nested field."""
+    path = I.scratch_path(spark, "evolving")
+    ev = fx.load(spark, sf_dir, "events")
+    first = ev.filter("event_id % 2 = 0").select("event_id", F.floor("value").alias("amount"), F.col("user_id").alias("tag"))
+    second = ev.filter("event_id % 2 = 1").select(
+        "event_id", F.col("value").alias("amount"), F.col("event_type").alias("tag"), F.col("event_type").alias("channel"),
+        F.struct((F.col("user_id") % 7).alias("step")).alias("nested"))
+    I.append_ndjson(first, path)
+    I.append_ndjson(second, path)
+    back = I.read_ndjson(spark, path)
+    return back.select("event_id", "amount", "tag", "channel", F.col("nested.step").alias("nested_step"))
+
+
 @query("table_replace", RAW + "\nSELECT * FROM src_raw")
 def table_replace(spark, sf_dir):
+    """A table with other rows and another column is replaced as a whole."""
     path = I.scratch_path(spark, "replace")
     raw = fx.raw_transactions(spark, sf_dir, RUN_AT)
-    I.replace_table(raw.limit(0), path)  # an earlier, different table state
+    I.replace_table(raw.withColumn("old", F.lit(1)).withColumn("json_body", F.lit("{}")), path)
     I.replace_table(raw, path)
     return spark.read.parquet(path)
 
 
+@query("body_parse", LANDED.replace("event_type FROM", "event_type, event_id, user_id FROM") + """,
+judged AS (SELECT value, user_id % 3 AS form, event_type = 'error' AS broken, event_id FROM landed),
+kept AS (SELECT event_id, value FROM judged WHERE NOT broken)
+SELECT json_extract_string(value, '$._timestamp') AS event_time, json_extract_string(value, '$.customer_id') AS customer_id,
+       (SELECT count(*) FROM judged WHERE NOT broken) AS records, (SELECT count(*) FROM judged WHERE broken) AS bad
+FROM kept""")
+def body_parse(spark, sf_dir):
+    """Landed bodies in the three forms, one a user and day: event streams, arrays,
+    single objects over several lines; records of error events are cut short."""
+    ev = fx.load(spark, sf_dir, "events")
+    record = fx.txn_json(ev)
+    rows = ev.select((F.col("user_id") % 3).alias("form"), "user_id", F.to_date("ts").alias("d"), "event_id",
+                     F.when(F.col("event_type") == "error", F.substring(record, 1, 40)).otherwise(record).alias("r"),
+                     (F.col("event_type") == "error").alias("broken"))
+    listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", "r"))), lambda x: F.concat(F.lit("event: transaction\ndata: "), x["r"])), "\n\n")
+    streams = rows.filter("form = 0").groupBy("user_id", "d").agg(listed.alias("value")).select("value")
+    inside = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", "r"))), lambda x: x["r"]), ",\n  ")
+    # a record that is cut short would spoil its array: it arrives as a body of its own
+    arrays = rows.filter("form = 1 AND NOT broken").groupBy("user_id", "d").agg(F.concat(F.lit("[\n  "), inside, F.lit("\n]")).alias("value")).select("value")
+    single = rows.filter("form = 2 OR form = 1 AND broken").select(F.concat(F.lit("  "), F.replace("r", F.lit(',"customer_id"'), F.lit(',\n  "customer_id"')), F.lit("\n")).alias("value"))
+    records, seen = I.parse_body(streams.unionByName(arrays).unionByName(single))
+    path = I.scratch_path(spark, "bodies")
+    records.write.parquet(path)
+    out = spark.read.parquet(path).select(
+        F.get_json_object("record", "$._timestamp").alias("event_time"), F.get_json_object("record", "$.customer_id").alias("customer_id"))
+    return out.withColumns({k: F.lit(seen.get[k]).cast("long") for k in ("records", "bad")})
+
+
 def _written_stg(spark, sf_dir):
     path = I.scratch_path(spark, "bnpl")
     staged = B.stg_transactions(fx.raw_transactions(spark, sf_dir, RUN_AT), None, RUN_AT)

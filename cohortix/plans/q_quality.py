@@ -111,7 +111,7 @@ TENURE_BOUNDS = (("first_customer_tenure", 0, 10000), ("days_from_first_transact
     f"SELECT unique_transaction_id, '{c}' AS column_name, CAST({c} AS DOUBLE) AS value FROM tenure "
     f"WHERE {c} IS NOT NULL AND ({c} < {lo} OR {c} > {hi})" for c, lo, hi in TENURE_BOUNDS))
 def dq_between(spark, sf_dir):
-    t = B.tenure_adjusted(_faulty_stg(spark, sf_dir))
+    t = B.tenure_adjusted(B.store_staged(_faulty_stg(spark, sf_dir)))
     return D.rule_violations(t, "unique_transaction_id", [D.range_rule(c, lo, hi) for c, lo, hi in TENURE_BOUNDS])
 
 

@@ -50,19 +50,21 @@ stg AS (
   {Q.ts(RUN_AT)} AS _loaded_at
   FROM src_raw)"""
 
+# the row that opens a customer's record: the earliest of those with a tenure
 TENURE = STG + """,
-bs AS (SELECT *, md5(customer_age_bracket || customer_credit_score_range || customer_id || customer_income_bracket
-                     || customer_state) AS unique_customer_id FROM stg),
-cft AS (SELECT customer_id, min(transaction_timestamp) AS first_customer_transaction_date,
-               arg_min(customer_tenure_days, (transaction_timestamp, unique_transaction_id)) AS first_customer_tenure
-        FROM bs WHERE customer_tenure_days IS NOT NULL GROUP BY customer_id),
+numbered AS (
+  SELECT customer_id, transaction_timestamp, customer_tenure_days,
+         row_number() OVER (PARTITION BY customer_id ORDER BY transaction_timestamp, unique_transaction_id) AS place
+  FROM stg WHERE customer_tenure_days IS NOT NULL),
+opening AS (
+  SELECT customer_id, transaction_timestamp AS first_customer_transaction_date, customer_tenure_days AS first_customer_tenure
+  FROM numbered WHERE place = 1),
 tenure AS (
-  SELECT bs.*, cft.first_customer_transaction_date, cft.first_customer_tenure,
-         CAST(date_diff('day', CAST(cft.first_customer_transaction_date AS DATE), CAST(bs.transaction_timestamp AS DATE)) AS INTEGER)
-           AS days_from_first_transaction,
-         cft.first_customer_tenure + CAST(date_diff('day', CAST(cft.first_customer_transaction_date AS DATE),
-           CAST(bs.transaction_timestamp AS DATE)) AS INTEGER) AS adjusted_customer_tenure
-  FROM bs JOIN cft ON bs.customer_id = cft.customer_id)"""
+  SELECT stg.*, md5(customer_age_bracket || customer_credit_score_range || customer_id || customer_income_bracket || customer_state) AS unique_customer_id,
+         opening.* EXCLUDE (customer_id),
+         CAST(CAST(transaction_timestamp AS DATE) - CAST(first_customer_transaction_date AS DATE) AS INTEGER) AS days_from_first_transaction,
+         first_customer_tenure + days_from_first_transaction AS adjusted_customer_tenure
+  FROM stg JOIN opening USING (customer_id))"""
 
 
 @query("raw_transactions", RAW + "\nSELECT * FROM src_raw")
@@ -125,14 +127,14 @@ def unique_customer_id(spark, sf_dir):
     return _stg(spark, sf_dir).select("customer_id", B.unique_customer_id().alias("unique_customer_id")).distinct()
 
 
-@query("first_value_by_key", TENURE + "\nSELECT * FROM cft")
+@query("first_value_by_key", TENURE + "\nSELECT * FROM opening")
 def first_value_by_key(spark, sf_dir):
     return B.first_transaction(_stg(spark, sf_dir))
 
 
 @query("tenure_adjusted", TENURE + "\nSELECT * FROM tenure")
 def tenure_adjusted(spark, sf_dir):
-    return B.tenure_adjusted(_stg(spark, sf_dir))
+    return B.tenure_adjusted(B.store_staged(_stg(spark, sf_dir)))
 
 
 @query("daily_counts", RAW + """

@@ -94,20 +94,27 @@ def sse_records(lines: DataFrame, column: str = "value") -> DataFrame:
     return data.select("record", F.try_parse_json("record").isNotNull().alias("valid"))
 
 
-def parse_body(bodies: DataFrame, column: str = "value") -> DataFrame:
-    """Whole response bodies: event-stream when ``data: `` occurs, otherwise
-    a JSON array or a single object.  One output row per record."""
+def parse_body(bodies: DataFrame, column: str = "value") -> tuple[DataFrame, Observation]:
+    """Whole response bodies, of many lines or one: an event stream when a line
+    starts with ``data: ``, otherwise a JSON array or a single object.
+
+    One row per record, with the other columns of the body.  What does not parse
+    (a data line, an element, or a body as a whole) is left out and counted, with
+    the records, in the same pass: the observation has ``records`` and ``bad``
+    once an action has run over the rows."""
     body = F.col(column)
-    lines = F.split(body, "\n")
-    sse = F.transform(
-        F.filter(lines, lambda ln: F.trim(ln).startswith("data: ")),
-        lambda ln: F.substr(F.trim(ln), F.lit(7)),
-    )
-    as_array = F.from_json(body, "array<string>")
-    plain = F.when(F.ltrim(body).startswith("["), as_array).otherwise(F.array(body))
-    records = F.when(body.contains("data: "), sse).otherwise(plain)
-    out = bodies.select(F.explode(records).alias("record"))
-    return out.filter(F.try_parse_json("record").isNotNull())
+    data = F.filter(F.split(body, "\r?\n"), lambda line: F.ltrim(line).startswith("data: "))
+    stream = F.transform(data, lambda line: F.substr(F.trim(line), F.lit(7)))
+    # an array that is cut short has no elements: the body is one bad record
+    elements = F.coalesce(F.from_json(body, "array<string>", {"mode": "PERMISSIVE"}), F.array(F.lit(None).cast("string")))
+    whole = F.when(F.ltrim(body).startswith("["), elements).otherwise(F.array(F.trim(body)))
+    records = F.when(F.size(data) > 0, stream).otherwise(whole)
+    rest = [c for c in bodies.columns if c != column]
+    rows = bodies.filter(body.isNotNull() & (F.trim(body) != "")).select(*rest, F.explode(records).alias("record"))
+    rows = rows.withColumn("_good", F.try_parse_json("record").isNotNull())
+    seen = Observation("bodies")
+    rows = rows.observe(seen, F.count_if("_good").alias("records"), F.count_if(~F.col("_good")).alias("bad"))
+    return rows.filter("_good").drop("_good"), seen
 
 
 # ---------------------------------------------------------------------------
@@ -169,8 +176,10 @@ def append_ndjson(df: DataFrame, path: str) -> None:
 
 
 def read_ndjson(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """Newline JSON; with ``schema`` None the schema is inferred (and merged
-    across appended files) by a distributed pass."""
+    """Newline JSON; with ``schema`` None the schema is inferred by a distributed
+    pass over all files: fields that later appends brought are null in earlier
+    rows, whole numbers beside fractions become doubles, and what conflicts
+    otherwise becomes text."""
     reader = spark.read.options(**JSON_TS)
     if schema:
         reader = reader.schema(schema)

@@ -49,3 +49,14 @@ def test_top_n_broadcasts_only_the_bounded_histogram(spark):
     for seg in segments:  # each broadcast side is the running-count histogram
         head = "\n".join(seg.splitlines()[:4])
         assert "_cum" in head or "_before" in head, head
+
+
+def test_transactions_parse_once_and_hash_aggregate(spark):
+    from cohortix.plans import catalog
+
+    plan = lambda key: catalog.queries()[key](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    for key in ("first_value_by_key", "tenure_adjusted", "dq_between"):
+        assert "SortAggregate" not in plan(key) and plan(key).count("from_json") <= 1, key
+    assert "from_json" not in plan("tenure_adjusted")
+    # seven of the fixture's own text, one of the key, in one place
+    assert plan("json_value_counts").count("get_json_object") == 8
