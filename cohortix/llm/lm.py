@@ -39,6 +39,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,27 +57,29 @@ ROUNDS = 2
 RATE, CLIP, BASE_SHARE = 0.01, 5.0, 0.05
 
 
-def _totals(pages) -> dict[bytes, int]:
-    """Training count of every distinct word of a bucket; one page is open at a time."""
-    total: dict[bytes, int] = {}
-    for _, words, counts in pages:
-        for w, c in zip(page_words(words), page_counts(counts).tolist(), strict=True):
-            total[w] = total.get(w, 0) + c
-    return total
+def _totals(pages) -> tuple[pa.Array, np.ndarray, np.ndarray, list[int]]:
+    """Distinct words of a bucket, their training counts, the place among them of
+    each word of the pages, and the sizes of the pages."""
+    words = [pc.split_pattern(pa.array([unsqueeze(w)], pa.binary()), b"\n").flatten() for _, w, _ in pages]
+    coded = pa.concat_arrays(words).dictionary_encode()
+    place = coded.indices.to_numpy()
+    total = np.zeros(len(coded.dictionary), np.int64)
+    np.add.at(total, place, np.concatenate([page_counts(c) for _, _, c in pages]))
+    return coded.dictionary, total, place, [len(w) for w in words]
 
 
 def _count_words(bucket, pages):
-    seen = {w: c for w, c in _totals(pages).items() if c}
-    if seen:
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen)).cast(pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "c"])
+    words, total, _, _ = _totals(pages)
+    seen = total > 0
+    if seen.any():
+        yield pa.RecordBatch.from_arrays([words.filter(pa.array(seen)).cast(pa.string()), pa.array(total[seen])], ["word", "c"])
 
 
 def _answer_counts(bucket, pages):
     """Training count of every word of a page."""
-    total = _totals(pages)
-    for block, words, _ in pages:
-        own = page_words(words)
-        yield answer_batch(block, bucket, squeeze(np.fromiter(map(total.__getitem__, own), np.int64, len(own)).tobytes(), 3))
+    _, total, place, sizes = _totals(pages)
+    for (block, _, _), own in zip(pages, np.split(place, np.cumsum(sizes)[:-1]), strict=True):
+        yield answer_batch(block, bucket, squeeze(total[own].tobytes(), 3))
 
 
 class Vocabulary:

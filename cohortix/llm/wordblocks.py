@@ -15,7 +15,9 @@ one answer per word.  A frequent word has one row per block, so no word is hot.
 from __future__ import annotations
 
 import zlib
+from collections import defaultdict
 from collections.abc import Callable
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,8 @@ from pyspark.sql import functions as F
 from cohortix.llm.common import stored
 
 BLOCK_BYTES = 32 << 20
+#: text that is split at once
+_PIECE_BYTES = 4 << 20
 #: input for each bucket of words
 BUCKET_BYTES = 64 << 20
 
@@ -97,12 +101,9 @@ def _words(texts: pa.Array, fold: bool) -> tuple[np.ndarray, pa.Array]:
 
 
 def _blocks(fold: bool, buckets: int, block_bytes: int, level: int = 7):
-    def made(block: int, docs: list) -> pa.RecordBatch:
-        coded = pa.concat_arrays([d[3] for d in docs]).dictionary_encode()
-        ids, listed = coded.indices.to_numpy(), coded.dictionary.cast(pa.binary()).to_pylist()
-        sizes, flags = np.concatenate([d[2] for d in docs]), np.concatenate([d[1] for d in docs])
-        docs_ids = [i for d in docs for i in d[0]]
-        docs.clear()
+    def made(block: int, table: dict, docs: list) -> pa.RecordBatch:
+        ids, sizes, flags = (np.concatenate([d[k] for d in docs]) for k in (3, 2, 1))
+        listed, docs_ids = list(table), [i for d in docs for i in d[0]]
         order = np.argsort(-np.bincount(ids, minlength=len(listed)), kind="stable")
         rank = np.empty(len(order), np.int32)
         rank[order] = np.arange(len(order), dtype=np.int32)
@@ -115,31 +116,33 @@ def _blocks(fold: bool, buckets: int, block_bytes: int, level: int = 7):
             text = squeeze(b"\n".join([words[i] for i in at.tolist()]), level)
             pages.append({"bucket": int(b), "words": text, "counts": squeeze(counts[at].tobytes(), level)})
         row = [block, docs_ids, flags, sizes.astype(np.int32), squeeze(pack(rank[ids]), level), squeeze(bucket.tobytes(), level), pages]
-        del coded, listed, words
         pa.default_memory_pool().release_unused()
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _ARROW.types, strict=True)], schema=_ARROW)
 
     def run(batches):
         part, serial = TaskContext.get().partitionId(), 0
-        docs, size = [], 0
+        table, docs, size = defaultdict(count().__next__), [], 0
         for batch in batches:
-            lengths = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
-            at = 0
+            lengths, at = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False), 0
             while at < len(lengths):
-                # as many texts as the block has room for, one at least
-                room = np.searchsorted(np.cumsum(lengths[at:]), block_bytes - size, "right")
-                if not room and docs:
-                    yield made((part << 24) + serial, docs)
-                    docs, size, serial = [], 0, serial + 1
+                # as many texts as a piece and the block have room for, one at least
+                room = int(np.searchsorted(np.cumsum(lengths[at:]), min(_PIECE_BYTES, block_bytes - size), "right"))
+                if not room and docs and size + lengths[at] > block_bytes:
+                    yield made((part << 24) + serial, table, docs)
+                    table, docs, size, serial = defaultdict(count().__next__), [], 0, serial + 1
                     continue
-                some = batch.slice(at, max(1, int(room)))
+                some = batch.slice(at, max(1, room))
                 n, words = _words(some.column("text"), fold)
+                coded = words.dictionary_encode()
+                # words of the piece that differ are looked up once in the block's table
+                own = coded.dictionary.cast(pa.binary()).to_pylist()
+                number = np.fromiter(map(table.__getitem__, own), np.int32, len(own))
                 flags = np.array([bool(f) for f in some.column("flag").to_pylist()], bool)
-                docs.append((some.column("doc_id").to_pylist(), flags, n, words))
+                docs.append((some.column("doc_id").to_pylist(), flags, n, number[coded.indices.to_numpy()]))
                 size += int(lengths[at : at + len(some)].sum())
                 at += len(some)
         if docs:
-            yield made((part << 24) + serial, docs)
+            yield made((part << 24) + serial, table, docs)
 
     return run
 
