@@ -230,8 +230,8 @@ def write_day_partitioned(staged: DataFrame, path: str, ts_column: str = "transa
     filter on the stored table, so a load reads and rewrites its own days only.
     Rows stored for them stay unless the batch brings the same :func:`merge_id`
     again: a late load adds to its days, and a rerun changes nothing, rows
-    without a key included.  A batch whose ``days`` are not given is staged once
-    to find them; one that is a stored table already need not be.  Merged days
+    without a key included.  A later batch whose ``days`` are not given is staged
+    once to find them; one that is a stored table already need not be.  Merged days
     are read and replaced in one job: with dynamic partition overwrite Spark
     moves them in place after the job, when they have been read.  Days are
     rebalanced before the write, so a hot day is split and small ones are joined.
@@ -241,13 +241,13 @@ def write_day_partitioned(staged: DataFrame, path: str, ts_column: str = "transa
     cols = [c for c in cluster if c in staged.columns]
     if key not in staged.columns:
         raise ValueError(f"a day-partitioned load needs the column {key}")
-    out = staged.withColumn("d", F.to_date(ts_column))
-    if days is None:
+    out, stored = staged.withColumn("d", F.to_date(ts_column)), stored_table(spark, path)
+    if days is None and stored is not None:
         batch = scratch_path(spark, "day-batch")
         out.write.parquet(batch)
         out = spark.read.parquet(batch)
         days = [r["d"] for r in out.select("d").distinct().collect()]
-    batch, stored = out, stored_table(spark, path)
+    batch = out
     out = out.observe(obs, F.count(F.lit(1)).alias("rows_written"))
     if stored is not None:
         earlier = in_days(stored, days)
@@ -256,7 +256,10 @@ def write_day_partitioned(staged: DataFrame, path: str, ts_column: str = "transa
         out = out.unionByName(earlier, allowMissingColumns=True)
     out = out.hint("rebalance", "d").sortWithinPartitions("d", *cols)
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("d").parquet(path)
-    return DayWrite(tuple(days), obs.get["rows_written"])
+    if days is None:  # the first load: its days are those of the table
+        written = stored_table(spark, path)
+        days = [] if written is None else [r["d"] for r in written.select("d").distinct().collect()]
+    return DayWrite(tuple(days), obs.get["rows_written"] if days else 0)
 
 
 def read_partitioned(spark: SparkSession, path: str, start: str | None, end: str | None) -> DataFrame:

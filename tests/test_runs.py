@@ -87,6 +87,7 @@ def test_rows_without_a_key_are_neither_doubled_nor_lost(spark, tmp_path):
     schema = "unique_transaction_id string, transaction_timestamp timestamp_ntz, status string, _ingestion_timestamp timestamp_ntz"
     at = dt.datetime(2024, 1, 1)
     rows = lambda values, run: spark.createDataFrame([(None, at, v, dt.datetime(2024, 2, run)) for v in values], schema)
+    assert I.write_day_partitioned(rows("", 1), path).days == ()  # nothing landed
     I.write_day_partitioned(rows("aab", 1), path)
     I.write_day_partitioned(rows("aab", 2), path)  # a rerun
     I.write_day_partitioned(rows("c", 3), path)  # late
