@@ -180,24 +180,42 @@ def _by_row(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def _signs(p: dict) -> np.ndarray:
+    """-1 for the two sigmoid gates, which are made of exp(-x), 1 for the third."""
+    return np.repeat(np.array([-1, 1], p["wx"].dtype), [2 * HIDDEN, HIDDEN])
+
+
+def _gates(p: dict, vectors: np.ndarray) -> np.ndarray:
+    """What words with these vectors give the gates, signs of :func:`recur` included."""
+    sign = _signs(p)
+    return vectors @ (p["wx"] * sign) + p["b"] * sign
+
+
 def recur(p: dict, x: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: bool, marks: np.ndarray | None = None, vectors: np.ndarray | None = None):
     """States after each step (steps x lanes x hidden), and what backward needs.
-    With ``vectors`` the words read are rows ``x`` of them.
+    With ``vectors`` rows ``x`` of them are what the words read give the gates
+    (see :func:`_gates`).
 
     Inside, lanes run along the last axis, so that every gate is one run of memory."""
     n = HIDDEN
-    e = _read(p, x, marks) if vectors is None else vectors[x.ravel()]
-    read, wh = (e @ p["wx"] + p["b"]).reshape(*x.shape, 3 * n), np.ascontiguousarray(p["wh"].T)
+    sign = _signs(p)
+    wh, starts = np.ascontiguousarray((p["wh"] * sign).T), fresh.any(axis=1).tolist()
+    if vectors is None:
+        e = _read(p, x, marks)
+        read = e @ (p["wx"] * sign)
+        read += p["b"] * sign
+    else:
+        read = vectors[x.ravel()]
+    read = read.reshape(*x.shape, 3 * n)
     states, tape = np.empty((*x.shape, n), read.dtype), []
     h = np.ascontiguousarray(h.T)
     for t in range(len(x)):
-        if fresh[t].any():
+        if starts[t]:
             h = np.where(fresh[t], np.float32(0), h)
         g = wh @ h
         own = np.ascontiguousarray(read[t].T)
         zr = own[: 2 * n]
         zr += g[: 2 * n]
-        np.negative(zr, out=zr)
         np.exp(zr, out=zr)
         zr += np.float32(1)
         np.reciprocal(zr, out=zr)
@@ -304,7 +322,7 @@ def _backward(p: dict, x: np.ndarray, fresh: np.ndarray, tape: list, d_states: n
     n, wh = HIDDEN, p["wh"]
     d_gates = np.empty((len(x), 3 * n, x.shape[1]), d_states.dtype)
     d_states = np.ascontiguousarray(d_states.transpose(0, 2, 1))
-    d_wh = np.zeros(wh.T.shape, wh.dtype)
+    d_reset, starts = np.empty_like(d_states), fresh.any(axis=1).tolist()
     d_h = np.zeros_like(d_states[0])
     for t in range(len(x) - 1, -1, -1):
         h, z, r, c, gc = tape[t]
@@ -320,14 +338,14 @@ def _backward(p: dict, x: np.ndarray, fresh: np.ndarray, tape: list, d_states: n
         own[2 * n :] = d_r
         np.multiply(d_r, gc, out=own[n : 2 * n])
         own[n : 2 * n] *= 1 - r
-        d_wh += own @ h.T
         d_h = wh @ own
         d_h += keep
-        if fresh[t].any():
+        if starts[t]:
             d_h = np.where(fresh[t], np.float32(0), d_h)
+        d_reset[t] = d_r
         own[2 * n :] = d_c
-    grad["wh"] = d_wh.T
-    flat = np.ascontiguousarray(d_gates.transpose(0, 2, 1)).reshape(-1, 3 * n)
+    flat, reset, before = (np.ascontiguousarray(a.transpose(0, 2, 1)).reshape(-1, a.shape[1]) for a in (d_gates, d_reset, np.stack([t[0] for t in tape[:-1]])))
+    grad["wh"] = np.concatenate([before.T @ flat[:, : 2 * n], before.T @ reset], axis=1)
     grad["wx"], grad["b"] = tape[-1].T @ flat, np.ones(len(flat), flat.dtype) @ flat
     d_read = flat @ p["wx"].T
     grad["emb"], grad["mark"] = _by_row(x.ravel(), d_read, len(p["emb"])), np.zeros_like(p["mark"])
@@ -446,7 +464,7 @@ def log_probability(p: dict, voc: Vocabulary, tokens, sizes, type_, within, base
     new, old = np.log(1 - BASE_SHARE), np.log(BASE_SHARE)
     vectors = None
     if marks is not None:  # of each word once, and last of the start
-        vectors = np.concatenate([_read(p, type_, marks[:, None]), p["emb"][voc.start :]])
+        vectors = _gates(p, np.concatenate([_read(p, type_, marks[:, None]), p["emb"][voc.start :]]))
         before = tokens[token[:-1]]
         x[0], x[1:] = len(type_), np.where(fresh[1:] | (token[:-1] < 0), len(type_), before)
     for here in windows(*x.shape):

@@ -15,9 +15,7 @@ one answer per word.  A frequent word has one row per block, so no word is hot.
 from __future__ import annotations
 
 import zlib
-from collections import defaultdict
 from collections.abc import Callable
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -100,49 +98,55 @@ def _words(texts: pa.Array, fold: bool) -> tuple[np.ndarray, pa.Array]:
     return np.diff(np.r_[0, np.cumsum(some.to_numpy(zero_copy_only=False))][offsets]), words.filter(some)
 
 
+def _lines(words: pa.Array) -> bytes:
+    """Words, which hold no line feed, in lines."""
+    return pc.binary_join(pa.LargeListArray.from_arrays([0, len(words)], words), b"\n")[0].as_py()
+
+
 def _blocks(fold: bool, buckets: int, block_bytes: int, level: int = 7):
-    def made(block: int, table: dict, docs: list) -> pa.RecordBatch:
-        ids, sizes, flags = (np.concatenate([d[k] for d in docs]) for k in (3, 2, 1))
-        listed, docs_ids = list(table), [i for d in docs for i in d[0]]
+    def made(block: int, docs: list) -> pa.RecordBatch:
+        sizes, flags = (np.concatenate([d[k] for d in docs]) for k in (2, 1))
+        # pieces share one table of words, in the order of their first occurrence
+        coded = pa.chunked_array([d[3] for d in docs]).unify_dictionaries()
+        listed, docs_ids = coded.chunk(0).dictionary, [i for d in docs for i in d[0]]
+        ids = np.concatenate([c.indices.to_numpy() for c in coded.chunks])
         order = np.argsort(-np.bincount(ids, minlength=len(listed)), kind="stable")
         rank = np.empty(len(order), np.int32)
         rank[order] = np.arange(len(order), dtype=np.int32)
         counts = np.bincount(ids[np.repeat(flags, sizes)], minlength=len(listed))[order].astype(np.uint32)
-        words = [listed[i] for i in order.tolist()]
+        listed = listed.take(pa.array(order)).cast(pa.binary())
+        words = _lines(listed).split(b"\n") if len(listed) else []
         bucket = (np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets).astype(np.uint16)
+        place = np.argsort(bucket, kind="stable")
+        edges = np.flatnonzero(np.diff(bucket[place], prepend=-1, append=-1))
         pages = []
-        for b in np.unique(bucket):
-            at = np.flatnonzero(bucket == b)
-            text = squeeze(b"\n".join([words[i] for i in at.tolist()]), level)
-            pages.append({"bucket": int(b), "words": text, "counts": squeeze(counts[at].tobytes(), level)})
+        for at in (place[i:j] for i, j in zip(edges[:-1], edges[1:], strict=True)):
+            text = squeeze(_lines(listed.take(pa.array(at))), level)
+            pages.append({"bucket": int(bucket[at[0]]), "words": text, "counts": squeeze(counts[at].tobytes(), level)})
         row = [block, docs_ids, flags, sizes.astype(np.int32), squeeze(pack(rank[ids]), level), squeeze(bucket.tobytes(), level), pages]
         pa.default_memory_pool().release_unused()
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _ARROW.types, strict=True)], schema=_ARROW)
 
     def run(batches):
         part, serial = TaskContext.get().partitionId(), 0
-        table, docs, size = defaultdict(count().__next__), [], 0
+        docs, size = [], 0
         for batch in batches:
             lengths, at = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False), 0
             while at < len(lengths):
                 # as many texts as a piece and the block have room for, one at least
                 room = int(np.searchsorted(np.cumsum(lengths[at:]), min(_PIECE_BYTES, block_bytes - size), "right"))
                 if not room and docs and size + lengths[at] > block_bytes:
-                    yield made((part << 24) + serial, table, docs)
-                    table, docs, size, serial = defaultdict(count().__next__), [], 0, serial + 1
+                    yield made((part << 24) + serial, docs)
+                    docs, size, serial = [], 0, serial + 1
                     continue
                 some = batch.slice(at, max(1, room))
                 n, words = _words(some.column("text"), fold)
-                coded = words.dictionary_encode()
-                # words of the piece that differ are looked up once in the block's table
-                own = coded.dictionary.cast(pa.binary()).to_pylist()
-                number = np.fromiter(map(table.__getitem__, own), np.int32, len(own))
                 flags = np.array([bool(f) for f in some.column("flag").to_pylist()], bool)
-                docs.append((some.column("doc_id").to_pylist(), flags, n, number[coded.indices.to_numpy()]))
+                docs.append((some.column("doc_id").to_pylist(), flags, n, words.dictionary_encode()))
                 size += int(lengths[at : at + len(some)].sum())
                 at += len(some)
         if docs:
-            yield made((part << 24) + serial, table, docs)
+            yield made((part << 24) + serial, docs)
 
     return run
 
