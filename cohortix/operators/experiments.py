@@ -374,20 +374,18 @@ def effect_size(mart: DataFrame) -> DataFrame:
 def experiment_results(assignments: DataFrame, orders: DataFrame, items: DataFrame, cfg: ExperimentConfig,
                        horizon_days: int = 30) -> DataFrame:
     """Per arm: exposed users, converters within horizon after assignment,
-    conversion rate, revenue per exposed user, z against control."""
+    conversion rate, revenue per exposed user, z against control.  Items are read
+    for the orders within the horizon only."""
     asg = assignments.select(
         F.col("object_identifier").cast("bigint").alias("user_id"), "experiment_name", "variant",
         F.to_timestamp_ntz(F.col("assigned_date")).alias("assigned_at"),
     )
-    rev = items.groupBy("order_id").agg(F.sum("sale_price").alias("order_revenue"))
-    od = orders.select("order_id", "user_id", "created_at").join(rev, "order_id", "left")
-    j = asg.join(od, "user_id", "left").filter(
+    j = asg.join(orders.select("order_id", "user_id", "created_at"), "user_id").filter(
         (F.col("created_at") >= F.col("assigned_at"))
         & (F.col("created_at") < F.timestamp_add("DAY", F.lit(horizon_days), F.col("assigned_at")))
-    )
-    per_user = j.groupBy("experiment_name", "variant", "user_id").agg(
-        F.sum("order_revenue").alias("revenue")
-    )
+    ).select("experiment_name", "variant", "user_id", "order_id")
+    per_user = j.join(items.select("order_id", "sale_price"), "order_id", "left").groupBy(
+        "experiment_name", "variant", "user_id").agg(F.sum("sale_price").alias("revenue"))
     exposed = asg.groupBy("experiment_name", "variant").agg(F.count(F.lit(1)).alias("exposed_users"))
     conv = per_user.groupBy("experiment_name", "variant").agg(
         F.count(F.lit(1)).alias("conversions_30d"),

@@ -14,18 +14,35 @@ from pyspark.sql import functions as F
 from cohortix.functions.dates import in_window, ts_lit
 
 
+def user_totals(items: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    """Per user: orders, value, items, first and last time, and how many values
+    each column of ``kinds`` (column -> name) takes.
+
+    Orders are counted as rows of the (user, order) grain; several distinct counts
+    in one aggregate would multiply the rows by their number.  The columns of
+    ``kinds`` are attributes of the product dimension: a user's set holds at most
+    its values and is combined map-side, also for a user with a third of all rows."""
+    per_order = items.groupBy("user_id", "order_id").agg(
+        F.sum("sale_price").alias("value"), F.count(F.lit(1)).alias("items"),
+        F.min("created_at").alias("first_at"), F.max("created_at").alias("last_at"),
+    )
+    totals = per_order.groupBy("user_id").agg(
+        F.count("order_id").alias("n_orders"), F.sum("value").cast("decimal(18,2)").alias("value"),
+        F.sum("items").alias("n_items"), F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"),
+    )
+    sets = items.groupBy(F.col("user_id").alias("_user")).agg(
+        *[F.size(F.collect_set(c)).cast("bigint").alias(name) for c, name in kinds.items()]
+    )
+    return totals.join(sets, totals["user_id"].eqNullSafe(sets["_user"])).drop("_user")
+
+
 def customer_metrics(items: DataFrame, as_of: str) -> DataFrame:
     """Per user over completed order items (the shared intermediate)."""
     it = items.filter(F.col("status") == "Complete")
-    agg = it.groupBy("user_id").agg(
-        F.countDistinct("order_id").alias("lifetime_orders"),
-        F.sum("sale_price").cast("decimal(18,2)").alias("lifetime_value"),
-        F.count(F.lit(1)).alias("lifetime_items"),
-        F.min("created_at").alias("first_order_at"),
-        F.max("created_at").alias("last_order_at"),
-        F.countDistinct("category").alias("categories_purchased"),
-        F.countDistinct("brand").alias("brands_purchased"),
-    )
+    agg = user_totals(it, {"category": "categories_purchased", "brand": "brands_purchased"}).withColumnsRenamed({
+        "n_orders": "lifetime_orders", "value": "lifetime_value", "n_items": "lifetime_items",
+        "first_at": "first_order_at", "last_at": "last_order_at",
+    })
     return agg.select(
         "user_id", "lifetime_orders", "lifetime_value",
         (F.col("lifetime_value").cast("double") / F.col("lifetime_orders")).alias("avg_order_value"),
@@ -98,12 +115,9 @@ def ltv_features(items: DataFrame, orders: DataFrame, assignments: DataFrame, ti
     c = ts_lit(cutoff)
     done = items.filter(F.col("status") == "Complete")
     hist = done.filter(F.col("created_at") < c)
-    base = hist.groupBy("user_id").agg(
-        F.max("created_at").alias("_last"), F.min("created_at").alias("_first"),
-        F.countDistinct("order_id").alias("frequency"),
-        F.sum("sale_price").alias("_value"),
-        F.countDistinct("category").alias("categories_purchased"),
-    )
+    base = user_totals(hist, {"category": "categories_purchased"}).withColumnsRenamed({
+        "n_orders": "frequency", "value": "_value", "first_at": "_first", "last_at": "_last",
+    })
     o = orders.filter((F.col("status") == "Complete") & (F.col("created_at") < c))
     per_q = o.groupBy("user_id", F.quarter("created_at").alias("q")).agg(F.count(F.lit(1)).alias("n"))
     season = per_q.groupBy("user_id").agg(

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from cohortix.operators import experiments as X
 from cohortix.operators import marts as M
+from cohortix.operators import sketches as S
 from cohortix.plans import q_enrich as QE
 from cohortix.plans import q_experiments as QX
 from cohortix.plans import sqlfrag as Q
@@ -168,6 +171,24 @@ def fact_events(spark, sf_dir):
     return M.fact_events(load(spark, sf_dir, "events"))
 
 
+@query("active_user_sketch", """
+SELECT event_type, count(DISTINCT CAST(ts AS DATE)) AS n_days, count(*) AS n_events, count(DISTINCT user_id) AS users,
+       TRUE AS within_error
+FROM events GROUP BY event_type""")
+def active_user_sketch(spark, sf_dir):
+    """Users of each event type merged from sketches of its days, held against
+    the exact count."""
+    events = load(spark, sf_dir, "events")
+    days = S.distinct_sketches(events.withColumn("day", F.to_date("ts")), ["event_type", "day"], "user_id")
+    merged = S.merge_sketches(days, ["event_type"]).select("event_type", "n_rows", S.estimate().alias("estimate"))
+    users = events.groupBy("event_type", "user_id").agg(F.lit(1).alias("one"))
+    exact = users.groupBy(F.col("event_type").alias("of")).agg(F.count("user_id").alias("users"))
+    n_days = days.groupBy(F.col("event_type").alias("on")).agg(F.count("day").alias("n_days"))
+    both = merged.join(exact, F.col("event_type").eqNullSafe(F.col("of"))).join(n_days, F.col("event_type").eqNullSafe(F.col("on")))
+    near = F.abs(F.col("estimate") - F.col("users")) <= F.greatest(F.lit(1.0), S.relative_error() * F.col("users"))
+    return both.select("event_type", "n_days", F.col("n_rows").alias("n_events"), "users", near.alias("within_error"))
+
+
 @query("order_enrichment", QE.LOGISTICS + """
 SELECT o.*, l.warehouse_id, l.warehouse_location, l.warehouse_region, l.shipping_carrier, l.package_type,
        l.shipping_cost, l.processing_days, l.transit_days, l.total_delivery_days, l.tracking_number,

@@ -60,3 +60,13 @@ def test_transactions_parse_once_and_hash_aggregate(spark):
     assert "from_json" not in plan("tenure_adjusted")
     # seven of the fixture's own text, one of the key, in one place
     assert plan("json_value_counts").count("get_json_object") == 8
+
+
+def test_distinct_counts_do_not_expand_rows(spark):
+    for key in ("customer_metrics", "customer_360", "customer_segments", "segment_summary", "ltv_features", "churn_features"):
+        assert "Expand" not in plan(catalog.queries()[key](spark, SF)), key
+
+
+def test_results_join_items_to_the_orders_in_the_horizon(spark):
+    p = catalog.queries()["experiment_results"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [order_id" not in p, p
