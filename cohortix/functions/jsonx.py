@@ -10,7 +10,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,8 +74,18 @@ def discover_keys(df: DataFrame, json_column: str = "json_body") -> DataFrame:
 
     Two-level aggregate: (key, kind) counts combine map-side to a handful of
     rows, then the per-key merge runs over that tiny result."""
+    return merge_kinds(count_kinds(df, json_column))
+
+
+def count_kinds(df: DataFrame, json_column: str = "json_body") -> DataFrame:
+    """(json_path, kind, n): how often each valid key has each kind."""
     kk = key_kinds(df, json_column).filter(F.col("json_path").rlike(_IDENT))
-    per_kind = kk.groupBy("json_path", "kind").agg(F.count(F.lit(1)).alias("n"))
+    return kk.groupBy("json_path", "kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+def merge_kinds(counts: DataFrame) -> DataFrame:
+    """The schema that counts of kinds, of any number of loads, add up to."""
+    per_kind = counts.groupBy("json_path", "kind").agg(F.sum("n").alias("n"))
     real = F.when(F.col("kind") != "null", F.col("kind"))
     per = per_kind.groupBy("json_path").agg(
         F.sum("n").alias("n_records"),
@@ -89,6 +99,22 @@ def discover_keys(df: DataFrame, json_column: str = "json_body") -> DataFrame:
     return per.select("json_path", data_type.alias("data_type"), warehouse.alias("warehouse_type"), "n_records")
 
 
+KINDS_SCHEMA = "json_path string, kind string, n long, load string"
+
+
+def store_kinds(batch: DataFrame, home: str, load: str, json_column: str = "json_body") -> None:
+    """Store what a load's records show of the schema, in a folder of its own: a
+    rerun of the load replaces it, late rows come with a load of their own, and
+    no earlier record is read again."""
+    count_kinds(batch, json_column).write.mode("overwrite").parquet(f"{home}/load={load}")
+
+
+def stored_schema(spark: SparkSession, home: str) -> DataFrame:
+    """The schema of all loads so far, from their stored counts; no rows before
+    the first load."""
+    return merge_kinds(spark.read.schema(KINDS_SCHEMA).option("basePath", home).parquet(home))
+
+
 _DISCOVERED: dict[tuple, list[str]] = {}
 
 

@@ -231,3 +231,21 @@ def test_overlay_sample_value_fill(spark):
     ov = uplift_overlay(cohort, cfg, src.schema, sample_values(src, unruled_columns(src.schema)))
     assert ov.count() > 0
     assert "channel" not in ov.columns or ov.filter(F.col("channel") != "web").count() == 0
+
+
+def test_stored_schema_merges_loads_and_reruns(spark, tmp_path):
+    from cohortix.functions.jsonx import store_kinds, stored_schema
+
+    first = ['{"a": 1, "b": null, "o": {"x": 1}}', '{"a": 2, "b": null}', "not json", None]
+    late = ['{"a": "two", "b": true, "l": [1], "9bad": 1}', "{}"]
+    frame = lambda rows: spark.createDataFrame([(r,) for r in rows], "json_body string")
+    home = str(tmp_path / "kinds")
+    schema = lambda: {r["json_path"]: (r["data_type"], r["n_records"]) for r in stored_schema(spark, home).collect()}
+    store_kinds(frame([]), home, "0")
+    assert schema() == {}
+    store_kinds(frame(first), home, "1")
+    assert schema() == {"a": ("number", 2), "b": ("string", 2), "o": ("object", 1)}
+    for _ in range(2):  # a rerun replaces its own counts
+        store_kinds(frame(late), home, "2")
+    both = {r["json_path"]: (r["data_type"], r["n_records"]) for r in discover_keys(frame(first + late)).collect()}
+    assert schema() == both == {"a": ("string", 3), "b": ("boolean", 3), "o": ("object", 1), "l": ("array", 1)}
